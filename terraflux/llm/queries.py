@@ -7,18 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import simhash
+from terraflux.llm import decontaminate, langid, lm, mixing, quality, simhash, token_counts
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.context_limits(token_counts.lengths_histogram(read(spark, sf_dir, "documents")))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_language_id": op4_language_id,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_mixing": op8_mixing,
+    "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
