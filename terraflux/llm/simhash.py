@@ -6,8 +6,8 @@ the proportional budget ``floor(l * tau / SEGMENTS)`` for every length ``l`` (th
 principle). With 9 segments and tau = 4 the budgets are 0 0 1 1 2 2 3 3 4: the first two segments
 agree, one of the next two agrees, and so on. So a pair shares, for some start, the exact bits of
 the segments of one *pattern*; fingerprints meet on (pattern, bits), and the chain and then the full
-Hamming distance decide. A longer chain makes patterns more selective and more numerous; its length
-follows the number of fingerprints and loses no pair at any length.
+Hamming distance decide. A longer chain makes patterns more selective and more numerous and loses no
+pair: chains of 6 make 45 patterns of about 28 bits, so strangers meet about once in 8 million.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from terraflux.llm.tokens import LOWER, texts_of
 SHINGLE = 4
 TAU = 4
 SEGMENTS = 9
+#: Segments of a chain that patterns cover: 2, 4, 6 or 8.
+CHAIN = 6
 #: Fingerprints of one pattern and value that one task compares with each other at once.
 BLOCK = 2048
 
@@ -57,15 +59,6 @@ def patterns(chain: int) -> list[int]:
     return sorted(masks)
 
 
-def chain_for(n: int) -> int:
-    """The shortest chain with which a fingerprint meets about one stranger or fewer over all patterns."""
-    for chain in (2, 4, 6):
-        found = patterns(chain)
-        if n * sum(2.0 ** -bin(m).count("1") for m in found) <= 1:
-            return chain
-    return 8
-
-
 def fingerprint(text: bytes | None) -> int:
     """The 64-bit SimHash of one text: bit set if set in over half of the shingle hashes; no words: 0."""
     words = (text or b"").translate(LOWER).split()
@@ -185,15 +178,15 @@ def _links(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(rest)
 
 
-def links(prints: DataFrame, n: int) -> DataFrame:
-    """(u, v): links of at most ``TAU`` bits that connect what such links connect, among ``n`` distinct fp.
+def links(prints: DataFrame, chain: int = CHAIN) -> DataFrame:
+    """(u, v): links of at most ``TAU`` bits that connect what such links connect, among distinct fp.
 
     Each fingerprint goes to one cell per pattern. A cell of more than ``BLOCK`` fingerprints is
     split into blocks, and each pair of blocks is a cell of its own, so that no task ever holds
     more than two blocks of a hot cell and none of its pairs is dropped. Only spanning links leave a
     task: as many as it read rows, at most.
     """
-    masks = patterns(chain_for(n))
+    masks = patterns(chain)
     at = F.explode(F.array(*[F.struct(F.lit(i).alias("pattern"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("value")) for i, m in enumerate(masks)]))
     rows = prints.select("fp", at.alias("c")).select("fp", "c.pattern", "c.value")
     hot = rows.groupBy("pattern", "value").count().filter(F.col("count") > BLOCK)
@@ -228,7 +221,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     """
     prints = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    found = components(links(classes.select("fp"), classes.count()))
+    found = components(links(classes.select("fp")))
     named = found.join(classes, F.col("vertex") == F.col("fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("fp", "component_id")
