@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import decontaminate, langid, lm, mixing, quality, simhash, token_counts
+from terraflux.llm import decontaminate, langid, lm, mixing, quality, simhash, substring_dedup, token_counts
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return lm.score(docs, lm.train(docs))
@@ -47,6 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op7_quality_classifier": op7_quality_classifier,
