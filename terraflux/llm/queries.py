@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import decontaminate, langid, lm, mixing, quality, simhash, substring_dedup, token_counts
+from terraflux.llm import decontaminate, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return lm.score(docs, lm.train(docs))
@@ -27,6 +31,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return vafile.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,13 +61,58 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _shingles(table: str, key: str) -> str:
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+')"
+    pieces = "CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
+    return f"SELECT DISTINCT r, {key}, unnest({pieces}) AS s FROM (SELECT row_number() OVER () AS r, {key}, {words} AS w FROM {table})"
+
+
+ORACLE: dict[str, str] = {
+    "op2_license_scan": licenses.oracle(),
+    "op5_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 10""",
+    "op8_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+a AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+b AS (SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM a),
+c AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+    CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS heavy
+  FROM b WINDOW o AS (ORDER BY CAST(cap AS DOUBLE) / weight, source NULLS LAST)),
+e AS (SELECT *, cap * heavy <= rest * weight AS is_full FROM c),
+l AS (SELECT rest, heavy FROM e WHERE NOT is_full ORDER BY heavy DESC LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE CAST((SELECT rest FROM l) * weight AS DOUBLE) / (SELECT heavy FROM l) END AS target FROM e),
+p AS (
+  SELECT doc_id, d.source, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o,
+    CASE WHEN source_size > 0 THEN floor(floor(target) / source_size) ELSE 0 END AS whole
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target, CAST(whole * size + greatest(0, least(floor(target) - whole * source_size - o, size)) AS BIGINT) AS taken FROM p""",
+    "op10_decontamination": f"""
+WITH d AS ({_shingles("documents", "doc_id")}), b AS ({_shingles("benchmark", "item_id")}),
+n AS (SELECT r, count(*) AS n FROM b GROUP BY r)
+SELECT doc_id, item_id, count(*) AS shared, any_value(n.n) AS item_shingles, CAST(count(*) AS DOUBLE) / any_value(n.n) AS containment
+FROM d JOIN b ON d.s = b.s JOIN n ON n.r = b.r GROUP BY d.r, b.r, doc_id, item_id HAVING count(*) >= 0.8 * any_value(n.n)""",
+}
