@@ -39,9 +39,13 @@ def grassland_carbon(zone: Column) -> Column:
     return look_up(zone, _zones(k.GRASSLAND_CARBON), 0.0)
 
 
-def vegetation_carbon(agb: Column, bgb: Column, zone: Column, cls: Column) -> Column:
-    forest = aboveground_carbon(agb) + belowground_carbon(agb, bgb) + dead_organic_carbon(agb, zone)
-    return F.when(cls == k.FOREST, forest).when(cls == k.GRASSLAND, grassland_carbon(zone)).otherwise(0.0)
+def forest_carbon(agb: Column, bgb: Column, zone: Column) -> Column:
+    return aboveground_carbon(agb) + belowground_carbon(agb, bgb) + dead_organic_carbon(agb, zone)
+
+
+def vegetation_carbon(cls: Column, forest: Column, grassland: Column) -> Column:
+    """Stock of a land class: of forest, of grassland, else 0."""
+    return F.when(cls == k.FOREST, forest).when(cls == k.GRASSLAND, grassland).otherwise(0.0)
 
 
 def vegetation_emissions(before: Column, after: Column) -> Column:
@@ -53,11 +57,11 @@ def mineral_soil_emissions(zone: Column, soc: Column) -> Column:
     return look_up(zone, SOIL_LOSS, 0.0) * soc
 
 
-def soil_emissions(before: Column, after: Column, zone: Column, peat: Column, soc: Column) -> Column:
+def soil_emissions(before: Column, after: Column, peat: Column, mineral: Column) -> Column:
     """Of forest or grassland that became something else: a pulse on peat, a share of the carbon on mineral soil, 0 where peat is unknown."""
     natural = [k.FOREST, k.GRASSLAND]
     emissive = before.isin(natural) & ~after.isin(natural)
-    return F.when(emissive & (peat == 1), k.PEAT_PULSE).when(emissive & (peat == 0), mineral_soil_emissions(zone, soc)).otherwise(0.0)
+    return F.when(emissive & (peat == 1), k.PEAT_PULSE).when(emissive & (peat == 0), mineral).otherwise(0.0)
 
 
 def peat_occupation(peat: Column, latest: Column) -> Column:

@@ -29,16 +29,17 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator)
 
 
-def look_up(code: Column, values: Mapping[int, float], default: float | int | None = 0) -> Column:
-    """The value of a code; ``default`` for unknown and unlisted codes."""
-    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-    found = F.try_element_at(table, code)
+def look_up(code: Column, values: Mapping[int, float | int], default: float | int | None = 0) -> Column:
+    """The value of a small non-negative integer code; ``default`` for unknown and unlisted codes.
+
+    One indexing of a literal array: the code appears once in the plan, however it is computed.
+    """
+    kind = "double" if any(isinstance(v, float) for v in values.values()) else "int"
+    table = F.array(*[F.lit(values.get(i)).cast(kind) for i in range(max(values) + 1)])
+    found = F.get(table, code)
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def in_ranges(code: Column, ranges: list[tuple[int, int, int]], default: int = 0) -> Column:
     """Class of a code by inclusive ranges; ``default`` for unknown and unlisted codes."""
-    out = F
-    for first, last, value in ranges:
-        out = out.when(code.between(first, last), F.lit(value))
-    return out.otherwise(F.lit(default))
+    return look_up(code, {i: value for first, last, value in ranges for i in range(first, last + 1)}, default)

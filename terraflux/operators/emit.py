@@ -16,14 +16,15 @@ def emit(pixels: DataFrame, n: int) -> DataFrame:
     """Emission columns beside ``pixels`` (tile_id, row, col, lc_<year>, agb, bgb, soc, zone, peat), ``n`` pixels a tile side.
 
     Steps are projections on top of each other, so that classes and carbon stocks, which several
-    spans share, are computed once.
+    years and spans share, are computed once.
     """
     c = F.col
-    out = pixels.select("*", *[e.land_class(c(f"lc_{y}")).alias(f"class_{y}") for y in YEARS])
-    out = out.select("*", *[e.vegetation_carbon(c("agb"), c("bgb"), c("zone"), c(f"class_{y}")).alias(f"carbon_{y}") for y in YEARS])
+    stocks = [e.forest_carbon(c("agb"), c("bgb"), c("zone")).alias("forest_stock"), e.grassland_carbon(c("zone")).alias("grass_stock"), e.mineral_soil_emissions(c("zone"), c("soc")).alias("mineral")]
+    out = pixels.select("*", *[e.land_class(c(f"lc_{y}")).alias(f"class_{y}") for y in YEARS], *stocks)
+    out = out.select("*", *[e.vegetation_carbon(c(f"class_{y}"), c("forest_stock"), c("grass_stock")).alias(f"carbon_{y}") for y in YEARS])
     vegetation = [e.vegetation_emissions(c(f"carbon_{a}"), c(f"carbon_{b}")).alias(f"vegetation_{a}_{b}") for a, b in SPANS]
-    soil = [e.soil_emissions(c(f"class_{a}"), c(f"class_{b}"), c("zone"), c("peat"), c("soc")).alias(f"soil_{a}_{b}") for a, b in SPANS]
-    out = out.select("*", *vegetation, *soil).drop(*[f"carbon_{y}" for y in YEARS])
+    soil = [e.soil_emissions(c(f"class_{a}"), c(f"class_{b}"), c("peat"), c("mineral")).alias(f"soil_{a}_{b}") for a, b in SPANS]
+    out = out.select("*", *vegetation, *soil).drop("forest_stock", "grass_stock", "mineral", *[f"carbon_{y}" for y in YEARS])
     span = {(a, b): c(f"vegetation_{a}_{b}") + c(f"soil_{a}_{b}") for a, b in SPANS}
     occupation = e.peat_occupation(c("peat"), c(f"class_{YEARS[-1]}"))
     area = tiles.hectares(tiles.pixel_lat(c("tile_id"), c("row"), n), tiles.SPAN / n)

@@ -116,7 +116,7 @@ def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey yields as text, some suppressed."""
-    rows = table(spark, sf_dir, "lineitem").join(F.broadcast(table(spark, sf_dir, "supplier")), F.expr("l_suppkey = s_suppkey")).selectExpr(*SURVEY_ROWS)
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey")).selectExpr(*SURVEY_ROWS)
     sums = rows.groupBy("state_fips_code", "year", "commodity_desc").agg(F.sum("q").alias("q"))
     value = F.when((F.col("state_fips_code") + F.col("year")) % 11 == 0, "(D)").otherwise(F.format_number("q", 0))
     return sums.select("state_fips_code", "year", "commodity_desc", value.alias("value"))

@@ -1 +1 @@
-"""Subpackage."""
+"""Catalog, ingest, stage tables and exports."""

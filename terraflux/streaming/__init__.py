@@ -1 +1 @@
-"""Subpackage."""
+"""Incremental runs of stateless stages with Structured Streaming."""
