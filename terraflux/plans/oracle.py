@@ -172,7 +172,7 @@ def national(rows: str) -> str:
     return f"SELECT *, {_ratio('<>')} FROM (SELECT 'NATIONAL' AS admin_level, crop_name, national_name AS jurisdiction_name, methodology, iso AS admin_id, {sums} FROM {rows} p JOIN (SELECT DISTINCT iso, national_name FROM ({fx.PROVINCES_SQL})) ON iso = substr(p.admin_id, 1, 3) GROUP BY ALL)"
 
 
-FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 1) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
+FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 4) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
 
 AREAS = f"(SELECT *, {HA} AS ha FROM {ZONED}) a"
 ROW_CROP = f"coalesce(crop_code IN ({', '.join(map(str, ROW_CROPS))}), false)"

@@ -373,7 +373,7 @@ def _provincial_statistical(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded_factors(df: DataFrame) -> DataFrame:
-    return rounded(rounded(df, 1, *trace.SUMS), 4, "yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction")
+    return rounded(rounded(df, 4, *trace.SUMS), 4, "yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction")
 
 
 @query
