@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux.llm.shared import WORD
-from terraflux.llm.tokens import U64, Tokens, batches, texts_of
+from terraflux.llm.tokens import U64, Tokens, batches, folded, texts_of
 
 SHINGLE = 5
 HASHES = 48
@@ -42,7 +42,7 @@ class Items:
     """Shingle sets and, by size class, min-hashes of one block of items."""
 
     def __init__(self, ids: list, texts: list[bytes | None]):
-        tokens = Tokens(texts)
+        tokens = Tokens(folded(texts))
         hashes, bounds = tokens.shingles(SHINGLE)
         self.ids = ids
         self.sets = [_strings(tokens.words(i)) for i in range(len(ids))]
@@ -81,7 +81,7 @@ class Items:
     def verified(self, texts: list[bytes | None], threshold: float) -> Iterator[tuple[int, int, int]]:
         """(text, item, shared shingles) of the candidates whose exact containment is ``threshold`` or more."""
         for part in batches(texts):
-            tokens = Tokens(texts[part])
+            tokens = Tokens(folded(texts[part]))
             last, own = -1, set()
             for d, i in self.candidates(*tokens.shingles(SHINGLE)).tolist():
                 if d != last:
@@ -104,7 +104,7 @@ def item_blocks(items: DataFrame) -> Iterator[Items]:
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, shared, item_shingles, containment): items whose shingles a document contains.
 
-    Shingles are 5 words, lower-cased A-Z, distinct; fewer words are one shingle; a text without
+    Shingles are 5 words, lower-cased (accented letters, too), distinct; fewer words are one shingle; a text without
     words has none, so it never matches. Rows are per document row and item row: repeated rows and null
     ids come back as they are. Empty tables give no rows; other columns are ignored.
     """

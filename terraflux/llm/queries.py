@@ -72,11 +72,8 @@ QUERIES: dict[str, Query] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
 def _shingles(table: str, key: str) -> str:
-    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+')"
+    words = "regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+')"
     pieces = "CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
     return f"SELECT DISTINCT r, {key}, unnest({pieces}) AS s FROM (SELECT row_number() OVER () AS r, {key}, {words} AS w FROM {table})"
 

@@ -123,3 +123,8 @@ class Tokens:
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     column = batch.column(name)
     return column.cast(pa.binary()).to_pylist() if not pa.types.is_binary(column.type) else column.to_pylist()
+
+
+def folded(texts: list[bytes | None]) -> list[bytes | None]:
+    """The texts in lower case, accented letters included; their words stay the same in number."""
+    return [t if t is None else t.lower() if t.isascii() else t.decode("utf-8", "replace").lower().encode() for t in texts]

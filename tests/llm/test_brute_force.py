@@ -160,7 +160,7 @@ def test_repeated_passages(docs, texts):
     found = substring_dedup.repeated_passages(docs).collect()
     places, exact = defaultdict(list), set()
     for i in sorted(texts):
-        w = words(texts[i])
+        w = words(texts[i].lower())
         shingles, active = [tuple(w[j : j + 5]) for j in range(len(w) - 4)], {}
         for s in shingles:
             active = {(o, p): active.get((o, p - 1), 0) + 1 for o, p in places.get(s, ())}
@@ -171,7 +171,7 @@ def test_repeated_passages(docs, texts):
     assert exact and exact <= {r["doc_id"] for r in found}
     for r in found:
         assert r["kept_doc_id"] < r["doc_id"] and r["n_words"] >= 50 and r["similarity"] >= 0.8
-        w, v = words(texts[r["doc_id"]])[r["start_word"] : r["start_word"] + r["n_words"]], words(texts[r["kept_doc_id"]])
+        w, v = words(texts[r["doc_id"]].lower())[r["start_word"] : r["start_word"] + r["n_words"]], words(texts[r["kept_doc_id"]].lower())
         own = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
         assert len(own & {tuple(v[j : j + 5]) for j in range(len(v) - 4)}) >= 0.85 * len(own)
 
@@ -290,7 +290,7 @@ def test_token_counts(docs, texts):
 
 def test_decontamination(spark, docs, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
-    strings = lambda t: decontaminate._strings(words(t))
+    strings = lambda t: decontaminate._strings(words(t.lower()))
     own = {i: strings(t) for i, t in texts.items()}
     expected = {(i, j) for j, t in items.items() for i in own if len(own[i] & strings(t)) >= 0.8 * len(strings(t))}
     got = decontaminate.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
