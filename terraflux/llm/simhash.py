@@ -225,7 +225,9 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     named = found.join(classes, F.col("vertex") == F.col("fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("fp", "component_id")
+    # written, so that the join below is the only one on fp in its stage and a hot class can be split
     every = classes.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    every = materialise(every, "components")
     return prints.join(every, "fp").select("doc_id", "fp", "component_id")
 
 
