@@ -307,3 +307,26 @@ def test_licence_rules(spark):
     }
     got = {r["doc_id"]: (r["licences"], r["unused"]) for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got == {1: ("GPL-3.0-only", ""), 2: ("Apache-2.0", ""), 3: ("All-Rights-Reserved", ""), 4: ("MIT;GPL-2.0-or-later", ""), 5: ("", "unknown,")}
+
+
+def test_passage_in_a_group_that_shares_a_frequent_line(spark):
+    """Texts that all have one line, and a few that repeat a passage around it, far apart in the order of ids."""
+    rng = np.random.default_rng(7)
+    line = "this very common line of words occurs everywhere"
+    made = lambda n: " ".join(f"x{i}" for i in rng.integers(0, 10**6, n))
+    around = f"{made(22)} {line} {made(22)}"
+    rows = [(i, f"{made(80)} {around if i in (3, 40, 77) else line} {made(80)}") for i in range(100)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r["doc_id"] for r in got} == {40, 77} and {r["kept_doc_id"] for r in got} <= {3, 40}
+    assert all(r["start_word"] == 80 and r["n_words"] == 52 for r in got)
+
+
+def test_half_signs():
+    rng = np.random.default_rng(9)
+    h = np.concatenate([[0], rng.integers(1, 2**63, 70), [0], rng.integers(1, 2**63, 10), [0]]).astype(np.uint64)
+    got = substring_dedup.half_signs(h)
+    for i in range(len(h)):
+        own = h[i : i + substring_dedup._HALF]
+        whole = len(own) == substring_dedup._HALF and (own > 0).all()
+        least = (own * substring_dedup._SIDE).min() if whole else None
+        assert got[i] == (int(tokens.mix(np.array([least]))[0]) >> 54 if whole else 0)
