@@ -41,6 +41,22 @@ GROUPS = {
     "SWPY": ["SWPO", "YAMS"],
 }
 STATISTICS_YEARS = (2000, 2005, 2010, 2020)
+# Labels of crop codes in 2005 and 2010, and in 2000.
+LABELS_2005 = {
+    "ACOF": "Arabic Coffee", "BANA": "Banana", "BARL": "Barley", "BEAN": "Bean", "CASS": "Cassava", "CHIC": "Chickpea", "CNUT": "Coconut", "COCO": "Cocoa",
+    "COTT": "Cotton", "COWP": "Cowpea", "GROU": "Groundnut", "LENT": "Lentil", "MAIZ": "Maize", "OCER": "Other Cereals", "OFIB": "Other Fibre Crops",
+    "OILP": "Oilpalm", "OOIL": "Other Oil Crops", "OPUL": "Other Pulses", "ORTS": "Other Roots", "PIGE": "Pigeon Pea", "PLNT": "Plantain", "PMIL": "Pearl Millet",
+    "POTA": "Potato", "RAPE": "Rapeseed", "RCOF": "Robust Coffee", "REST": "Rest Of Crops", "RICE": "Rice", "SESA": "Sesame Seed", "SMIL": "Small Millet",
+    "SORG": "Sorghum", "SOYB": "Soybean", "SUGB": "Sugarbeet", "SUGC": "Sugarcane", "SUNF": "Sunflower", "SWPO": "Sweet Potato", "TEAS": "Tea",
+    "TEMF": "Temperate Fruit", "TOBA": "Tobacco", "TROF": "Other Tropical Fruit", "VEGE": "Other Vegetables", "WHEA": "Wheat", "YAMS": "Yams",
+}
+LABELS_2000 = {
+    "BANP": "Banana And Plantain", "BARL": "Barley", "BEAN": "Bean", "CASS": "Cassava", "COFF": "Coffee", "COTT": "Cotton", "GROU": "Groundnut", "MAIZ": "Maize",
+    "MILL": "Millet", "OFIB": "Other Fibre Crops", "OOIL": "Other Oil Crops", "OPUL": "Other Pulses", "OTHE": "Rest Of Crops", "POTA": "Potato", "RICE": "Rice",
+    "SORG": "Sorghum", "SOYB": "Soybean", "SUGB": "Sugarbeet", "SUGC": "Sugarcane", "SWPY": "Sweet Potato And Yam", "WHEA": "Wheat",
+}
+#: Codes that only 2020 has.
+NEW_2020 = {"CITR": "Citrus", "ONIO": "Onion", "RUBB": "Rubber", "TOMA": "Tomato"}
 #: Codes of 2020 for crops that other years code otherwise.
 RENAMED_2020 = {"ACOF": "COFF", "SMIL": "MILL"}
 #: Statistics span that stands for each land-cover span.
@@ -78,3 +94,10 @@ OTHER_BUCKET = "Water/bare/other"
 def group_of() -> dict[str, tuple[str, int]]:
     """Constituent -> (group of 2000, number of siblings)."""
     return {part: (group, len(parts)) for group, parts in GROUPS.items() for part in parts}
+
+
+def taxonomy() -> list[tuple[int, str, str]]:
+    """(year, code, label) of all crops of all statistics years."""
+    latest = {RENAMED_2020.get(code, code): label for code, label in LABELS_2005.items()} | NEW_2020
+    years = {2000: LABELS_2000, 2005: LABELS_2005, 2010: LABELS_2005, 2020: latest}
+    return [(year, code, label) for year, labels in years.items() for code, label in labels.items()]

@@ -11,6 +11,20 @@ from terraflux.functions import tiles
 
 KEY = ["tile_id", "row", "col"]
 
+#: Published names of the stage's columns: prefix, units, suffix.
+PUBLISHED = {
+    **{f"class_{y}": f"land-class:{y}" for y in YEARS},
+    **{f"{ours}_{a}_{b}": f"{theirs}:tco2e-per-ha:{a}-{b}" for ours, theirs in (("vegetation", "vegetation-emissions"), ("soil", "soil-emissions"), ("emissions", "emissions")) for a, b in SPANS},
+    "occupation": "peatland-occupation:tco2e-per-ha",
+    "per_ha": "emissions-per-hectare:tco2e-per-ha",
+    "ha": "hectares-per-pixel:ha",
+}
+
+
+def published(emitted: DataFrame) -> DataFrame:
+    """Key and emission columns under their published names."""
+    return emitted.select(*KEY, *[F.col(ours).alias(theirs) for ours, theirs in PUBLISHED.items()])
+
 
 def emit(pixels: DataFrame, n: int) -> DataFrame:
     """Emission columns beside ``pixels`` (tile_id, row, col, lc_<year>, agb, bgb, soc, zone, peat), ``n`` pixels a tile side.

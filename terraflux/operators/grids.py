@@ -60,3 +60,16 @@ def clusters(countries: DataFrame, tile_ids: DataFrame) -> DataFrame:
 def per_continent(countries: DataFrame, tile_ids: DataFrame) -> DataFrame:
     c = clusters(countries, tile_ids)
     return c.select("continent", F.size("isos").alias("n_countries"), F.size("tiles").alias("n_tiles"))
+
+
+def classified(countries: DataFrame) -> DataFrame:
+    """Countries that belong to a continent: all of them run in one job."""
+    return countries.filter("continent <> 'UNCLASSIFIED'")
+
+
+def coverage(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Each tile of two sets with where it is: both, missing (wanted only) or extra (found only)."""
+    a, b = found.select("tile_id").distinct(), wanted.select("tile_id").distinct()
+    rows = [(a.intersect(b), "both"), (b.subtract(a), "missing"), (a.subtract(b), "extra")]
+    parts = [df.select("tile_id", F.lit(name).alias("status")) for df, name in rows]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

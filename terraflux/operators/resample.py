@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraflux.functions import tiles
+
 CATEGORICAL, INTENSIVE, EXTENSIVE = "CATEGORICAL", "INTENSIVE", "EXTENSIVE"
 
 
@@ -33,6 +35,17 @@ def nearest(source: DataFrame, dest: DataFrame, s: int, n: int, bands: list[str]
     return own.join(src, ["tile_id", "_r", "_c"], "left").select("tile_id", "row", "col", *bands)
 
 
+def from_world(world: DataFrame, pixels: DataFrame, n: int, width: int, height: int, bands: list[str]) -> DataFrame:
+    """Nearest value of a whole-world layer (row, col, bands; ``width`` x ``height``) at the centre of each pixel; gaps are NULL.
+
+    An equi-join on indices of the layer; a layer that is small is broadcast by the optimiser.
+    """
+    lat, lon = tiles.pixel_lat(F.col("tile_id"), F.col("row"), n), tiles.pixel_lon(F.col("tile_id"), F.col("col"), n)
+    own = pixels.select("tile_id", "row", "col", F.floor((90 - lat) * height / 180).cast("int").alias("_r"), F.floor((lon + 180) * width / 360).cast("int").alias("_c"))
+    layer = world.select(F.col("row").alias("_r"), F.col("col").alias("_c"), *bands)
+    return own.join(layer, ["_r", "_c"], "left").select("tile_id", "row", "col", *bands)
+
+
 def overlaps(index: Column, n: int, m: int) -> Column:
     """Array of (k, w): coarse indices (``m`` a side) that a fine index (``n`` a side) meets, with integer overlaps of 1 / (n m)."""
     q = index.cast("long")

@@ -38,6 +38,19 @@ def crop_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_crops(), "crop string, code_2005 string, code_2000 string, code_2010 string, code_2020 string, grp string, siblings int")
 
 
+def crop_taxonomy(spark: SparkSession) -> DataFrame:
+    """(year, code, label) of all crops of all statistics years."""
+    return spark.createDataFrame(k.taxonomy(), "year int, code string, label string")
+
+
+def codes_in_year(rows: DataFrame, year: int) -> DataFrame:
+    """``rows`` (year, crop) with the label of each crop and its code in another year through that label, NULL where that year has none."""
+    known = F.broadcast(crop_taxonomy(rows.sparkSession))  # 151 rows
+    labels = known.select("year", F.col("code").alias("crop"), "label")
+    there = known.filter(F.col("year") == year).select("label", F.col("code").alias("crop_there"))
+    return rows.join(labels, ["year", "crop"], "left").join(there, "label", "left")
+
+
 def harmonized(stats: DataFrame) -> DataFrame:
     """(cell, year, crop, area_ha, production_mt) for every cell and attributed crop, missing statistics as 0.
 

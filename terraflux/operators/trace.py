@@ -12,6 +12,11 @@ SUMS = ["crop_hectares", "forest_emissions_mt", "peatland_crop_hectares", "peatl
 COLUMNS = ["admin_level", "crop_name", "jurisdiction_name", "methodology", "admin_id", *SUMS, "yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"]
 
 
+def crop_names(method: str, few: bool = False) -> list[str]:
+    """Crops of a methodology, or the three that both share most."""
+    return list(k.FEW_CROPS) if few else list(k.DIRECT_CROPS if method == "JURISDICTIONAL_DIRECT" else k.STATISTICAL_CROPS)
+
+
 def mean_yields(yields: DataFrame) -> DataFrame:
     """(admin_id, crop_name, yield_kg_per_ha): mean of the accounting years, crops by their common names."""
     names = F.create_map(*[F.lit(x) for pair in k.SURVEY_CROPS.items() for x in pair])

@@ -22,6 +22,11 @@ def dissolve(shapes: DataFrame) -> DataFrame:
     return named.groupBy("id").agg(F.min("name").alias("name"), F.flatten(F.collect_list("rings")).alias("rings"))
 
 
+def jurisdictions(zones: DataFrame, level: str, iso: str) -> DataFrame:
+    """Jurisdictions (admin_id, admin_level, ...) of a country at a level, sorted by id."""
+    return zones.filter((F.col("admin_level") == level) & F.col("admin_id").startswith(iso)).orderBy("admin_id")
+
+
 def spans(edges: DataFrame, n: int) -> DataFrame:
     """(zone_id, part, tile_id, row, col_first, col_last): runs of pixels whose centres are inside, ``n`` pixels a tile side.
 

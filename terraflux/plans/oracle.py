@@ -5,6 +5,7 @@ from __future__ import annotations
 from terraflux import factors as k
 from terraflux.factors import SPANS, YEARS
 from terraflux.operators.agreement import ROW_CROPS
+from terraflux.operators.emit import PUBLISHED
 from terraflux.operators.statistical import LAYERS, SHARE_SPANS, production_weights
 from terraflux.plans import fixtures as fx
 from terraflux.plans import queries as q
@@ -264,6 +265,13 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "pixel_merge": f"SELECT tile_id, row, col, agb, bgb, soc, peat FROM {PX}",
     "zone_spans": INSIDE,
     "tiles_for_zone": TOUCHING,
+    "world_layer": f"SELECT tile_id, px.row, px.col, z FROM {PX} LEFT JOIN (SELECT row, col, max(z) AS z FROM (SELECT {', '.join(q.WORLD)} FROM orders) GROUP BY ALL) w ON w.row = CAST(floor((90 - {PIXEL_LAT.replace('row', 'px.row')}) * 1800 / 180) AS INTEGER) AND w.col = CAST(floor(({PIXEL_LON.replace('col', 'px.col')} + 180) * 3600 / 360) AS INTEGER)",
+    "dissolved_shapes": f"SELECT concat(iso, lpad(CAST(n_nationkey AS VARCHAR), 3, '0')) AS id, concat(national_name, ' | ', n_name) AS name, CAST(count(*) AS INTEGER) AS n_rings FROM supplier JOIN ({fx.PROVINCES_SQL}) ON s_nationkey = n_nationkey GROUP BY ALL",
+    "jurisdictions_of_country": f"SELECT admin_id, jurisdiction_name, count(*) AS customers FROM customer JOIN ({fx.PROVINCES_SQL}) ON c_nationkey = n_nationkey WHERE substr(admin_id, 1, 3) = 'RG2' GROUP BY ALL",
+    "tile_coverage": f"SELECT coalesce(a.tile_id, b.tile_id) AS tile_id, CASE WHEN a.tile_id IS NULL THEN 'missing' WHEN b.tile_id IS NULL THEN 'extra' ELSE 'both' END AS status FROM (SELECT DISTINCT tile_id FROM {TILES} WHERE o % 3 = 0) a FULL JOIN (SELECT DISTINCT tile_id FROM {TILES} WHERE c % 4 = 1) b ON a.tile_id = b.tile_id",
+    "classified_countries": "SELECT r_name AS continent, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA' GROUP BY ALL",
+    "crop_codes": f"WITH st AS ({fx.STATISTICS_SQL}), tx AS (SELECT * FROM (VALUES {', '.join(map(repr, k.taxonomy()))}) AS t(year, code, label)) SELECT st.year, crop, a.label, b.code AS crop_there, {r('sum(area_ha)', 2, 'area_ha')} FROM st LEFT JOIN tx a ON a.year = st.year AND a.code = crop LEFT JOIN tx b ON b.year = 2020 AND b.label = a.label GROUP BY ALL",
+    "published_emissions": f"SELECT tile_id, {', '.join(r(f'sum({x})', 3, f's{i}') for i, x in enumerate(PUBLISHED))} FROM ({emitted(PX)}) GROUP BY tile_id",
     "land_class": f"SELECT o, {', '.join(f'{x} AS class_{y}' for y, x in CLASS.items())} FROM {PX}",
     "belowground_carbon": f"SELECT o, {r(ABOVE, 6, 'above')}, {r(BELOW, 6, 'below')} FROM {PX}",
     "dead_organic_carbon": f"SELECT o, {r(DEAD, 6, 'dead')}, {r(GRASS, 6, 'grass')} FROM {PX}",
@@ -286,6 +294,7 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "factor_table_both": f"WITH {DIRECT}, {YIELDS}, {ROLLED}, pv AS ({DIRECT_ROWS} UNION ALL {STATISTICAL_ROWS}) SELECT {FACTORS} FROM (SELECT * FROM pv UNION ALL {national('pv')})",
     "unmatched_yields": f"WITH {DIRECT}, {YIELDS} SELECT count(*) AS unmatched FROM direct LEFT JOIN mean USING (admin_id, crop_name) WHERE yield_kg_per_ha IS NULL",
     "confusion_2x2": f"SELECT admin_id, {', '.join(r(x, 3) for x in [*q._AREAS, 'confirm_pct'])} FROM ({CONFUSION})",
+    "confusion_total": f"SELECT 'ALL' AS \"all\", *, {r('100 * crop_cover / crop_total', 3, 'confirm_pct')} FROM (SELECT {', '.join(r(f'sum({x})', 3, x) for x in q._AREAS)} FROM ({CONFUSION}))",
     "confusion_by_region": f"SELECT region, {r('sum(crop_total)', 3, 'crop_total')}, {r('CASE WHEN sum(crop_total) > 0 THEN 100 * sum(crop_cover) / sum(crop_total) ELSE 0 END', 3, 'confirm_pct')}, {r('min(confirm_pct)', 3, 'least_pct')}, {r('max(confirm_pct)', 3, 'most_pct')} FROM ({CONFUSION}) JOIN (SELECT admin_id, CASE n_nationkey % 4 {' '.join(f'WHEN {i} THEN {n!r}' for n, i in q.REGIONS.items())} END AS region FROM ({fx.PROVINCES_SQL})) USING (admin_id) WHERE region IS NOT NULL GROUP BY region",
     "case_abc": f"SELECT state, {r('a', 3, 'case_a')}, {r('b', 3, 'case_b')}, {r('c', 3, 'case_c')}, {r('a + b + c', 3, 'total')}, {', '.join(f'round(100 * {x} / (a + b + c), 1) AS {x}_pct' for x in 'abc')} FROM (SELECT coalesce(admin_id, 'TOTAL') AS state, {', '.join(f'coalesce(sum(CASE WHEN kind = {x.upper()!r} THEN ha END), 0) AS {x}' for x in 'abc')} FROM ({CASES}) GROUP BY ROLLUP (admin_id))",
     "transition_matrix": TRANSITIONS,

@@ -236,6 +236,60 @@ def zone_spans(spark: SparkSession, sf: str) -> DataFrame:
     return zones.pixels_in_zones(fx.pixels(spark, sf).select("tile_id", "row", "col"), runs).select("zone_id", "tile_id", "row", "col")
 
 
+WORLD = ["CAST(400 + o_orderkey % 20 AS INT) AS row", "CAST(800 + o_custkey % 9 AS INT) AS col", "o_orderkey % 12 AS z"]
+
+
+@query
+def world_layer(spark: SparkSession, sf: str) -> DataFrame:
+    world = fx.table(spark, sf, "orders").selectExpr(*WORLD).groupBy("row", "col").agg(F.max("z").alias("z"))
+    return resample.from_world(world, fx.pixels(spark, sf), N, 3600, 1800, ["z"])
+
+
+@query
+def dissolved_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as rings, dissolved into their nations: ids and names from parts."""
+    shapes = fx.table(spark, sf, "supplier").select(c("s_nationkey").alias("n_nationkey"), F.array(F.array(F.struct(c("s_suppkey").alias("x")))).alias("rings"))
+    named = shapes.join(F.broadcast(fx.provinces(spark, sf)), "n_nationkey")
+    own = named.select(F.array("iso", F.lpad(c("n_nationkey").cast("string"), 3, "0")).alias("id_parts"), F.array("national_name", "n_name").alias("name_parts"), "rings")
+    return zones.dissolve(own).select("id", "name", F.size("rings").alias("n_rings"))
+
+
+@query
+def jurisdictions_of_country(spark: SparkSession, sf: str) -> DataFrame:
+    own = fx.provinces(spark, sf).withColumn("admin_level", F.lit("PROVINCIAL")).join(fx.table(spark, sf, "customer").groupBy(c("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers")), "n_nationkey")
+    return zones.jurisdictions(own, "PROVINCIAL", "RG2").select("admin_id", "jurisdiction_name", "customers")
+
+
+@query
+def tile_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    own = _tiles(spark, sf)
+    return grids.coverage(own.filter("o % 3 = 0"), own.filter("c % 4 = 1"))
+
+
+@query
+def classified_countries(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of the countries that have a continent; one of the regions counts as unclassified."""
+    own = fx.provinces(spark, sf).select("n_nationkey", "n_name", F.when(c("national_name") == "ASIA", "UNCLASSIFIED").otherwise(c("national_name")).alias("continent"))
+    homes = fx.table(spark, sf, "customer").select(c("c_nationkey").alias("n_nationkey"))
+    return homes.join(F.broadcast(grids.classified(own)), "n_nationkey").groupBy("continent", "n_name").agg(F.count("*").alias("n"))
+
+
+@query
+def crop_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics by crop label, with the code of 2020."""
+    rows = statistical.codes_in_year(fx.statistics(spark, sf), 2020)
+    return rounded(rows.groupBy("year", "crop", "label", "crop_there").agg(F.sum("area_ha").alias("area_ha")), 2, "area_ha")
+
+
+@query
+def published_emissions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of the published columns per tile."""
+    own = emit.published(_emitted(spark, sf))
+    names = list(emit.PUBLISHED.values())
+    sums = own.groupBy("tile_id").agg(*[F.sum(c(f"`{n}`")).alias(f"s{i}") for i, n in enumerate(names)])
+    return rounded(sums, 3, *[f"s{i}" for i in range(len(names))])
+
+
 def _corner(x: str, y: str) -> Column:
     return F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y"))
 
@@ -425,6 +479,13 @@ def confusion_2x2(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_confusion(spark, sf), 3, *_AREAS, "confirm_pct")
 
 
+@query
+def confusion_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The confusion of all states together."""
+    own = _areas(spark, sf).withColumn("all", F.lit("ALL"))
+    return rounded(agreement.confusion(own, "all", agreement.is_row_crop(c("crop_code")), c("lc_2020") == 244), 3, *_AREAS, "confirm_pct")
+
+
 @query
 def confusion_by_region(spark: SparkSession, sf: str) -> DataFrame:
     names = F.create_map(*[F.lit(x) for name, i in REGIONS.items() for x in (i, name)])
