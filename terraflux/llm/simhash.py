@@ -92,16 +92,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def viable(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether some start has a viable chain around the whole ring, then the full Hamming distance."""
+    """Whether some start has a viable chain around the whole ring, and then the full Hamming distance is small enough."""
     x = a ^ b
-    segments = [np.bitwise_count(x & np.uint64(m)).astype(np.int16) for m in SEGMENT_MASKS]
     ok = np.zeros(len(x), bool)
     for start in range(SEGMENTS):
-        total, here = np.zeros(len(x), np.int16), np.ones(len(x), bool)
+        at = np.flatnonzero(~ok)
+        total = np.zeros(len(at), np.uint8)
         for length in range(1, SEGMENTS + 1):
-            total = total + segments[(start + length - 1) % SEGMENTS]
-            here &= total <= BUDGET[length]
-        ok |= here
+            total = total + np.bitwise_count(x[at] & np.uint64(SEGMENT_MASKS[(start + length - 1) % SEGMENTS]))
+            stays = total <= BUDGET[length]
+            at, total = at[stays], total[stays]
+        ok[at] = True
     at = np.flatnonzero(ok)
     ok[at] = np.bitwise_count(x[at]) <= TAU
     return ok
@@ -144,8 +145,7 @@ def _links_within(group: np.ndarray, fp: np.ndarray, side: np.ndarray) -> list[t
     while len(at):
         d += 1
         at = at[at + d < end[at]]
-        near = at[(np.bitwise_count(fp[at] ^ fp[at + d]) <= 2 * TAU) & ((side[at] == 0) | (side[at] != side[at + d]))]
-        near = near[forest.root[near] != forest.root[near + d]]
+        near = at[((side[at] == 0) | (side[at] != side[at + d])) & (forest.root[at] != forest.root[at + d])]
         near = near[viable(fp[near], fp[near + d])]
         forest.add(near, near + d)
         if d % 64 == 0:
