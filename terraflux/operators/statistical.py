@@ -51,58 +51,62 @@ def codes_in_year(rows: DataFrame, year: int) -> DataFrame:
     return rows.join(labels, ["year", "crop"], "left").join(there, "label", "left")
 
 
-def harmonized(stats: DataFrame) -> DataFrame:
-    """(cell, year, crop, area_ha, production_mt) for every cell and attributed crop, missing statistics as 0.
+SHARE_SPANS = [(2000, 2005), (2005, 2010), (2010, 2020), (2000, 2020)]
+
+
+def crop_cells(stats: DataFrame) -> DataFrame:
+    """One row per cell and attributed crop: area_<year> and production_<year> harmonised, total_<span>, crop_area.
 
     A group of 2000 is split by the areas of its constituents in 2005, evenly where none had any; the
-    area share splits production, too. The statistics are aggregated by cell once; the fixed list of
-    crops is a literal of the plan.
+    area share splits production, too. total_<span> is the cell's expansion: of each shared crop, and net
+    of all others as one pool, so that re-labelling makes none. Missing statistics are 0, but for crop_area, the
+    area in 2020 as given.
+
+    A cell has a few dozen crops a year, so all of it is one aggregate by cell and then arithmetic
+    within the row; the fixed list of crops is a literal of the plan.
     """
     literals = [F.struct(*[F.lit(v).cast("int" if f == "siblings" else "string").alias(f) for f, v in zip(_CROP_FIELDS, row, strict=True)]) for row in _crops()]
+    shared = F.col("crop").isin(k.SHARED)
     value = lambda year, q: F.map_from_entries(F.collect_list(F.when(F.col("year") == year, F.struct("crop", q))))
-    cells = stats.groupBy("cell").agg(*[value(y, q).alias(f"{q}_{y}") for y in k.STATISTICS_YEARS for q in ("area_ha", "production_mt")])
-    rows = cells.select("*", F.explode(F.array(*literals)).alias("k")).select("*", "k.*")
+    maps = [value(y, q).alias(f"{q}_{y}") for y in k.STATISTICS_YEARS for q in ("area_ha", "production_mt")]
+    pools = [F.coalesce(F.sum(F.when((F.col("year") == y) & ~shared, F.col("area_ha"))), F.lit(0.0)).alias(f"pool_{y}") for y in k.STATISTICS_YEARS]
+    cells = stats.groupBy("cell").agg(*maps, *pools)
     at = lambda y, q, code: F.coalesce(F.try_element_at(F.col(f"{q}_{y}"), code), F.lit(0.0))
-    reference = F.lit(None).cast("double")
-    for group, parts in k.GROUPS.items():
-        total = sum((at(2005, "area_ha", F.lit(p)) for p in parts[1:]), at(2005, "area_ha", F.lit(parts[0])))
-        reference = F.when(F.col("grp") == group, total).otherwise(reference)
+    grown = lambda before, after: F.greatest(after - before, F.lit(0.0))
+    codes = F.array(*[F.lit(x) for x in k.SHARED])
+    common = lambda a, b: F.aggregate(codes, F.lit(0.0), lambda total, x: total + grown(at(a, "area_ha", x), at(b, "area_ha", x)))
+    groups = F.create_map(*[x for g, parts in k.GROUPS.items() for x in (F.lit(g), F.aggregate(F.array(*[F.lit(p) for p in parts]), F.lit(0.0), lambda total, x: total + at(2005, "area_ha", x)))])
+    cells = cells.select("*", groups.alias("references"), *[(common(a, b) + grown(F.col(f"pool_{a}"), F.col(f"pool_{b}"))).alias(f"total_{a}_{b}") for a, b in SHARE_SPANS])
+    rows = cells.select("*", F.explode(F.array(*literals)).alias("k")).select("*", "k.*")
+    reference = F.try_element_at("references", F.col("grp"))
     share = F.when(F.col("grp").isNull(), 1.0).when(reference > 0, at(2005, "area_ha", F.col("code_2005")) / reference).otherwise(1 / F.col("siblings"))
-    years = F.array(*[F.struct(F.lit(y).alias("year"), *[(at(y, q, F.col(f"code_{y}")) * (share if y == 2000 else F.lit(1.0))).alias(q) for q in ("area_ha", "production_mt")]) for y in k.STATISTICS_YEARS])
-    return rows.select("cell", "crop", F.explode(years).alias("v")).select("cell", "v.year", "crop", "v.area_ha", "v.production_mt")
+    rows = rows.withColumn("part", share)
+    own = [(at(y, q, F.col(f"code_{y}")) * (F.col("part") if y == 2000 else F.lit(1.0))).alias(f"{name}_{y}") for y in k.STATISTICS_YEARS for q, name in (("area_ha", "area"), ("production_mt", "production"))]
+    return rows.select("cell", "crop", *own, *[f"total_{a}_{b}" for a, b in SHARE_SPANS], F.try_element_at("area_ha_2020", F.col("code_2020")).alias("crop_area"))
 
 
-def _by_year(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("year") == y, value)), F.lit(0.0)).alias(f"y{y}") for y in k.STATISTICS_YEARS])
-
-
-SHARE_SPANS = [(2000, 2005), (2005, 2010), (2010, 2020), (2000, 2020)]
+def harmonized(stats: DataFrame) -> DataFrame:
+    """(cell, year, crop, area_ha, production_mt) for every cell and attributed crop."""
+    years = F.array(*[F.struct(F.lit(y).alias("year"), F.col(f"area_{y}").alias("area_ha"), F.col(f"production_{y}").alias("production_mt")) for y in k.STATISTICS_YEARS])
+    return crop_cells(stats).select("cell", "crop", F.explode(years).alias("v")).select("cell", "v.year", "crop", "v.area_ha", "v.production_mt")
 
 
-def _grown(a: int, b: int) -> Column:
-    return F.greatest(F.col(f"y{b}") - F.col(f"y{a}"), F.lit(0.0))
+def _expansion(a: int, b: int) -> Column:
+    return F.greatest(F.col(f"area_{b}") - F.col(f"area_{a}"), F.lit(0.0))
 
 
-def _spans(df: DataFrame, keys: list[str]) -> DataFrame:
-    spans = F.array(*[F.struct(F.lit(a).alias("before"), F.lit(b).alias("after"), _grown(a, b).alias("x")) for a, b in SHARE_SPANS])
-    return df.select(*keys, F.explode(spans).alias("s")).select(*keys, "s.before", "s.after", F.col("s.x").alias("expansion"))
+def _share(a: int, b: int) -> Column:
+    total = F.col(f"total_{a}_{b}")
+    return F.when(total > 0, _expansion(a, b) / total).otherwise(0.0)
 
 
 def expansion_shares(stats: DataFrame) -> DataFrame:
     """(cell, crop, before, after, expansion, total, share) for three spans and the whole period.
 
-    Total is the sum of shared crops' expansions plus the net expansion of all others as one pool, so
-    re-labelling makes none. The share is 0 where nothing expands, and is not capped.
+    The share is 0 where nothing expands, and is not capped.
     """
-    by_crop = _spans(_by_year(harmonized(stats), ["cell", "crop"], F.col("area_ha")), ["cell", "crop"])
-    shared = F.col("crop").isin(k.SHARED)
-    own = _spans(_by_year(stats.filter(shared), ["cell", "crop"], F.col("area_ha")), ["cell", "crop"])
-    common = own.groupBy("cell", "before", "after").agg(F.sum("expansion").alias("common"))
-    rest = _spans(_by_year(stats, ["cell"], F.when(~shared, F.col("area_ha"))), ["cell"]).withColumnRenamed("expansion", "residual")
-    total = rest.join(common, ["cell", "before", "after"], "left").select("cell", "before", "after", (F.coalesce("common", F.lit(0.0)) + F.col("residual")).alias("total"))
-    out = by_crop.join(total, ["cell", "before", "after"])
-    share = F.when(F.col("total") > 0, F.col("expansion") / F.col("total")).otherwise(0.0)
-    return out.select("cell", "crop", "before", "after", "expansion", "total", share.alias("share"))
+    spans = F.array(*[F.struct(F.lit(a).alias("before"), F.lit(b).alias("after"), _expansion(a, b).alias("expansion"), F.col(f"total_{a}_{b}").alias("total"), _share(a, b).alias("share")) for a, b in SHARE_SPANS])
+    return crop_cells(stats).select("cell", "crop", F.explode(spans).alias("s")).select("cell", "crop", "s.*")
 
 
 def production_weights() -> dict[int, float]:
@@ -114,10 +118,13 @@ def production_weights() -> dict[int, float]:
     return out
 
 
+def _production() -> Column:
+    return sum((F.col(f"production_{y}") * w for y, w in production_weights().items()), F.lit(0.0))
+
+
 def windowed_production(stats: DataFrame) -> DataFrame:
     """(cell, crop, production_mt): production discounted over the spans."""
-    rows = _by_year(harmonized(stats), ["cell", "crop"], F.col("production_mt"))
-    return rows.select("cell", "crop", sum((F.col(f"y{y}") * w for y, w in production_weights().items()), F.lit(0.0)).alias("production_mt"))
+    return crop_cells(stats).select("cell", "crop", _production().alias("production_mt"))
 
 
 MEASURES = ["crop_hectares", "forest_emissions_mt", "peatland_conversion_emissions_mt", "peatland_crop_hectares", "peatland_occupation_emissions_mt", "emissions_mt", "production_mt"]
@@ -129,14 +136,11 @@ def roll_up(layers: DataFrame, stats: DataFrame, zones: DataFrame, crops: list[s
     ``layers``: cell, ha and coarse layers; ``zones``: (cell, admin_id). Shares are made per cell once, whatever
     the number of zones. A zone's crop without any value has 0.
     """
-    shares = expansion_shares(stats)
-    wide = shares.groupBy("cell", "crop").agg(*[F.max(F.when((F.col("before") == a) & (F.col("after") == b), F.col("share"))).alias(f"share_{a}_{b}") for a, b in SHARE_SPANS])
+    rows = crop_cells(stats)
     if crops:
-        wide = wide.filter(F.col("crop").isin(crops))
-    names = F.broadcast(crop_table(stats.sparkSession).select("crop", "code_2020"))
-    latest = stats.filter("year = 2020").select("cell", F.col("crop").alias("code_2020"), F.col("area_ha").alias("crop_area"))
-    rows = wide.join(names, "crop").join(latest, ["cell", "code_2020"], "left").join(windowed_production(stats), ["cell", "crop"])
-    rows = rows.join(layers, "cell").join(zones, "cell")
+        rows = rows.filter(F.col("crop").isin(crops))
+    rows = rows.select("cell", "crop", "crop_area", _production().alias("production_mt"), *[_share(a, b).alias(f"share_{a}_{b}") for a, b in SHARE_SPANS])
+    rows = rows.join(layers.join(zones, "cell"), "cell")
     of = lambda source: e.discounted({(a, b): F.col(f"{source}_{a}_{b}") * F.col("ha") * F.col("share_{}_{}".format(*k.STATISTICS_SPAN[a, b])) for a, b in SPANS})
     occupation = F.col("occupation") * F.col("ha") * F.col("share_2000_2020")
     values = {

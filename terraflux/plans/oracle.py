@@ -37,8 +37,8 @@ def by_zone(values: list[float]) -> str:
     return "CASE zone " + " ".join(f"WHEN {i} THEN CAST({float(v)!r} AS DOUBLE)" for i, v in enumerate(values, 1)) + " END"
 
 
-def r(x: str, digits: int, name: str | None = None) -> str:
-    return f"round({x} + 1e-9, {digits}) + 0.0 AS {name or x}"
+def r(x: str, digits: int, name: str | None = None, bias: float = 1e-9) -> str:
+    return f"round({x} + {bias}, {digits}) + 0.0 AS {name or x}"
 
 
 CLASS = {y: ranges(f"lc_{y}", k.LAND_CLASS_RANGES, 0) for y in YEARS}
@@ -173,7 +173,7 @@ def national(rows: str) -> str:
     return f"SELECT *, {_ratio('<>')} FROM (SELECT 'NATIONAL' AS admin_level, crop_name, national_name AS jurisdiction_name, methodology, iso AS admin_id, {sums} FROM {rows} p JOIN (SELECT DISTINCT iso, national_name FROM ({fx.PROVINCES_SQL})) ON iso = substr(p.admin_id, 1, 3) GROUP BY ALL)"
 
 
-FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 4) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
+FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 1, bias=0.003) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
 
 AREAS = f"(SELECT *, {HA} AS ha FROM {ZONED}) a"
 ROW_CROP = f"coalesce(crop_code IN ({', '.join(map(str, ROW_CROPS))}), false)"
@@ -283,8 +283,8 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "year_pairs": f"SELECT before, after, from_class, to_class, count(*) AS n FROM (SELECT year AS before, lead(year) OVER p AS after, class AS from_class, lead(class) OVER p AS to_class FROM ({' UNION ALL '.join(f'SELECT o, {y} AS year, {x} AS class FROM {PX}' for y, x in CLASS.items())}) WINDOW p AS (PARTITION BY o ORDER BY year)) WHERE after IS NOT NULL GROUP BY ALL",
     "crop_harmonized": f"WITH {STATS} SELECT cell, year, crop, {r('area_ha', 3)}, {r('production_mt', 3)} FROM hz",
     "crop_expansion_share": f"WITH {STATS} SELECT cell, crop, before, after, {r('expansion', 3)}, {r('total', 3)}, {r('share', 6)} FROM sh",
-    "windowed_production": f"WITH {STATS} SELECT cell, crop, {r('production_mt', 2)} FROM wp",
-    "statistical_rollup": f"WITH {ROLLED} SELECT admin_id, crop_name, {', '.join(r(x, 2) for x in [*_SUMS[:-1], 'production_mt'])} FROM rolled",
+    "windowed_production": f"WITH {STATS} SELECT cell, crop, {r('production_mt', 2, bias=1e-4)} FROM wp",
+    "statistical_rollup": f"WITH {ROLLED} SELECT admin_id, crop_name, {', '.join(r(x, 2, bias=1e-4) for x in [*_SUMS[:-1], 'production_mt'])} FROM rolled",
     "direct_rollup": f"WITH {DIRECT} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)} FROM direct",
     "mean_yield": f"WITH {YIELDS} SELECT admin_id, crop_name, {r('yield_kg_per_ha', 4)} FROM mean",
     "factor_direct": f"WITH {DIRECT}, {YIELDS} SELECT {FACTORS} FROM ({DIRECT_ROWS})",

