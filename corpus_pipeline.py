@@ -34,9 +34,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their words taken, copies and first training position, range-sorted by it."""
-    placed = mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", F.try_element_at("positions", F.lit(1)).alias("position"))
-    return placed.orderBy("position", "doc_id")
+    """One row per taken copy with its position and its words as ``taken``, range-sorted; documents that are not taken
+    follow with no words and no position."""
+    mixed = materialise(mixing.mix(docs), "mixed")
+    return mixing.every_copy(mixed).orderBy(F.col("position").asc_nulls_last(), "doc_id", "copy")
 
 
 STAGES = [

@@ -91,6 +91,13 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", places.alias("positions"))
 
 
+def every_copy(mixed: DataFrame) -> DataFrame:
+    """One row per copy, taken its words; a document that is not taken is one row of no words, copy and position null."""
+    copies = mixed.select("doc_id", "source", "size", "source_size", "target", F.col("taken").alias("all"), F.posexplode_outer("positions").alias("copy", "position"))
+    words_here = F.coalesce(F.least(F.col("size"), F.col("all") - F.col("copy") * F.col("size")), F.lit(0).cast("long"))
+    return copies.select("doc_id", "source", "size", "source_size", "target", "copy", words_here.alias("taken"), "position")
+
+
 def in_order(mixed: DataFrame) -> DataFrame:
     """One row per copy, range-sorted by training position; documents that are not taken are left out."""
     copies = mixed.select("doc_id", "source", "size", "taken", F.posexplode("positions").alias("copy", "position"))

@@ -48,7 +48,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+    first = F.try_element_at("positions", F.lit(1))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "positions").orderBy(first.asc_nulls_last(), "doc_id")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
