@@ -33,8 +33,8 @@ OWN = 96
 TAILS = CLASSES - 2 - OWN
 WIDTH = 16
 CONTEXT = 2
-#: Every fourth position of every text is trained on in a round, the start shifting with text and round.
-STRIDE = 4
+#: A round trains on every second position of the texts, the next round on those between: each position is a target once.
+STRIDE = 2
 ROUNDS = 2
 NOISE = 48
 STEP = 256
@@ -132,6 +132,11 @@ def shaped(values: np.ndarray) -> list[np.ndarray]:
     return [p.reshape(s) for p, s in zip(np.split(values, cuts), _SHAPES, strict=True)]
 
 
+def positions(n: int, number: int) -> np.ndarray:
+    """Those of ``n`` places that round ``number`` trains on; all rounds together have every place."""
+    return np.arange(number % STRIDE, n, STRIDE)
+
+
 class Trainer:
     """Noise-contrastive estimation with AdaGrad steps; noise is drawn from the class shares, anew for each step."""
 
@@ -247,8 +252,7 @@ def _round(docs: DataFrame, vocabulary: Broadcast, parameters: list[np.ndarray],
                 t = Text(texts[part])
                 classes = words.classes(t)
                 columns = [*contexts(classes, t), classes]
-                at = np.arange((number * 2 + 1) % STRIDE, len(classes), STRIDE)
-                at = trainer.draw.permutation(at)
+                at = trainer.draw.permutation(positions(len(classes), number))
                 held.append([c[at] for c in columns])
                 size += len(at)
                 if size >= STEP:
