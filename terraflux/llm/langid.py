@@ -22,7 +22,7 @@ from terraflux.llm.tokens import Tokens, batches, texts_of
 HOLD_OUT = 5
 #: Slots of the trigram table and of the word table, each.
 SLOTS = 1 << 14
-#: Languages that are learned, the most frequent ones: bounds what goes to the driver and to every task.
+#: Languages that are counted in one pass: bounds a task's counts. More languages mean more passes, never fewer languages.
 LANGUAGES = 200
 SWITCH = 10.0
 #: A script is a language's own if this share of its words is written in it.
@@ -165,7 +165,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     begins, longest = first[:-1][order], int(counts.max(initial=0))
     active = np.searchsorted(-counts[order], -np.arange(longest), "left")  # texts with more than t words
     value = np.zeros((n, k), np.float32)
-    stays, best = np.ones(scores.shape, bool), np.zeros(len(scores), np.int16)
+    stays, best = np.ones(scores.shape, bool), np.zeros(len(scores), np.int32)
     row = np.arange(n)
     for t in range(longest):
         a = active[t]
@@ -174,7 +174,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
         least = (v[row[:a], top] - SWITCH)[:, None]
         stays[at], best[at] = v >= least, top
         value[:a] = np.maximum(v, least) + scores[at]
-    out, now = np.zeros(len(scores), np.int16), value.argmax(axis=1).astype(np.int16)
+    out, now = np.zeros(len(scores), np.int32), value.argmax(axis=1).astype(np.int32)
     for t in range(longest - 1, -1, -1):
         a = active[t]
         at, here = begins[:a] + t, now[:a]
@@ -186,12 +186,22 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame) -> Model:
     """Learn from every row with a language whose crc32 remainder is not 0; null text counts as empty.
 
-    Only the counts come to the driver: at most ``LANGUAGES`` times two tables of ``SLOTS``.
+    Every language is learned, ``LANGUAGES`` of them in a pass. Only counts come to the driver; the
+    model has two tables of ``SLOTS`` for each language.
     """
     own = docs.filter("lang is not null").filter(id_remainder(F.col("doc_id"), HOLD_OUT) != 0)
-    common = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    common = sorted((r["lang"], r["count"]) for r in common)
-    languages = [lang for lang, _ in common]
+    known = sorted((r["lang"], r["count"]) for r in own.groupBy("lang").count().collect())
+    languages = [lang for lang, _ in known]
+    sums = np.zeros((len(languages), 2 * SLOTS + len(NAMES)), np.float32 if len(languages) > LANGUAGES else np.float64)
+    for begin in range(0, len(languages), LANGUAGES):
+        block = languages[begin : begin + LANGUAGES]
+        part = own if len(block) == len(languages) else own.filter(F.col("lang").isin(block))
+        sums[begin : begin + len(block)] = _counts(part, block)
+    return Model(languages, sums[:, :SLOTS], sums[:, SLOTS : 2 * SLOTS], sums[:, 2 * SLOTS :], np.array([n for _, n in known], float))
+
+
+def _counts(docs: DataFrame, languages: list[str]) -> np.ndarray:
+    """Counts of trigrams, words and scripts in the rows of some languages: (language, slot)."""
     number = {lang: i for i, lang in enumerate(languages)}
     width = 2 * SLOTS + len(NAMES)
 
@@ -199,24 +209,21 @@ def train(docs: DataFrame) -> Model:
         sums = np.zeros(len(languages) * width, np.int64)
         for batch in found:
             texts = texts_of(batch)
-            lang = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()])
+            lang = np.array([number[x] for x in batch.column("lang").to_pylist()])
             for part in batches(texts):
                 w = Words(texts[part])
                 of_word = np.repeat(lang[part], w.tokens.counts)
                 of_byte = np.repeat(of_word, np.diff(w.bounds))
                 for at, slot in ((of_byte, w.slots), (of_word, SLOTS + w.word_slots), (of_word, 2 * SLOTS + w.scripts.astype(np.int64))):
-                    own = at >= 0
-                    sums += np.bincount(at[own] * width + slot[own], minlength=len(sums))
+                    sums += np.bincount(at * width + slot, minlength=len(sums))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["slot", "n"])
 
-    text = own.select("lang", F.col("text").cast("binary").alias("text"))
+    text = docs.select("lang", F.col("text").cast("binary").alias("text"))
     rows = text.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(len(languages) * width)
     sums[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
-    sums = sums.reshape(len(languages), width)
-    documents = np.array([n for _, n in common], float)
-    return Model(languages, sums[:, :SLOTS], sums[:, SLOTS : 2 * SLOTS], sums[:, 2 * SLOTS :], documents)
+    return sums.reshape(len(languages), width)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
