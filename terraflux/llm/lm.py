@@ -6,8 +6,10 @@ their own, the others share classes by their last three bytes, so an unseen word
 probability is its class's, normalised over all classes, times the word's smoothed share of its class
 (one outcome of each class stands for unseen words), so the probabilities of all outcomes add up to one.
 
-Training is data-parallel: every partition runs stochastic steps on its own rows from common
-parameters, and the partitions' results are averaged, weighted by their steps, for ``ROUNDS`` rounds. The
+Training needs the texts for one thing only, how many positions have each class after each pair of classes.
+These counts are exact and of all positions, and their table is bounded by the number of classes. It is dealt to
+tasks by its key: each runs stochastic steps from common parameters on its part of the positions, in which a
+gram of count n weighs n, and the results are averaged, weighted by their steps, after each round. The
 class log-probabilities of all pairs of context classes are made once per worker by batched matrix products.
 
 Counts of rare words are never sent around whole: a text's rare words go to the counts by a join.
@@ -15,6 +17,7 @@ Counts of rare words are never sent around whole: a text's rare words go to the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +36,16 @@ OWN = 96
 TAILS = CLASSES - 2 - OWN
 WIDTH = 16
 CONTEXT = 2
-#: A round trains on every second position of the texts, the next round on those between: each position is a target once.
+#: A round trains on every second of the positions, the next round on those between: together they have each position once.
 STRIDE = 2
 ROUNDS = 2
+#: So often do the rounds go over all positions.
+EPOCHS = 3
 NOISE = 48
-STEP = 256
+STEP = 1024
+#: Distinct class grams of a training task, and positions whose grams are counted at once.
+TASK_ROWS = 1 << 18
+GRAMS = 1 << 22
 RATE = 0.1
 SMOOTH = 0.1
 #: Words whose counts go to every task: all those above some count, at most so many.
@@ -133,45 +141,66 @@ def shaped(values: np.ndarray) -> list[np.ndarray]:
 
 
 def positions(n: int, number: int) -> np.ndarray:
-    """Those of ``n`` places that round ``number`` trains on; all rounds together have every place."""
+    """Those of ``n`` places that round ``number`` trains on; ``ROUNDS`` rounds together have every place once."""
     return np.arange(number % STRIDE, n, STRIDE)
 
 
+def entries(n: np.ndarray, cap: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, weight): row i with count n[i] in equal parts of at most ``cap``, so that no step is one heavy row's."""
+    parts = np.ceil(n / cap).astype(np.int64)
+    return np.repeat(np.arange(len(n)), parts), np.repeat(n / parts, parts).astype(np.float32)
+
+
+def _summed(rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+    """out[k] += the sum of the rows at k, for few different k: sorted runs are added up at once."""
+    order = np.argsort(at.astype(np.int16), kind="stable")
+    own = at[order]
+    begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    out[own[begin]] += np.add.reduceat(rows[order], begin, axis=0)
+
+
 class Trainer:
     """Noise-contrastive estimation with AdaGrad steps; noise is drawn from the class shares, anew for each step."""
 
     def __init__(self, parameters: list[np.ndarray], share: np.ndarray, seed: int):
-        self.p = [p.copy() for p in parameters]
+        self.p = [p.astype(np.float32) for p in parameters]
         self.squares = [np.full_like(p, 1e-2) for p in self.p]
         self.cumulated, self.draw = np.cumsum(share), np.random.default_rng(seed)
-        self.log_noise = np.log(NOISE * np.maximum(share, 1e-12))
+        self.log_noise = np.log(NOISE * np.maximum(share, 1e-12)).astype(np.float32)
         self.steps = 0
 
-    def step(self, before: list[np.ndarray], target: np.ndarray) -> None:
+    def step(self, before: list[np.ndarray], target: np.ndarray, weight: np.ndarray) -> None:
+        """One step on some positions; their weights are 1 on the average over all steps."""
         x, c, r, b = self.p
         noise = np.minimum(np.searchsorted(self.cumulated, self.draw.random(NOISE), "right"), CLASSES - 1)
         rows = [x[k] for k in before]
         q = sum(row @ m for row, m in zip(rows, c, strict=True))
-        true = _logistic(self.log_noise[target] - (q * r[target]).sum(axis=1) - b[target])
-        false = -_logistic(q @ r[noise].T + b[noise] - self.log_noise[noise])
-        dq = true[:, None] * r[target] + false @ r[noise]
+        own = r[target]
+        true = weight * _logistic(self.log_noise[target] - np.einsum("ij,ij->i", q, own) - b[target])
+        false = _logistic(q @ r[noise].T + (b - self.log_noise)[noise])
+        false *= -weight[:, None]
+        dq = true[:, None] * own + false @ r[noise]
         grads = [np.zeros_like(p) for p in self.p]
         for k, row, m, g in zip(before, rows, c, grads[1], strict=True):
-            np.add.at(grads[0], k, dq @ m.T)
+            _summed(dq @ m.T, k, grads[0])
             g += row.T @ dq
-        np.add.at(grads[2], target, true[:, None] * q)
+        _summed(true[:, None] * q, target, grads[2])
         np.add.at(grads[2], noise, false.T @ q)
-        np.add.at(grads[3], target, true)
+        grads[3] += np.bincount(target, true, CLASSES).astype(np.float32)
         np.add.at(grads[3], noise, false.sum(axis=0))
         for p, g, s in zip(self.p, grads, self.squares, strict=True):
-            g /= len(target)
+            g /= np.float32(len(target))
             s += g * g
-            p += RATE * g / np.sqrt(s)
+            p += np.float32(RATE) * g / np.sqrt(s)
         self.steps += 1
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.negative(out, out)
+    np.exp(out, out)
+    out += 1
+    return np.reciprocal(out, out)
 
 
 def class_log10(parameters: list[np.ndarray]) -> np.ndarray:
@@ -237,41 +266,67 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
     return Vocabulary(n, v, hashes.view(np.uint64), ns, own.astype(np.int64), tail_counts, tail_types)
 
 
-def _round(docs: DataFrame, vocabulary: Broadcast, parameters: list[np.ndarray], number: int) -> list[np.ndarray]:
-    """One pass over all training rows: local steps per partition, then the average of the results."""
-    sent = docs.sparkSession.sparkContext.broadcast(parameters)
+def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(code, n): how many positions of ``docs`` have each class after each pair of context classes.
 
-    def learn(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary.value
-        trainer = Trainer(sent.value, words.class_share, 7919 * number + TaskContext.get().partitionId())
-        held: list[list[np.ndarray]] = []
+    The model sees nothing else of a position, so these counts are all that training needs of the texts:
+    every position counts, and the table has at most ``CLASSES`` ** 3 rows whatever the corpus.
+    """
+
+    def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         size = 0
+
+        def flushed() -> pa.RecordBatch:
+            codes, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(n)], ["code", "n"])
+
         for batch in found:
             texts = texts_of(batch)
             for part in batches(texts):
                 t = Text(texts[part])
-                classes = words.classes(t)
-                columns = [*contexts(classes, t), classes]
-                at = trainer.draw.permutation(positions(len(classes), number))
-                held.append([c[at] for c in columns])
-                size += len(at)
-                if size >= STEP:
-                    merged = [np.concatenate(c) for c in zip(*held, strict=True)]
-                    stop = size - size % STEP
-                    for i in range(0, stop, STEP):
-                        *before, target = (c[i : i + STEP] for c in merged)
-                        trainer.step(before, target)
-                    held, size = [[c[stop:] for c in merged]], size - stop
-        if size and not trainer.steps:  # fewer positions than one step
-            *before, target = (np.concatenate(c) for c in zip(*held, strict=True))
-            trainer.step(before, target)
+                classes = vocabulary.value.classes(t)
+                one, two = contexts(classes, t)
+                held.append(((two * CLASSES + one) * CLASSES + classes).astype(np.uint32))
+                size += len(classes)
+                if size >= GRAMS:
+                    yield flushed()
+                    held, size = [], 0
+        if size:
+            yield flushed()
+
+    return docs.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def _round(grams: DataFrame, tasks: int, cap: float, share: np.ndarray, parameters: list[np.ndarray], number: int) -> list[np.ndarray]:
+    """Local steps per partition on this round's part of the positions, then the average of the results."""
+    sent = grams.sparkSession.sparkContext.broadcast((parameters, share))
+
+    def learn(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # at most CLASSES ** 3 rows of all partitions together
+        parts = [(b.column("code").to_numpy(), b.column("n").to_numpy()) for b in found if b.num_rows]
+        if not parts:
+            return
+        code, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begin, shares = sent.value
+        trainer = Trainer(begin, shares, 7919 * number + TaskContext.get().partitionId())
+        # one shuffle for all rounds of an epoch, so that together they have every entry once
+        row, weight = entries(n, cap)
+        order = np.random.default_rng(number // STRIDE).permutation(len(row))
+        order = order[positions(len(order), number)]
+        row, weight = row[order], weight[order] / np.float32(cap)
+        target, one, two = code % CLASSES, code // CLASSES % CLASSES, code // CLASSES**2
+        for i in range(0, len(row), STEP):
+            at = row[i : i + STEP]
+            trainer.step([one[at], two[at]], target[at], weight[i : i + STEP])
         if trainer.steps:
-            yield pa.RecordBatch.from_arrays([pa.array([trainer.steps], pa.int64()), pa.array([flat(trainer.p)], pa.list_(pa.float64()))], ["steps", "p"])
+            made = [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([trainer.steps], pa.int64()), pa.array([flat(trainer.p)], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(made, ["task", "steps", "p"])
 
-    made = docs.mapInArrow(learn, "steps long, p array<double>")
-    cells = made.select("steps", F.posexplode("p").alias("i", "x"))
-    mean = cells.groupBy("i").agg((F.sum(F.col("x") * F.col("steps")) / F.sum("steps")).alias("x")).toPandas().sort_values("i")
-    return shaped(mean.x.to_numpy()) if len(mean) else parameters
+    # dealt and sorted by code: the parameters do not depend on how the files are split
+    dealt = grams.repartition(tasks, "code").sortWithinPartitions("code")
+    made = dealt.mapInArrow(learn, "task int, steps long, p array<float>").toPandas().sort_values("task")
+    return shaped(np.average(np.stack(made.p.to_numpy()).astype(float), axis=0, weights=made.steps)) if len(made) else parameters
 
 
 def train(docs: DataFrame) -> Model:
@@ -280,13 +335,16 @@ def train(docs: DataFrame) -> Model:
     counts = materialise(count_words(own), "word-counts")
     vocabulary = vocabulary_of(counts)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    grams = materialise(class_grams(own, sent), "class-grams")
+    rows, total = grams.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     parameters = start(vocabulary)
-    for number in range(ROUNDS):
-        parameters = _round(own, sent, parameters, number)
+    for number in range(EPOCHS * ROUNDS if rows else 0):
+        parameters = _round(grams, -(-rows // TASK_ROWS), total / rows, vocabulary.class_share, parameters, number)
+    discard(grams)
     return Model(vocabulary, parameters, counts)
 
 
-_tables: dict[int, np.ndarray] = {}
+_tables: dict[str, np.ndarray] = {}
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -297,10 +355,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     spark = docs.sparkSession
     sent, parameters = spark.sparkContext.broadcast(model.vocabulary), spark.sparkContext.broadcast(model.parameters)
+    key = uuid.uuid4().hex  # of the table that a worker keeps between tasks
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
-        key = id(words)
         if key not in _tables:
             _tables.clear()
             _tables[key] = class_log10(parameters.value).ravel()
