@@ -3,8 +3,9 @@
 Targets: every source gets its share of the words by weight, capped at ``MAX_REPEATS`` times its
 size, the excess reshared by weight (water filling, in closed form over sources sorted by size per weight).
 Curriculum: source s is drawn at the rate target_s * (1 + ramp_s * (2t - 1)) at time t of 0..1. Its
-integral is the cumulative demand; a document's offset in its source, divided by the target and put
-through the inverse of that integral, is its training position, and documents are range-sorted by it.
+integral is the cumulative demand of the source; a document's offset in its source, divided by the target and put
+through the inverse of that integral, is the time at which it is due. The demand of all sources up to then, as a share
+of the whole, is its training position, and documents are range-sorted by it.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 from terraflux.llm.shared import WORD, materialise
 
 MAX_REPEATS = 3
-#: Ramp of the rate by weight 1, 2, 3: light sources early, heavy ones late.
+WEIGHTS = (1, 2, 3)
+#: Ramp of the rate by weight: light sources early, heavy ones late.
 RAMPS = (-0.5, 0.0, 0.5)
-#: Hex digits of the order key that make a bucket: offsets are summed within buckets, then over bucket totals.
-BUCKET_DIGITS = 2
+#: Hex digits of the order key that make a bucket: offsets are summed within buckets, then over bucket totals. A source of
+#: 10^10 documents has about 150,000 in each of 65,536 buckets.
+BUCKET_DIGITS = 4
 
 
 def words(text: Column) -> Column:
@@ -26,10 +29,11 @@ def words(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """(source, weight, source_size, target) of every source of ``sizes`` (source, size).
+    """(source, weight, source_size, target, demand) of every source of ``sizes`` (source, size).
 
     Sources by code point, null last, weigh 1, 2, 3, repeating. The targets add up to all sizes.
-    A source without words has target 0. No rows give no rows.
+    A source without words has target 0. demand, the same in each row: whole words of the targets of each weight. No rows
+    give no rows. Ranks need all distinct sources, one row each, in one place.
     """
     own = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -44,7 +48,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     level = F.first(F.when(~F.col("full"), F.struct("rest", "heavy")), ignorenulls=True).over(every)
     own = own.withColumn("level", level)
     target = F.when(F.col("full"), F.col("cap").cast("double")).otherwise((F.col("level.rest") * F.col("weight")).cast("double") / F.col("level.heavy"))
-    return own.select("source", "weight", "source_size", target.alias("target"))
+    own = own.select("source", "weight", "source_size", target.alias("target"))
+    all_rows = Window.orderBy("weight").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    demand = [F.sum(F.when(F.col("weight") == w, F.floor("target")).otherwise(0)).over(all_rows) for w in WEIGHTS]
+    return own.withColumn("demand", F.array(*demand))
 
 
 def position(share: Column, ramp: Column) -> Column:
@@ -54,13 +61,20 @@ def position(share: Column, ramp: Column) -> Column:
     return F.when(ramp == 0, share).otherwise(bent)
 
 
+def progress(time: Column, demand: Column, ramps: tuple[float, float, float]) -> Column:
+    """Share of all sources' demand that is due up to ``time``."""
+    flat = sum(demand[i] * F.lit(1.0 - r) for i, r in enumerate(ramps))
+    bent = sum(demand[i] * F.lit(float(r)) for i, r in enumerate(ramps))
+    return (flat * time + bent * time * time) / (flat + bent)
+
+
 def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, positions.
 
     A source is passed over in the order of md5(doc_id); a pass takes whole documents, and the last,
     partial pass ends within one document, exactly at the whole words of the target. taken is the
     number of words over all passes, at most ``MAX_REPEATS`` times size; positions has the training
-    position of each copy. Reruns agree: the order depends on ids and sizes alone, and repeated rows
+    position of each copy, 0 to 1. Reruns agree: the order depends on ids and sizes alone, and repeated rows
     share a source's words between them. Null text has size 0; null ids sort as the empty text;
     other columns are ignored; empty tables give no rows. A hot source is no single group: offsets
     are summed within buckets of the order and over bucket totals.
@@ -73,11 +87,11 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     totals = sizes.groupBy(*own).agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
-    facts = totals.alias("a").join(weighed.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "bucket", "base", "weight", "source_size", "target")
+    facts = totals.alias("a").join(weighed.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "bucket", "base", "weight", "source_size", "target", "demand")
     within = Window.partitionBy(*own).orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sizes.withColumn("offset", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))
-    rows = rows.alias("a").join(facts.alias("b"), same).select("doc_id", "a.source", "size", "weight", "source_size", "target", (F.col("offset") + F.col("base")).alias("offset"))
+    rows = rows.alias("a").join(facts.alias("b"), same).select("doc_id", "a.source", "size", "weight", "source_size", "target", "demand", (F.col("offset") + F.col("base")).alias("offset"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumn("whole", whole)
     rest = F.floor("target") - F.col("whole") * F.col("source_size") - F.col("offset")
@@ -87,7 +101,7 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     rows = rows.withColumn("copies", copies)
     ramp = F.element_at(F.array(*[F.lit(float(r)) for r in ramps]), F.col("weight").cast("int"))
     share = lambda k: F.least(F.lit(1.0), (k * F.col("source_size") + F.col("offset")) / F.col("target"))
-    places = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: position(share(k), ramp))).otherwise(F.array().cast("array<double>"))
+    places = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: progress(position(share(k), ramp), F.col("demand"), ramps))).otherwise(F.array().cast("array<double>"))
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", places.alias("positions"))
 
 

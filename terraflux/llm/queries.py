@@ -47,9 +47,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document in training order; ``position_k`` is the position of its k-th copy, null if it is not taken so often."""
+    copies = [F.try_element_at("positions", F.lit(k)).alias(f"position_{k}") for k in range(1, mixing.MAX_REPEATS + 1)]
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    first = F.try_element_at("positions", F.lit(1))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "positions").orderBy(first.asc_nulls_last(), "doc_id")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", *copies).orderBy(F.col("position_1").asc_nulls_last(), "doc_id")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +103,19 @@ c AS (
 e AS (SELECT *, cap * heavy <= rest * weight AS is_full FROM c),
 l AS (SELECT rest, heavy FROM e WHERE NOT is_full ORDER BY heavy DESC LIMIT 1),
 t AS (
-  SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE CAST((SELECT rest FROM l) * weight AS DOUBLE) / (SELECT heavy FROM l) END AS target FROM e),
+  SELECT source, source_size, weight, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE CAST((SELECT rest FROM l) * weight AS DOUBLE) / (SELECT heavy FROM l) END AS target FROM e),
 p AS (
-  SELECT doc_id, d.source, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o,
+  SELECT doc_id, d.source, size, source_size, target, weight, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o,
     CASE WHEN source_size > 0 THEN floor(floor(target) / source_size) ELSE 0 END AS whole
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, source, size, source_size, target, CAST(whole * size + greatest(0, least(floor(target) - whole * source_size - o, size)) AS BIGINT) AS taken FROM p""",
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+g AS (SELECT *, CAST(whole * size + greatest(0, least(floor(target) - whole * source_size - o, size)) AS BIGINT) AS taken FROM p),
+n AS (  -- demand of light sources falls from 1.5 to 0.5 of its mean, that of heavy ones rises likewise
+  SELECT CAST(sum(CASE weight WHEN 1 THEN 1.5 WHEN 2 THEN 1 ELSE 0.5 END * floor(target)) AS DOUBLE) AS u, CAST(sum(CASE weight WHEN 1 THEN -0.5 WHEN 2 THEN 0 ELSE 0.5 END * floor(target)) AS DOUBLE) AS v FROM t),
+y AS (SELECT *, CASE WHEN taken > k * size THEN least(1, (k * source_size + o) / target) END AS y FROM g, (SELECT unnest([0, 1, 2]) AS k)),
+x AS (SELECT *, CASE weight WHEN 2 THEN y WHEN 1 THEN (-1.5 + sqrt(2.25 + 4 * -0.5 * y)) / -1.0 ELSE (-0.5 + sqrt(0.25 + 4 * 0.5 * y)) / 1.0 END AS x FROM y),
+w AS (SELECT *, (u * x + v * x * x) / (u + v) AS z FROM x, n)
+SELECT doc_id, source, size, source_size, target, taken, max(CASE WHEN k = 0 THEN z END) AS position_1, max(CASE WHEN k = 1 THEN z END) AS position_2, max(CASE WHEN k = 2 THEN z END) AS position_3
+FROM w GROUP BY doc_id, source, size, source_size, target, taken, o""",
     "op10_decontamination": f"""
 WITH d AS ({_shingles("documents", "doc_id")}), b AS ({_shingles("benchmark", "item_id")}),
 n AS (SELECT r, count(*) AS n FROM b GROUP BY r)

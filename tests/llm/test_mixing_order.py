@@ -20,8 +20,21 @@ def in_order(positions):
 
 def test_query_gives_positions(spark, docs):
     rows = queries.op8_mixing(spark, SF).collect()
-    assert len(rows) == docs.count() and in_order([r["positions"][0] if r["positions"] else None for r in rows])
-    assert any(len(r["positions"]) > 1 for r in rows) and all((r["taken"] > 0) == (len(r["positions"]) > 0) for r in rows)
+    assert len(rows) == docs.count() and in_order([r["position_1"] for r in rows])
+    for r in rows:
+        places = [r[f"position_{k}"] for k in (1, 2, 3)]
+        assert in_order(places) and sum(p is not None for p in places) == (-(-r["taken"] // r["size"]) if r["size"] else 0)
+    assert any(r["position_2"] is not None for r in rows)
+
+
+def test_position_is_the_share_of_training_before_a_copy(spark, docs):
+    """Copies in order: the words before one are its position's share of all that the mix takes, but for the documents at work."""
+    copies = mixing.in_order(mixing.mix(docs)).collect()
+    total, before = sum(r["words"] for r in copies), 0
+    longest = 4 * max(r["words"] for r in copies) * len({r["source"] for r in copies})
+    for r in copies:
+        assert abs(before - r["position"] * total) <= longest
+        before += r["words"]
 
 
 def test_stage_gives_copies(spark, docs):
