@@ -1,27 +1,32 @@
 """Exact top-k inner products with vector-approximation files.
 
-Vectors stand in blocks. A block keeps, beside its exact integer vectors, the cell of every component
-(its upper 8 bits). For a block of queries the cells are scanned first: a cell's middle gives the inner
-product up to an error that the query bounds, so every vector has a lower and an upper bound. Exact vectors
-are then read in the order of their upper bounds, until the k-th exact score is above all bounds that are left.
+Vectors are stored once, in blocks of two columns: the cells of all components, 8 bits each, and the exact integers.
+For a block of queries a task scans the cells: a cell's middle gives the inner product up to an
+error that the query bounds, so every vector has a lower and an upper bound. Exact vectors are then read in
+the order of their upper bounds, until the k-th exact score is above all bounds that are left; that score is carried
+on to the task's next blocks. Queries go to the tasks, vectors never move for them, and only k rows per query leave a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraflux.llm.shared import materialise
+
 SCALE = 1024
 CELL_BITS = 8
-#: Vectors and queries that one task compares at once.
-BLOCK = 8192
-QUERY_BLOCK = 1024
+#: Bytes of exact vectors in a stored block.
+BLOCK_BYTES = 4 << 20
+#: Queries that are sent to the tasks at once, in about these many bytes. More queries mean more passes.
+QUERY_BYTES = 16 << 20
 LARGEST = 2**63 - 1
+#: Whole numbers up to these are exact in floats.
+_SINGLE, _DOUBLE = 2**24, 2**52
 
 
 def integers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -30,85 +35,152 @@ def integers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     flat = np.floor(SCALE * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     size = np.asarray(column.value_lengths())
     width = int(size.max(initial=0))
-    large = len(flat) and np.abs(flat).max() >= 2**52
+    large = len(flat) and np.abs(flat).max() >= _DOUBLE
     flat = np.array([int(x) for x in flat], object) if large else flat.astype(np.int64)
     out = np.zeros((len(ids), width), flat.dtype)
     out[np.arange(width) < size[:, None]] = flat
     return ids, out
 
 
-def _packed(ids: np.ndarray, x: np.ndarray) -> tuple[bytes, bytes, int]:
-    body = x.astype("<i8").tobytes() if x.dtype != object else ",".join(map(str, x.ravel())).encode()
-    return ids.astype("<i8").tobytes(), body, -x.shape[1] - 1 if x.dtype == object else x.shape[1]
-
-
-def _unpacked(ids: bytes, body: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    own = np.frombuffer(ids, "<i8")
-    if width < 0:
-        width = -width - 1
-        return own, np.array([int(x) for x in body.split(b",")] if body else [], object).reshape(len(own), width)
-    return own, np.frombuffer(body, "<i8").reshape(len(own), width)
-
-
-def search(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, vector, score) of the ``k`` best vectors of a block for each query, ties to smaller ids."""
-    width = max(x.shape[1], q.shape[1])
-    x, q = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (x, q))
-    if not len(x) or not len(q):
-        return []
-    if x.dtype == object or q.dtype == object or float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(width, 1) >= 2**52:
-        x, q = x.astype(object), q.astype(object)  # beyond exact doubles: every vector is read
-        low = high = None
-    else:
-        shift = max(0, int(np.abs(x).max(initial=0)).bit_length() + 1 - CELL_BITS)
-        cells = (x >> shift).astype(np.int16)
-        middle = cells * float(1 << shift) + ((1 << shift) - 1) / 2
-        guess = q.astype(np.float64) @ middle.T
-        error = np.abs(q).sum(axis=1, keepdims=True) * ((1 << shift) - 1) / 2
-        low, high = guess - error, guess + error
-    out = []
-    for i, own in enumerate(q_ids.tolist()):
-        others = np.flatnonzero(ids != own)
-        if high is None:
-            order = others
-        else:
-            bounds = high[i, others]
-            if len(others) > k:  # what the k-th lower bound beats can't be among the best
-                sure = np.partition(low[i, others], -k)[-k]
-                others, bounds = others[bounds >= sure], bounds[bounds >= sure]
-            by = np.argsort(-bounds, kind="stable")
-            order, bounds = others[by], bounds[by]
-        scores = np.zeros(0, x.dtype)
-        step = 4 * k if high is not None else max(len(order), 1)
-        at = 0
-        while at < len(order):
-            scores = np.concatenate([scores, (x[order[at : at + step]] * q[i]).sum(axis=1) if width else np.zeros(len(order[at : at + step]), np.int64)])
-            at += step
-            if at < len(order) and len(scores) >= k and np.partition(scores, -k)[-k] > bounds[at]:
-                break
-            step *= 2
-        seen = order[: len(scores)]
-        best = sorted(zip((-scores).tolist(), ids[seen].tolist(), strict=True))[:k]
-        out += [(own, v, max(-LARGEST - 1, min(LARGEST, -s))) for s, v in best]
-    return out
-
-
-def _blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The vectors of each batch, packed."""
-    for batch in found:
-        for at in range(0, batch.num_rows, BLOCK):
-            ids, body, width = _packed(*integers(batch.slice(at, BLOCK)))
-            yield pa.RecordBatch.from_pylist([{"ids": ids, "body": body, "width": width}], pa.schema([("ids", pa.binary()), ("body", pa.binary()), ("width", pa.int32())]))
-
-
-def _query_blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All queries of a partition as one block; partitions are about ``QUERY_BLOCK`` queries."""
-    tables = [b for b in found if b.num_rows]
-    if tables:
-        whole = pa.Table.from_batches(tables).combine_chunks().to_batches()[0]
-        ids, body, width = _packed(*integers(whole))
-        kinds = [("block", pa.int32()), ("q_ids", pa.binary()), ("q_body", pa.binary()), ("q_width", pa.int32())]
-        yield pa.RecordBatch.from_pylist([{"block": TaskContext.get().partitionId(), "q_ids": ids, "q_body": body, "q_width": width}], pa.schema(kinds))
+class Block:
+    """Vectors of one width with their cells: component x is in cell x >> shift. Components beyond 2**52 have no cells."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, cells: np.ndarray | None, shift: int):
+        self.ids, self.x, self.cells, self.shift = ids, x, cells, shift
+
+    @classmethod
+    def of(cls, ids: np.ndarray, x: np.ndarray) -> Block:
+        if x.dtype == object:
+            return cls(ids, x, None, 0)
+        largest = max(int(x.max(initial=0)), -int(x.min(initial=0)) - 1)
+        shift = max(0, largest.bit_length() + 1 - CELL_BITS)
+        kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if largest <= np.iinfo(t).max)
+        return cls(ids, x.astype(kind), (x >> shift).astype(np.int8), shift)
+
+    def packed(self) -> dict:
+        exact = ",".join(map(str, self.x.ravel())).encode() if self.cells is None else self.x.tobytes()
+        return {"ids": self.ids.astype(np.int64).tobytes(), "cells": None if self.cells is None else self.cells.tobytes(), "exact": exact, "shift": self.shift, "width": self.x.shape[1], "bytes": 0 if self.cells is None else self.x.dtype.itemsize}
+
+    @classmethod
+    def unpacked(cls, row: dict) -> Block:
+        ids = np.frombuffer(row["ids"], np.int64)
+        shape = (len(ids), row["width"])
+        if row["cells"] is None:
+            return cls(ids, np.array([int(x) for x in row["exact"].split(b",")], object).reshape(shape), None, 0)
+        return cls(ids, np.frombuffer(row["exact"], f"i{row['bytes']}").reshape(shape), np.frombuffer(row["cells"], np.int8).reshape(shape), row["shift"])
+
+    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(low, high) of every query with every vector; none where sums would not be exact in floats."""
+        if self.cells is None or q.dtype == object:
+            return None
+        largest = float(np.abs(q).max(initial=0)) * max(q.shape[1], 1)
+        if largest * 2.0 ** (CELL_BITS + self.shift) >= _DOUBLE:
+            return None
+        kind = np.float32 if largest * 2.0 ** (CELL_BITS - 1) < _SINGLE else np.float64
+        # x = cells * 2**shift + a rest of 0 to 2**shift - 1
+        middle = (q.astype(kind) @ self.cells.astype(kind).T).astype(np.float64) * float(1 << self.shift)
+        rest = float((1 << self.shift) - 1) / 2
+        middle += rest * q.sum(axis=1, keepdims=True)
+        error = rest * np.abs(q).sum(axis=1, keepdims=True)
+        return middle - error, middle + error
+
+
+_STORED = "ids binary, cells binary, exact binary, shift int, width int, bytes int"
+_STORED_TYPES = pa.schema([("ids", pa.binary()), ("cells", pa.binary()), ("exact", pa.binary()), ("shift", pa.int32()), ("width", pa.int32()), ("bytes", pa.int32())])
+
+
+def thinned(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among the ``k`` best of a query: of equal vectors those of the k + 1 smallest ids, k rows of each."""
+    if x.dtype == object or not x.size:
+        return np.arange(len(ids))
+    whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel()
+    group = np.unique(whole, return_inverse=True)[1]
+    order = np.lexsort((ids, group))
+    group, own, at = group[order], ids[order], np.arange(len(ids))
+    other = np.concatenate([[True], group[1:] != group[:-1]])
+    new = other | np.concatenate([[True], own[1:] != own[:-1]])
+    nth_id = np.cumsum(new) - np.maximum.accumulate(np.where(other, np.cumsum(new), 0))
+    nth_row = at - np.maximum.accumulate(np.where(new, at, 0))
+    return np.sort(order[(nth_id <= k) & (nth_row < k)])
+
+
+def _stored(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The vectors of each batch in blocks, without copies that cannot be among the ``k`` best."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            ids, x = integers(batch)
+            keep = thinned(ids, x, k)
+            ids, x = ids[keep], x[keep]
+            step = max(64, BLOCK_BYTES // (8 * max(x.shape[1], 1)))
+            for at in range(0, len(ids), step):
+                yield pa.RecordBatch.from_pylist([Block.of(ids[at : at + step], x[at : at + step]).packed()], _STORED_TYPES)
+
+    return run
+
+
+def _wide(x: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(x, ((0, 0), (0, width - x.shape[1])))
+
+
+class Search:
+    """The ``k`` best of the blocks seen so far for each query, ties to smaller ids."""
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, k: int):
+        self.q_ids, self.q, self.k = q_ids, q, k
+        self.best: list[list[tuple[int, int]]] = [[] for _ in q_ids]  # (-score, id), sorted
+
+    def add(self, block: Block) -> None:
+        k, width = self.k, max(block.x.shape[1], self.q.shape[1])
+        q, x = _wide(self.q, width), _wide(block.x, width)
+        if block.cells is not None:
+            block = Block(block.ids, x, _wide(block.cells, width), block.shift)
+        bounds = block.bounds(q)
+        if bounds is None:
+            q, x = q.astype(object), x.astype(object)  # beyond exact floats: every vector is read
+        for i, own in enumerate(self.q_ids.tolist()):
+            others = np.flatnonzero(block.ids != own)
+            best, scores = self.best[i], np.zeros(0, object if bounds is None else np.int64)
+            kth = -best[-1][0] if len(best) >= k else None
+            if bounds is not None:
+                low, high = bounds[0][i, others], bounds[1][i, others]
+                # what the k-th lower bound or the k-th score so far beats can't be among the best
+                sure = np.partition(low, -k)[-k] if len(others) > k else -np.inf
+                sure = max(sure, -np.inf if kth is None else kth)
+                others, high = others[high >= sure], high[high >= sure]
+                by = np.argsort(-high, kind="stable")
+                others, high = others[by], high[by]
+            at, step = 0, 4 * k if bounds is not None else max(len(others), 1)
+            row = q[i] if bounds is None else q[i].astype(np.int64)
+            while at < len(others):
+                part = x[others[at : at + step]]
+                scores = np.concatenate([scores, part.astype(row.dtype) @ row if width else np.zeros(len(part), np.int64)])
+                at += step
+                if at < len(others) and len(scores) >= k and np.partition(scores, -k)[-k] > high[at]:
+                    break
+                step *= 2
+            if not len(scores):
+                continue
+            seen = block.ids[others[: len(scores)]]
+            if bounds is not None and len(scores) > 2 * k:
+                near = scores >= np.partition(scores, -k)[-k]
+                scores, seen = scores[near], seen[near]
+            self.best[i] = sorted([*best, *zip((-scores).tolist(), seen.tolist(), strict=True)])[:k]
+
+    def rows(self) -> pa.RecordBatch:
+        found = [(own, v, max(-LARGEST - 1, min(LARGEST, -s))) for own, best in zip(self.q_ids.tolist(), self.best, strict=True) for s, v in best]
+        columns = zip(*found, strict=True) if found else [[], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+
+
+def _query_blocks(asked: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The queries in blocks of about ``QUERY_BYTES``, one at a time in the driver."""
+    n, width = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    blocks = -(-n * 8 * max(width, 1) // QUERY_BYTES)
+    for k in range(blocks):
+        rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k).toArrow().combine_chunks().to_batches()
+        if rows:
+            yield integers(rows[0])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -120,7 +192,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     vector counts; repeated candidate rows count each. Vectors of unlike length compare as if ended with
     zeros. Scores beyond a long are its bounds. Other columns are ignored; empty tables give no rows.
 
-    Blocks of vectors meet blocks of queries; only k rows per query and block leave a task.
+    Of the copies of one vector only those of the k + 1 smallest ids can be among the best, so a batch of vectors is thinned
+    out to these, exactly, before its blocks are made. Nothing but the k best of each task is shuffled.
     """
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
 
@@ -129,18 +202,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return own.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", odd))
 
     asked = clean(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.repartition(blocks).mapInArrow(_query_blocks, "block int, q_ids binary, q_body binary, q_width int")
-    stored = clean(vectors).mapInArrow(_blocks, "ids binary, body binary, width int")
-    stored = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for row in batch.to_pylist():
-                best = search(*_unpacked(row["ids"], row["body"], row["width"]), *_unpacked(row["q_ids"], row["q_body"], row["q_width"]), k)
-                columns = zip(*best, strict=True) if best else [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
-
-    found = stored.join(asked, "block").mapInArrow(run, "query_id long, vec_id long, score long")
+    stored = materialise(clean(vectors).mapInArrow(_stored(k), _STORED), "vector-cells")
+    found = stored.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
+    for block in _query_blocks(asked):
+        sent = stored.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            search = Search(*sent.value, k)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    search.add(Block.unpacked(batch.slice(i, 1).to_pylist()[0]))
+            yield search.rows()
+
+        found = found.unionByName(stored.mapInArrow(run, "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
