@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraflux.llm.shared import materialise
 from terraflux.llm.tokens import texts_of
 
 #: Byte-pair ranks of a public tokenizer; a parameter of every function here.
@@ -45,7 +46,8 @@ def lengths_histogram(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.int64()), pa.array(n.values(), pa.int64())], ["n_tokens", "n_docs"])
 
     part = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "n_tokens long, n_docs long")
-    return part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    # written: every use of the histogram would encode all texts again
+    return materialise(part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "token-lengths")
 
 
 def context_limits(histogram: DataFrame) -> DataFrame:
