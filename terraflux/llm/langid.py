@@ -39,10 +39,14 @@ SCRIPTS = [
 NAMES = ["none", *dict.fromkeys(name for name, _, _ in SCRIPTS), "other"]
 
 
+#: Code points up to here have a script; letters beyond there are none.
+_LAST = 0x40000
+
+
 def _script_table() -> np.ndarray:
-    """Script of every code point of the basic plane: letters only, 0 for anything else."""
-    out = np.zeros(1 << 16, np.int8)
-    letters = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(1 << 16)), bool, 1 << 16)
+    """Script of every code point: letters only, 0 for anything else."""
+    out = np.zeros(_LAST, np.int8)
+    letters = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(_LAST)), bool, _LAST)
     out[letters] = NAMES.index("other")
     for name, lo, hi in SCRIPTS:
         own = np.arange(lo, hi + 1)
@@ -61,9 +65,9 @@ class Words:
         buf = t.buf.copy()
         lead = np.flatnonzero(buf >= 0xC0)
         after = np.concatenate([buf, np.zeros(3, np.uint8)]).astype(np.int32)
-        b0, b1, b2 = after[lead], after[lead + 1] & 63, after[lead + 2] & 63
-        code = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2, 0))
-        script = np.where(b0 < 0xF0, _TABLE[code], NAMES.index("other")).astype(np.int8)
+        b0, b1, b2, b3 = after[lead], after[lead + 1] & 63, after[lead + 2] & 63, after[lead + 3] & 63
+        code = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2, (b0 & 7) << 18 | b1 << 12 | b2 << 6 | b3))
+        script = np.where(code < _LAST, _TABLE[np.minimum(code, _LAST - 1)], 0).astype(np.int8)
         of_byte = np.where(buf < 0x80, _TABLE[buf], 0).astype(np.int8)
         of_byte[lead] = script
         capital = lead[(b0 == 0xC3) & (b1 < 0x1F) & (b1 != 0x17)]  # À to Þ
@@ -86,15 +90,14 @@ class Words:
 
 
 class Model:
-    """Log-likelihoods per slot and language, scripts per language, and the languages' shares."""
+    """Log-likelihoods per slot and language, and scripts per language."""
 
-    def __init__(self, languages: list[str], trigrams: np.ndarray, words: np.ndarray, scripts: np.ndarray, documents: np.ndarray):
+    def __init__(self, languages: list[str], trigrams: np.ndarray, words: np.ndarray, scripts: np.ndarray):
         self.languages = languages
         k = len(languages)
-        self.prior = documents / max(documents.sum(), 1)
         if not k:
             return
-        # counts are (language, slot); letters of a text without letters of a known script go to the likeliest language
+        # counts are (language, slot)
         self.trigrams, self.words = (self._weights(c) for c in (trigrams, words))
         share = scripts / np.maximum(scripts[:, 1:].sum(axis=1, keepdims=True), 1)
         allowed = (share >= SCRIPT_SHARE).T
@@ -138,10 +141,9 @@ class Model:
             doc = np.repeat(np.arange(n), np.diff(first))
             mass = np.bincount(doc * k + label, letters, n * k).reshape(n, k)
             total, best = mass.sum(axis=1), mass.argmax(axis=1)
-            for d in np.flatnonzero(total == 0):
-                best[d] = self.prior.argmax() if any(map(str.isalpha, (texts[part.start + d] or b"").decode("utf-8", "replace"))) else -1
+            best[total == 0] = -1
             labels += [self.languages[b] if b >= 0 else "und" for b in best.tolist()]
-            scores.append(np.where(total > 0, mass.max(axis=1) / np.maximum(total, 1), np.where(best >= 0, self.prior.max(), 0)))
+            scores.append(np.where(total > 0, mass.max(axis=1) / np.maximum(total, 1), 0))
         return labels, np.concatenate(scores) if scores else np.zeros(0)
 
     def spans(self, texts: list[bytes | None]) -> list[list[dict]]:
@@ -190,14 +192,13 @@ def train(docs: DataFrame) -> Model:
     model has two tables of ``SLOTS`` for each language.
     """
     own = docs.filter("lang is not null").filter(id_remainder(F.col("doc_id"), HOLD_OUT) != 0)
-    known = sorted((r["lang"], r["count"]) for r in own.groupBy("lang").count().collect())
-    languages = [lang for lang, _ in known]
+    languages = sorted(r["lang"] for r in own.select("lang").distinct().collect())
     sums = np.zeros((len(languages), 2 * SLOTS + len(NAMES)), np.float32 if len(languages) > LANGUAGES else np.float64)
     for begin in range(0, len(languages), LANGUAGES):
         block = languages[begin : begin + LANGUAGES]
         part = own if len(block) == len(languages) else own.filter(F.col("lang").isin(block))
         sums[begin : begin + len(block)] = _counts(part, block)
-    return Model(languages, sums[:, :SLOTS], sums[:, SLOTS : 2 * SLOTS], sums[:, 2 * SLOTS :], np.array([n for _, n in known], float))
+    return Model(languages, sums[:, :SLOTS], sums[:, SLOTS : 2 * SLOTS], sums[:, 2 * SLOTS :])
 
 
 def _counts(docs: DataFrame, languages: list[str]) -> np.ndarray:
@@ -230,7 +231,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row, from its text alone.
 
     score is the share of the text's letters in spans of lang_pred. Null texts and texts without a letter:
-    ``und``, 0. Letters of unknown scripts only: the commonest language and its share. A model of no
+    ``und``, 0; signs, digits and emoji are no letters in any plane. A model of no
     language gives ``und``. Repeated rows and null ids come back; other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
