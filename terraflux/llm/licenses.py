@@ -1,134 +1,224 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences; those that speak of licensing are normalised (lower case, runs of anything
-but letters and digits become one space) and mapped to identifiers of known sentences. The sequence of
+A text is cut into sentences at ``.``, ``!``, ``?`` and blank lines; a single line end is white space, so wrapped licence
+texts stay whole. Sentences are normalised (A-Z in lower case, runs of anything but letters and digits become one space), and
+each known licence sentence in them is mapped to its identifier, in order. The sequence of
 identifiers is then matched against licence rules in order; what a rule matches is used up.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Identifier and pattern of known licence sentences, normalised; the first that matches counts.
+# Identifier and normalised wording of known licence sentences; of two that begin at one word the first counts.
+# Most are plain text and are looked up as they are; those with variable parts are patterns.
 SENTENCES = [
     ("spdxApache2", "spdx license identifier apache 2 0"),
     ("spdxMit", "spdx license identifier mit"),
+    ("spdxBsd2", "spdx license identifier bsd 2 clause"),
     ("spdxBsd3", "spdx license identifier bsd 3 clause"),
+    ("spdxIsc", "spdx license identifier isc"),
+    ("spdxMpl2", "spdx license identifier mpl 2 0"),
+    ("spdxEpl2", "spdx license identifier epl 2 0"),
+    ("spdxLgpl21", "spdx license identifier lgpl 2 1"),
+    ("spdxLgpl3", "spdx license identifier lgpl 3 0"),
+    ("spdxAgpl3", "spdx license identifier agpl 3 0"),
+    ("spdxGpl2", "spdx license identifier gpl 2 0"),
     ("spdxGpl3", "spdx license identifier gpl 3 0"),
-    ("apacheLicensed", "(licensed|released|distributed|available) under the (terms of the )?apache license (version )?2 0"),
-    ("apacheNotUse", "you may not use this (file|work) except in compliance with the license"),
+    ("apacheLicensed", "(?:licensed|released|distributed|available) under the (?:terms of the )?apache (?:software )?license (?:version )?2 0"),
+    ("apacheNotUse", "you may not use this (?:file|work|software) except in compliance with the license"),
     ("apacheCopy", "you may obtain a copy of the license at"),
     ("apacheUnless", "unless required by applicable law or agreed to in writing"),
-    ("mitReleased", "(licensed|released|distributed|available) under the (terms of the )?mit license"),
+    ("apacheTitle", "apache license version 2 0 january 2004"),
+    ("llvmException", "llvm exceptions to the apache 2 0 license"),
+    ("mitReleased", "(?:licensed|released|distributed|available) under the (?:terms of the )?mit license"),
+    ("bslGrant", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
     ("mitPermission", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("mitNotice", "the above copyright notice and this permission notice shall be included in all copies"),
+    ("iscPermission", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("zlibPermission", "permission is granted to anyone to use this software for any purpose"),
+    ("zlibOrigin", "the origin of this software must not be misrepresented"),
+    ("zlibAltered", "altered source versions must be plainly marked as such"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("bsdRedistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsdSource", "redistributions of source code must retain the above copyright notice"),
     ("bsdBinary", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsdAdvertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
     ("bsdEndorse", "may be used to endorse or promote products derived from"),
-    ("lgpl3", "gnu lesser general public license version 3"),
-    ("agpl3", "gnu affero general public license version 3"),
-    ("gpl3", "gnu general public license version 3"),
-    ("gpl2", "gnu general public license version 2"),
+    ("bsdReleased", "(?:licensed|released|distributed|available) under (?:the|a) (?:terms of the )?bsd license"),
+    ("boostTitle", "boost software license version 1 0"),
+    ("eclipse2", "eclipse public license (?:version |v )?2 0"),
+    ("mpl2", "mozilla public license (?:version |v )?2 0"),
+    ("lgpl21", "gnu (?:lesser|library) general public license (?:version 2 1|as published by the free software foundation either version 2 1)"),
+    ("lgpl3", "gnu lesser general public license (?:version 3|as published by the free software foundation either version 3)"),
+    ("agpl3", "gnu affero general public license (?:version 3|as published by the free software foundation either version 3)"),
+    ("gpl3", "(?:under the terms of the )?gnu general public license (?:version 3|as published by the free software foundation either version 3)"),
+    ("gpl2", "(?:under the terms of the )?gnu general public license (?:version 2|as published by the free software foundation either version 2)"),
     ("gplTerms", "under the terms of the gnu general public license"),
     ("gplLater", "at your option any later version"),
-    ("mpl2", "mozilla public license (version |v )?2 0"),
-    ("ccByNcSa4", "(cc by nc sa|attribution noncommercial sharealike) 4 0"),
-    ("ccByNc4", "(cc by nc|attribution noncommercial) 4 0"),
-    ("ccBySa4", "(cc by sa|attribution sharealike) 4 0"),
-    ("ccBy4", "(cc by|creative commons attribution) 4 0"),
+    ("classpath", "linking this library statically or dynamically with other modules"),
+    ("ccByNcSa4", "(?:cc by nc sa|attribution noncommercial sharealike) 4 0"),
+    ("ccByNcNd4", "(?:cc by nc nd|attribution noncommercial noderivatives) 4 0"),
+    ("ccByNc4", "(?:cc by nc|attribution noncommercial) 4 0"),
+    ("ccByNd4", "(?:cc by nd|attribution noderivatives) 4 0"),
+    ("ccBySa4", "(?:cc by sa|attribution sharealike) 4 0"),
+    ("ccBySa3", "(?:cc by sa|attribution sharealike) 3 0"),
+    ("ccBy4", "(?:cc by|creative commons attribution) 4 0"),
+    ("ccBy3", "(?:cc by|creative commons attribution) 3 0"),
     ("cc0", "cc0 1 0"),
-    ("publicDomain", "(dedicated to|released into) the public domain"),
-    ("asIs", "is provided (by .+ )?as is (and|without)"),
+    ("publicDomain", "(?:dedicated to|released into) the public domain"),
+    ("asIs", "is provided (?:by [a-z0-9 ]{1,80} )?as is"),
     ("allRights", "all rights reserved"),
-    ("copyright", "^copyright (c )?(19|20)[0-9][0-9]"),
+    ("copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 ]
 
 # Licence and its sequence of identifiers; a rule is tried after those above it.
 LICENCES = [
-    ("Apache-2.0", "apacheLicensed,(apacheNotUse,)?(apacheCopy,)?(apacheUnless,)?"),
+    ("Apache-2.0 WITH LLVM-exception", "(?:apacheTitle,|apacheLicensed,)(?:apacheNotUse,)?(?:apacheCopy,)?(?:apacheUnless,)?llvmException,"),
+    ("Apache-2.0", "(?:apacheTitle,)?apacheLicensed,(?:apacheNotUse,)?(?:apacheCopy,)?(?:apacheUnless,)?"),
+    ("Apache-2.0", "apacheTitle,"),
     ("Apache-2.0", "spdxApache2,"),
-    ("MIT", "mitPermission,(mitNotice,)?(asIs,)?"),
+    ("BSL-1.0", "(?:boostTitle,)?bslGrant,"),
+    ("BSL-1.0", "boostTitle,"),
+    ("MIT", "(?:mitReleased,)?mitPermission,(?:mitNotice,)?(?:asIs,)?"),
     ("MIT", "mitReleased,"),
     ("MIT", "spdxMit,"),
-    ("BSD-3-Clause", "bsdRedistribution,bsdSource,bsdBinary,bsdEndorse,(asIs,)?"),
-    ("BSD-2-Clause", "bsdRedistribution,bsdSource,bsdBinary,(asIs,)?"),
+    ("ISC", "iscPermission,(?:asIs,)?"),
+    ("ISC", "spdxIsc,"),
+    ("Zlib", "(?:asIs,)?zlibPermission,(?:zlibOrigin,)?(?:zlibAltered,)?"),
+    ("Unlicense", "unlicense,(?:asIs,)?"),
+    ("BSD-4-Clause", "bsdRedistribution,bsdSource,bsdBinary,bsdAdvertising,bsdEndorse,(?:asIs,)?"),
+    ("BSD-3-Clause", "bsdRedistribution,bsdSource,bsdBinary,bsdEndorse,(?:asIs,)?"),
+    ("BSD-2-Clause", "bsdRedistribution,bsdSource,bsdBinary,(?:asIs,)?"),
     ("BSD-3-Clause", "spdxBsd3,"),
+    ("BSD-2-Clause", "spdxBsd2,"),
+    ("BSD-any", "bsdReleased,"),
+    ("EPL-2.0", "eclipse2,"),
+    ("EPL-2.0", "spdxEpl2,"),
+    ("MPL-2.0", "mpl2,"),
+    ("MPL-2.0", "spdxMpl2,"),
+    ("LGPL-2.1-or-later", "lgpl21,gplLater,"),
+    ("LGPL-2.1-only", "lgpl21,"),
+    ("LGPL-2.1-only", "spdxLgpl21,"),
     ("LGPL-3.0-or-later", "lgpl3,gplLater,"),
     ("LGPL-3.0-only", "lgpl3,"),
+    ("LGPL-3.0-only", "spdxLgpl3,"),
     ("AGPL-3.0-or-later", "agpl3,gplLater,"),
     ("AGPL-3.0-only", "agpl3,"),
+    ("AGPL-3.0-only", "spdxAgpl3,"),
     ("GPL-3.0-or-later", "gpl3,gplLater,"),
     ("GPL-3.0-only", "gpl3,"),
     ("GPL-3.0-only", "spdxGpl3,"),
+    ("GPL-2.0-or-later WITH Classpath-exception-2.0", "gpl2,gplLater,classpath,"),
+    ("GPL-2.0-only WITH Classpath-exception-2.0", "gpl2,classpath,"),
     ("GPL-2.0-or-later", "gpl2,gplLater,"),
     ("GPL-2.0-only", "gpl2,"),
-    ("GPL-any", "gplTerms,(gplLater,)?"),
-    ("MPL-2.0", "mpl2,"),
+    ("GPL-2.0-only", "spdxGpl2,"),
+    ("GPL-any", "gplTerms,(?:gplLater,)?"),
     ("CC-BY-NC-SA-4.0", "ccByNcSa4,"),
+    ("CC-BY-NC-ND-4.0", "ccByNcNd4,"),
     ("CC-BY-NC-4.0", "ccByNc4,"),
+    ("CC-BY-ND-4.0", "ccByNd4,"),
     ("CC-BY-SA-4.0", "ccBySa4,"),
+    ("CC-BY-SA-3.0", "ccBySa3,"),
     ("CC-BY-4.0", "ccBy4,"),
+    ("CC-BY-3.0", "ccBy3,"),
     ("CC0-1.0", "cc0,"),
     ("Public-Domain", "publicDomain,"),
-    ("All-Rights-Reserved", "(copyright,)?allRights,"),
+    ("All-Rights-Reserved", "(?:copyright,)?allRights,"),
 ]
 
-#: Words of which a sentence that is worth a look has one, in lower case.
-MENTIONS = "licen[sc]e|copyright|permission|redistribution|rights reserved|public domain|required by applicable law|any later version|provided|cc[ -]by|cc0|endorse|obtain a copy"
+# Words of which a normalised sentence that is worth a note has one, known or not.
+MENTIONS = "licen[sc]e|copyright|permission|redistribution|rights reserved|public domain"
+
+#: One of these is in every sentence that a rule or ``MENTIONS`` knows; they are single words, so raw text has them, too.
+HINTS = "licen[sc]e|copyright|permission|redistribution|rights|public|spdx|required|obtain|later|cc|attribution|provided|endorse|advertising|origin|altered|apache|gnu|linking|unencumbered|domain"
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_KNOWN = r"\b(?:" + "|".join(f"(?:{wording})" for _, wording in SENTENCES) + r")\b"
+#: Ends of sentences: a mark with white space behind, or a blank line.
+_ENDS = r"[.!?][\x20\x09-\x0D]+|\x0D?\x0A[\x20\x09]*\x0D?\x0A"
+
+
+#: ``v.`` before a number ends no sentence.
+_VERSION = r"\b([vV])\.\x20"
+
+
+def _fixed(wording: str) -> bool:
+    return not re.search(r"[^a-z0-9 ]", wording)
+
+
+def _lower(text: Column) -> Column:
+    return F.translate(text, _UPPER, _LOWER)
+
+
+def normalised(sentence: Column) -> Column:
+    """Lower-case letters and digits with single spaces between."""
+    return F.trim(F.regexp_replace(_lower(sentence), "[^a-z0-9]+", " "))
 
 
-def _sentence_id(sentence: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def _identifier(wording: Column) -> Column:
+    """Identifier of a known sentence: a look-up of its wording, or the first pattern that it has."""
+    table = F.create_map(*[F.lit(x) for name, text in SENTENCES if _fixed(text) for x in (text, name)])
     out = F
     for name, pattern in SENTENCES:
-        out = out.when(plain.rlike(pattern), F.lit(name))
-    return out.otherwise(F.lit("unknown"))
+        if not _fixed(pattern):
+            out = out.when(wording.rlike(f"^(?:{pattern})$"), F.lit(name))
+    return F.coalesce(F.try_element_at(table, wording), out.otherwise(F.lit("unknown")))
 
 
 def sentences(text: Column) -> Column:
-    """Sentences: pieces between line ends, and after ``.``, ``!``, ``?`` with white space behind."""
-    return F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), r"[\x0A\x0D]+")
+    """Normalised sentences that have one of ``HINTS``."""
+    return F.transform(F.filter(F.split(F.regexp_replace(text, _VERSION, "$1 "), _ENDS), lambda s: _lower(s).rlike(HINTS)), normalised)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences, unused) of every row.
 
-    sentence_ids: identifiers of the sentences that mention licensing, in order, each followed by a
-    comma (``unknown`` where no rule knows it); licences: those found, in the order of the rules, joined by
-    ``;``; unused: identifiers that no rule used. Null, empty and unlicensed texts have empty strings. Repeated
+    sentence_ids: identifiers of the known sentences, in order, each followed by a comma (``unknown`` for a sentence that
+    mentions licensing and has no known one); licences: those found, in the order of the rules, joined by
+    ``;``; unused: identifiers that no rule used, the unknown ones last: they do not come between those of a rule. Null, empty
+    and unlicensed texts have empty strings. Repeated
     rows and null ids come back; other columns are ignored; an empty table gives no rows.
     """
     own = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    # a text without any mention needs no cutting
-    found = F.when(F.lower("text").rlike(MENTIONS), F.filter(sentences(F.col("text")), lambda s: F.lower(s).rlike(MENTIONS)))
-    ids = F.coalesce(F.array_join(F.transform(found, lambda s: F.concat(_sentence_id(s), F.lit(","))), ""), F.lit(""))
-    rows = own.select("doc_id", ids.alias("sentence_ids"))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(pattern).alias("pattern")) for name, pattern in LICENCES])
-    start = F.struct(F.col("sentence_ids").alias("rest"), F.array().cast("array<string>").alias("names"))
+    known = lambda s: F.regexp_extract_all(s, F.lit(_KNOWN), F.lit(0))
+    of_sentence = lambda s: F.when(F.size(known(s)) > 0, F.transform(known(s), _identifier)).when(s.rlike(MENTIONS), F.array(F.lit("unknown"))).otherwise(F.array().cast("array<string>"))
+    # a text without any hint needs no cutting
+    found = F.when(_lower(F.col("text")).rlike(HINTS), F.flatten(F.transform(sentences(F.col("text")), of_sentence)))
+    rows = own.select("doc_id", F.coalesce(F.concat_ws("", F.transform(found, lambda x: F.concat(x, F.lit(",")))), F.lit("")).alias("sentence_ids"))
+    rows = rows.withColumn("known", F.replace("sentence_ids", F.lit("unknown,"), F.lit("")))
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(rf"\b{pattern}").alias("pattern")) for name, pattern in LICENCES])
+    start = F.struct(F.col("known").alias("rest"), F.array().cast("array<string>").alias("names"))
     step = lambda acc, rule: F.struct(
         F.regexp_replace(acc["rest"], rule["pattern"], F.lit("|")).alias("rest"),
         F.when(F.regexp_like(acc["rest"], rule["pattern"]), F.array_append(acc["names"], rule["name"])).otherwise(acc["names"]).alias("names"),
     )
-    matched = F.when(F.col("sentence_ids") != "", F.aggregate(rules, start, step))
-    rows = rows.select("doc_id", "sentence_ids", matched.alias("m"))
+    rows = rows.withColumn("m", F.when(F.col("known") != "", F.aggregate(rules, start, step)))
     licences = F.coalesce(F.array_join(F.array_distinct("m.names"), ";"), F.lit(""))
-    return rows.select("doc_id", "sentence_ids", licences.alias("licences"), F.coalesce(F.regexp_replace("m.rest", r"\|", ""), F.lit("")).alias("unused"))
+    unknown = F.repeat(F.lit("unknown,"), F.regexp_count("sentence_ids", F.lit("unknown,")))
+    unused = F.concat(F.coalesce(F.replace(F.col("m.rest"), F.lit("|"), F.lit("")), F.lit("")), unknown)
+    return rows.select("doc_id", "sentence_ids", licences.alias("licences"), unused.alias("unused"))
 
 
 def oracle() -> str:
     """The same as DuckDB SQL, generated from the same rules."""
-    cases = " ".join(f"WHEN regexp_matches(p, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES)
+    cases = " ".join(f"WHEN regexp_full_match(w, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES)
     steps, last = [], "r0"
     for i, (name, pattern) in enumerate(LICENCES, 1):
-        steps.append(f"r{i} AS (SELECT r, doc_id, sentence_ids, regexp_replace(rest, '{pattern}', '|', 'g') AS rest, CASE WHEN regexp_matches(rest, '{pattern}') AND NOT list_contains(names, '{name}') THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
+        steps.append(f"r{i} AS (SELECT r, doc_id, sentence_ids, regexp_replace(rest, '\\b{pattern}', '|', 'g') AS rest, CASE WHEN regexp_matches(rest, '\\b{pattern}') AND NOT list_contains(names, '{name}') THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
         last = f"r{i}"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-t AS (SELECT r, i, w[i] AS s FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT r, regexp_split_to_array(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', E'\\1\n', 'g'), '[\x0A\x0D]+') AS w FROM d))),
-m AS (SELECT r, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS p FROM t WHERE regexp_matches(lower(s), '{MENTIONS}')),
-k AS (SELECT r, string_agg(CASE {cases} ELSE 'unknown' END || ',', '' ORDER BY i) AS ids FROM m GROUP BY r),
-r0 AS (SELECT d.r, doc_id, coalesce(ids, '') AS sentence_ids, coalesce(ids, '') AS rest, CAST([] AS VARCHAR[]) AS names FROM d LEFT JOIN k USING (r)),
+t AS (SELECT r, i, w[i] AS s FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT r, regexp_split_to_array(regexp_replace(text, '{_VERSION}', '\1 ', 'g'), '{_ENDS}') AS w FROM d))),
+m AS (SELECT r, i, trim(regexp_replace(translate(s, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS p FROM t),
+a AS (SELECT r, i, p, regexp_extract_all(p, '{_KNOWN}') AS k FROM m),
+b AS (SELECT r, i, j, k[j] AS w FROM (SELECT r, i, k, unnest(range(1, len(k) + 1)) AS j FROM a)
+  UNION ALL SELECT r, i, 1, NULL FROM a WHERE len(k) = 0 AND regexp_matches(p, '{MENTIONS}')),
+k AS (SELECT r, string_agg(CASE WHEN w IS NULL THEN 'unknown' {cases} END || ',', '' ORDER BY i, j) AS ids FROM b GROUP BY r),
+r0 AS (SELECT d.r, doc_id, coalesce(ids, '') AS sentence_ids, replace(coalesce(ids, ''), 'unknown,', '') AS rest, CAST([] AS VARCHAR[]) AS names FROM d LEFT JOIN k USING (r)),
 {", ".join(steps)}
-SELECT doc_id, sentence_ids, array_to_string(names, ';') AS licences, replace(rest, '|', '') AS unused FROM {last}"""
+SELECT doc_id, sentence_ids, array_to_string(names, ';') AS licences, replace(rest, '|', '') || repeat('unknown,', len(regexp_extract_all(sentence_ids, 'unknown,'))) AS unused FROM {last}"""
