@@ -77,13 +77,27 @@ FEW_CROPS = ["MAIZE", "SOYBEAN", "WHEAT"]
 SURVEY_CROPS = {"CORN": "MAIZE", "SOYBEANS": "SOYBEAN", "WHEAT": "WHEAT"}
 LB_PER_BUSHEL = {"CORN": 56, "SOYBEANS": 60, "WHEAT": 60}
 KG_PER_LB, HA_PER_ACRE = 0.45359237, 0.40468564
+# Admin id of each state by its FIPS code.
+US_STATES = {
+    1: "USA001", 2: "USA002", 4: "USA003", 5: "USA004", 6: "USA005", 8: "USA006", 9: "USA007", 10: "USA008",
+    11: "USA009", 12: "USA010", 13: "USA011", 15: "USA012", 16: "USA013", 17: "USA014", 18: "USA015", 19: "USA016",
+    20: "USA017", 21: "USA018", 22: "USA019", 23: "USA020", 24: "USA021", 25: "USA022", 26: "USA023", 27: "USA024",
+    28: "USA025", 29: "USA026", 30: "USA027", 31: "USA028", 32: "USA029", 33: "USA030", 34: "USA031", 35: "USA032",
+    36: "USA033", 37: "USA034", 38: "USA035", 39: "USA036", 40: "USA037", 41: "USA038", 42: "USA039", 44: "USA040",
+    45: "USA041", 46: "USA042", 47: "USA043", 48: "USA044", 49: "USA045", 50: "USA046", 51: "USA047", 53: "USA048",
+    54: "USA049", 55: "USA050", 56: "USA051",
+}
 SUPPRESSED = ["(D)", "(Z)", "(S)", "(NA)"]
 YIELD_YEARS = (2017, 2018, 2019, 2020)
 KG_PER_TONNE = 1000
 
-#: Crop-map codes counted as row crops are the herbaceous ones without hay and fallow.
+# Crop-map codes of herbaceous crops; row crops are these without hay and fallow.
 HERBACEOUS = [
-    *range(1, 7), *range(10, 15), *range(21, 40), *range(41, 55), 56, 57, 61, *range(205, 210), 213, 214, 216, 218, 219, *range(221, 224), *range(225, 242), *range(243, 250), 254,
+    1, 2, 3, 4, 5, 6, 10, 11, 12, 13, 14,
+    21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36, 37, 38, 39,
+    41, 42, 43, 44, 45, 46, 47, 48, 49, 50, 51, 52, 53, 54, 56, 57, 61,
+    205, 206, 207, 208, 209, 213, 214, 216, 218, 219, 221, 222, 223, 225, 226, 227, 228, 229,
+    230, 231, 232, 233, 234, 235, 236, 237, 238, 239, 240, 241, 243, 244, 245, 246, 247, 248, 249, 254,
 ]
 HAY, FALLOW = [36, 37], [61]
 SOURCE_BUCKETS = {"cropland": "Cropland", "short_veg": "Short veg", "forest": "Forest", "wetland_short_veg": "Wetland", "wetland_forest": "Wetland"}

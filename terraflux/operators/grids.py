@@ -67,6 +67,13 @@ def classified(countries: DataFrame) -> DataFrame:
     return countries.filter("continent <> 'UNCLASSIFIED'")
 
 
+def backfill(countries: DataFrame, factors: DataFrame) -> DataFrame:
+    """(iso, continent, n_rows, failed) of every classified country after one job over all: those without factor rows have failed."""
+    done = factors.groupBy(F.substring("admin_id", 1, 3).alias("iso")).agg(F.count("*").alias("n_rows"))
+    own = classified(countries).join(done, "iso", "left")
+    return own.select("iso", "continent", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.col("n_rows").isNull().alias("failed"))
+
+
 def coverage(found: DataFrame, wanted: DataFrame) -> DataFrame:
     """Each tile of two sets with where it is: both, missing (wanted only) or extra (found only)."""
     a, b = found.select("tile_id").distinct(), wanted.select("tile_id").distinct()

@@ -22,6 +22,15 @@ def kernel(band_type: str, dest: tuple[int, int], src: tuple[int, int]) -> str:
     return {(CATEGORICAL, True): "mode", (INTENSIVE, True): "average", (CATEGORICAL, False): "nearest", (INTENSIVE, False): "bilinear"}[band_type, down]
 
 
+def kernel_of(band_type: Column, dest_x: Column, dest_y: Column, src_x: Column, src_y: Column) -> Column:
+    """``kernel`` of tables of bands; where that is an error, a text that begins with ``refused``."""
+    same, down = (src_x == dest_x) & (src_y == dest_y), (src_x > dest_x) & (src_y > dest_y)
+    extensive = F.when(down, "refused: sum resampling").otherwise("refused: distribution resampling")
+    chosen = F.when(same, "nearest").when(band_type == EXTENSIVE, extensive)
+    chosen = chosen.when(band_type == CATEGORICAL, F.when(down, "mode").otherwise("nearest")).when(band_type == INTENSIVE, F.when(down, "average").otherwise("bilinear"))
+    return chosen.otherwise("refused: band type")
+
+
 def band_type_of(name: Column) -> Column:
     """Band type from a variable's name."""
     return F.when(name.contains("-per-ha"), INTENSIVE).when(name.endswith(":ha") | name.endswith(":tco2e"), EXTENSIVE).otherwise(CATEGORICAL)
@@ -55,10 +64,17 @@ def overlaps(index: Column, n: int, m: int) -> Column:
 
 
 def _spread(source: DataFrame, n: int, m: int, bands: list[str]) -> DataFrame:
-    """Rows of (tile_id, crow, ccol, w) that fine pixels contribute to; most contribute to one."""
-    out = source.select("tile_id", "col", F.explode(overlaps(F.col("row"), n, m)).alias("r"), *bands)
+    """Rows of (tile_id, crow, ccol, w) that fine pixels contribute to.
+
+    Most pixels meet one cell: their rows are plain projections. Those on a border of cells are made apart, one for each cell.
+    """
+    ends = lambda c: (F.floor(F.col(c).cast("long") * m / n), F.floor(((F.col(c).cast("long") + 1) * m - 1) / n))
+    (r0, r1), (c0, c1) = ends("row"), ends("col")
+    single = (r0 == r1) & (c0 == c1)
+    one = source.filter(single).select("tile_id", r0.cast("int").alias("crow"), c0.cast("int").alias("ccol"), F.lit(float(m * m)).alias("w"), *bands)
+    out = source.filter(~single).select("tile_id", "col", F.explode(overlaps(F.col("row"), n, m)).alias("r"), *bands)
     out = out.select("tile_id", "r", F.explode(overlaps(F.col("col"), n, m)).alias("c"), *bands)
-    return out.select("tile_id", F.col("r.k").alias("crow"), F.col("c.k").alias("ccol"), (F.col("r.w") * F.col("c.w")).alias("w"), *bands)
+    return one.unionAll(out.select("tile_id", F.col("r.k").alias("crow"), F.col("c.k").alias("ccol"), (F.col("r.w") * F.col("c.w")).alias("w"), *bands))
 
 
 def average(source: DataFrame, n: int, m: int, bands: list[str]) -> DataFrame:
@@ -75,22 +91,92 @@ def mode(source: DataFrame, n: int, m: int, band: str) -> DataFrame:
     return rows.groupBy("tile_id", "crow", "ccol").agg((-F.max(known)["v"]).alias(band))
 
 
+def corners(source: DataFrame, keys: list[str], band: str) -> DataFrame:
+    """(keys, row, col, v00, v01, v10, v11): each source cell with its neighbours to the east, south and south-east.
+
+    Made on the source, which is the smaller side of an interpolation: four rows a source cell, combined map-side.
+    """
+    step = lambda c, d: (F.col(c) - F.col(d)).cast("int").alias(c)
+    known = source.filter(F.col(band).isNotNull())
+    each = known.select(*keys, "row", "col", band, F.explode(F.array(F.lit(0), F.lit(1))).alias("dr")).withColumn("dc", F.explode(F.array(F.lit(0), F.lit(1))))
+    value = lambda dr, dc: F.max(F.when((F.col("dr") == dr) & (F.col("dc") == dc), F.col(band))).alias(f"v{dr}{dc}")
+    placed = each.select(*keys, step("row", "dr"), step("col", "dc"), "dr", "dc", band)
+    return placed.groupBy(*keys, "row", "col").agg(value(0, 0), value(0, 1), value(1, 0), value(1, 1))
+
+
+def _between(x: Column, first: Column | int, last: Column | int) -> tuple[Column, Column]:
+    """Cell at or before a place, and how far it is from there to the next cell; neighbours stop at ``first`` and ``last``."""
+    low = F.floor(x)
+    inside = (low >= first) & (low < last)
+    base = F.greatest(F.lit(first), F.least(low, F.lit(last))).cast("int")
+    return base, F.when(inside, x - low).otherwise(0.0)
+
+
+def _interpolated(near: DataFrame, quads: DataFrame, keys: list[str], band: str) -> DataFrame:
+    """``near`` (tile_id, row, col, _r, _c, _fr, _fc) with the weighted mean of the known corners of its cell; one join."""
+    own = quads.withColumnsRenamed({"row": "_r", "col": "_c"})
+    met = near.join(own, [*keys, "_r", "_c"], "left")
+    c = F.col
+    weights = {"v00": (1 - c("_fr")) * (1 - c("_fc")), "v01": (1 - c("_fr")) * c("_fc"), "v10": c("_fr") * (1 - c("_fc")), "v11": c("_fr") * c("_fc")}
+    zero = F.lit(0.0)
+    total = sum((F.when(c(v).isNotNull(), c(v) * w).otherwise(zero) for v, w in weights.items()), zero)
+    weight = sum((F.when(c(v).isNotNull(), w).otherwise(zero) for v, w in weights.items()), zero)
+    return met.select("tile_id", "row", "col", F.when(weight > 0, total / weight).alias(band))
+
+
 def bilinear(source: DataFrame, dest: DataFrame, s: int, n: int, band: str) -> DataFrame:
     """Weighted mean of the four source centres around each pixel's centre over the known ones; neighbours stop at the tile's edge."""
+    at = lambda c: _between((F.col(c) + 0.5) * s / n - 0.5, 0, s - 1)
+    (r, fr), (k, fk) = at("row"), at("col")
+    near = dest.select("tile_id", "row", "col", r.alias("_r"), k.alias("_c"), fr.alias("_fr"), fk.alias("_fc"))
+    return _interpolated(near, corners(source, ["tile_id"], band), ["tile_id"], band)
+
+
+def world_in_tiles(world: DataFrame, tile_ids: list[str], width: int, height: int, bands: list[str]) -> tuple[DataFrame, int]:
+    """A whole-world layer (row, col, bands) clipped to tiles, as their rows (tile_id, row, col, bands), and its cells a tile side."""
+    s = width * tiles.SPAN // 360
+    if s * 360 != width * tiles.SPAN or s * 180 != height * tiles.SPAN:
+        raise ValueError(f"a layer of {width} x {height} does not divide into tiles")
+    lat, lon = 90 - F.floor(F.col("row") / s) * tiles.SPAN, F.floor(F.col("col") / s) * tiles.SPAN - 180
+    own = world.withColumn("tile_id", tiles.tile_of(lat.cast("int"), lon.cast("int"))).filter(F.col("tile_id").isin(tile_ids))
+    return own.select("tile_id", (F.col("row") % s).cast("int").alias("row"), (F.col("col") % s).cast("int").alias("col"), *bands), s
+
 
-    def sides(c: str) -> Column:
-        x = (F.col(c) + 0.5) * s / n - 0.5
-        low = F.floor(x)
-        clamp = lambda k: F.greatest(F.lit(0), F.least(k, F.lit(s - 1))).cast("int")
-        return F.array(F.struct(clamp(low).alias("k"), (1 - (x - low)).alias("w")), F.struct(clamp(low + 1).alias("k"), (x - low).alias("w")))
-
-    near = dest.select("tile_id", "row", "col", F.explode(sides("row")).alias("r"), sides("col").alias("cs"))
-    near = near.select("tile_id", "row", "col", "r", F.explode("cs").alias("c"))
-    near = near.select("tile_id", "row", "col", F.col("r.k").alias("_r"), F.col("c.k").alias("_c"), (F.col("r.w") * F.col("c.w")).alias("w")).filter("w > 0")
-    src = source.select("tile_id", F.col("row").alias("_r"), F.col("col").alias("_c"), band).filter(F.col(band).isNotNull())
-    got = near.join(src, ["tile_id", "_r", "_c"], "left")
-    known = F.sum(F.when(F.col(band).isNotNull(), F.col("w")))
-    return got.groupBy("tile_id", "row", "col").agg((F.sum(F.col(band) * F.col("w")) / known).alias(band))
+def world_to_grid(world: DataFrame, pixels: DataFrame, tile_ids: list[str], n: int, width: int, height: int, band: str, band_type: str) -> DataFrame:
+    """(tile_id, row, col, band) of a whole-world layer on a grid of ``tile_ids``, ``n`` pixels a tile side.
+
+    The layer is clipped to the grid first; the kernel follows from the band's type and from the sizes after clipping.
+    Nearest and bilinear give a row for each of ``pixels``; neighbours stop at the edge of the grid, not of a tile. Mode and average
+    give the grid's pixels that have source cells, and need no ``pixels``.
+    """
+    source, s = world_in_tiles(world, tile_ids, width, height, [band])
+    chosen = kernel(band_type, (n, n), (s, s))
+    if chosen == "nearest":
+        return nearest(source, pixels, s, n, [band])
+    if chosen in ("mode", "average"):
+        coarse = mode(source, s, n, band) if chosen == "mode" else average(source, s, n, [band])
+        return coarse.withColumnsRenamed({"crow": "row", "ccol": "col"})
+    corner = [((90 - int(t[:2]) * (1 if t[2] == "N" else -1)) // tiles.SPAN, (180 + int(t[4:7]) * (1 if t[7] == "E" else -1)) // tiles.SPAN) for t in tile_ids]
+    rows, cols = zip(*corner, strict=True)
+    up, left = (90 - tiles.lat_of(F.col("tile_id"))) / tiles.SPAN, (180 + tiles.lon_of(F.col("tile_id"))) / tiles.SPAN
+    world_index = lambda tile, c, size: (tile * size + F.col(c)).cast("int")
+    (r, fr), (k, fk) = (
+        _between((tile * n + F.col(c) + 0.5) * s / n - 0.5, min(of) * s, (max(of) + 1) * s - 1) for tile, c, of in ((up, "row", rows), (left, "col", cols))
+    )
+    near = pixels.select("tile_id", "row", "col", r.alias("_r"), k.alias("_c"), fr.alias("_fr"), fk.alias("_fc"))
+    clipped = source.select(world_index(up, "row", s).alias("row"), world_index(left, "col", s).alias("col"), band)
+    return _interpolated(near, corners(clipped, [], band), [], band)
+
+
+def projected_map(crop_map: DataFrame, pixels: DataFrame, n: int, west: float, north: float, cell: float, band: str) -> DataFrame:
+    """Value of a projected map (row, col, band; square cells of ``cell`` metres from its north-west corner) at each pixel's centre.
+
+    Nearest, anchored at the tile's corner: pixels where the map ends are NULL, partial tiles are not stretched. One equi-join.
+    """
+    x, y = albers(tiles.pixel_lon(F.col("tile_id"), F.col("col"), n), tiles.pixel_lat(F.col("tile_id"), F.col("row"), n))
+    own = pixels.select("tile_id", "row", "col", F.floor((north - y) / cell).cast("int").alias("_r"), F.floor((x - west) / cell).cast("int").alias("_c"))
+    layer = crop_map.select(F.col("row").alias("_r"), F.col("col").alias("_c"), band)
+    return own.join(layer, ["_r", "_c"], "left").select("tile_id", "row", "col", band)
 
 
 def albers(lon: Column, lat: Column, lon0: float = -96.0, lat0: float = 23.0, lat1: float = 29.5, lat2: float = 45.5, a: float = 6378137.0, f: float = 1 / 298.257222101) -> tuple[Column, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from terraflux import factors as k
 from terraflux.factors import SPANS, YEARS
 from terraflux.operators.agreement import ROW_CROPS
@@ -231,6 +233,36 @@ def bilinear(s: int, n: int, factor: float) -> str:
     return f"SELECT b.tile_id, b.row, b.col, {r('sum(agb * w) / sum(CASE WHEN agb IS NOT NULL THEN w END)', 5, 'agb')} FROM ({near}) b LEFT JOIN {PX} ON px.tile_id = b.tile_id AND px.row = sr AND px.col = sc WHERE w > 0 GROUP BY b.tile_id, b.row, b.col"
 
 
+WORLD = f"(SELECT row, col, CAST(max(z) AS DOUBLE) AS z FROM (SELECT {', '.join(q.WORLD)} FROM orders) GROUP BY ALL)"
+# cells of the world layer in the tiles of the test grid: rows 400 to 599 from 90 N, columns 800 to 899 from 180 W
+IN_TILES = f"SELECT CASE WHEN row < 500 THEN '50N_100W' ELSE '40N_100W' END AS tile_id, row % 100 AS row, col % 100 AS col, z FROM {WORLD} w WHERE row BETWEEN 400 AND 599 AND col BETWEEN 800 AND 899"
+
+
+def world_bilinear() -> str:
+    y, x = "((CASE tile_id WHEN '50N_100W' THEN 4000 ELSE 5000 END + row + 0.5) / CAST(10 AS DOUBLE) - 0.5)", "((8000 + col + 0.5) / CAST(10 AS DOUBLE) - 0.5)"
+    near = f"""SELECT p.tile_id, p.row, p.col, greatest(400, least(599, CAST(floor({y}) AS INTEGER) + i.v)) AS sr, greatest(800, least(899, CAST(floor({x}) AS INTEGER) + j.v)) AS sc,
+  CASE i.v WHEN 0 THEN 1 - ({y} - floor({y})) ELSE {y} - floor({y}) END * CASE j.v WHEN 0 THEN 1 - ({x} - floor({x})) ELSE {x} - floor({x}) END AS w
+  FROM (SELECT tile_id, row, col FROM {PX}) p CROSS JOIN (VALUES (0), (1)) AS i(v) CROSS JOIN (VALUES (0), (1)) AS j(v)"""
+    return f"SELECT b.tile_id, b.row, b.col, {r('sum(z * w) / sum(CASE WHEN z IS NOT NULL THEN w END)', 6, 'z')} FROM ({near}) b LEFT JOIN {WORLD} l ON l.row = sr AND l.col = sc WHERE w > 0 GROUP BY b.tile_id, b.row, b.col"
+
+
+def projected() -> str:
+    """Equal-area conic coordinates of pixel centres: standard parallels 29.5 and 45.5 N, origin 23 N 96 W, GRS 80."""
+    a, e2 = 6378137.0, 0.00669438002290342
+    e = math.sqrt(e2)
+    area_of = lambda s: (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    scale = lambda d: math.cos(math.radians(d)) ** 2 / (1 - e2 * math.sin(math.radians(d)) ** 2)
+    alpha = lambda d: area_of(math.sin(math.radians(d)))
+    n = (scale(29.5) - scale(45.5)) / (alpha(45.5) - alpha(29.5))
+    c = scale(29.5) + n * alpha(29.5)
+    d = lambda v: f"CAST({v!r} AS DOUBLE)"
+    s = f"sin(radians({PIXEL_LAT}))"
+    alpha_sql = f"({d(1 - e2)} * ({s} / (1 - {d(e2)} * {s} * {s}) - ln((1 - {d(e)} * {s}) / (1 + {d(e)} * {s})) / {d(2 * e)}))"
+    rho = f"({d(a)} * sqrt({d(c)} - {d(n)} * {alpha_sql}) / {d(n)})"
+    theta = f"({d(n)} * radians({PIXEL_LON} + 96))"
+    return f"SELECT tile_id, row, col, {rho} * sin({theta}) AS x, {d(a * math.sqrt(c - n * alpha(23.0)) / n)} - {rho} * cos({theta}) AS y FROM {PX}"
+
+
 GRID = f"SELECT g, x0, y0, (x1 - x0) // 10 + 1 AS tiles_x, (y0 - y1) // 10 + 1 AS tiles_y FROM (SELECT g, min(lon) AS x0, max(lat) AS y0, max(lon) AS x1, min(lat) AS y1 FROM (SELECT c % 40 AS g, {_LAT} AS lat, {_LON} AS lon FROM {TILES}) GROUP BY g)"
 _PATTERNS = {"one_degree": "[0-9]{2}[NS]_[0-9]{3}[EW]", "ten_degree": "[0-9]0[NS]_[0-9]{2}0[EW]", "whole_world": "world", "xyz_mercator": "[0-9]{3}X_[0-9]{3}Y_[0-9]{2}Z"}
 CONTINENTS = f"(SELECT DISTINCT r_name AS continent, tile_id FROM (SELECT c_nationkey, {q.TILE} AS tile_id FROM (SELECT {', '.join(q.WANTED)} FROM customer)) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
@@ -266,6 +298,19 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "zone_spans": INSIDE,
     "tiles_for_zone": TOUCHING,
     "world_layer": f"SELECT tile_id, px.row, px.col, z FROM {PX} LEFT JOIN (SELECT row, col, max(z) AS z FROM (SELECT {', '.join(q.WORLD)} FROM orders) GROUP BY ALL) w ON w.row = CAST(floor((90 - {PIXEL_LAT.replace('row', 'px.row')}) * 1800 / 180) AS INTEGER) AND w.col = CAST(floor(({PIXEL_LON.replace('col', 'px.col')} + 180) * 3600 / 360) AS INTEGER)",
+    "world_layer_mode": f"SELECT tile_id, CAST(crow AS INTEGER) AS row, CAST(ccol AS INTEGER) AS col, z FROM (SELECT *, row_number() OVER (PARTITION BY tile_id, crow, ccol ORDER BY w DESC, z) AS n FROM (SELECT tile_id, crow, ccol, z, sum(w) AS w FROM ({spread(IN_TILES, 100, M)}) GROUP BY ALL)) WHERE n = 1",
+    "world_layer_average": f"SELECT tile_id, CAST(crow AS INTEGER) AS row, CAST(ccol AS INTEGER) AS col, {r('sum(z * w) / sum(w)', 6, 'z')} FROM ({spread(IN_TILES, 100, M)}) GROUP BY ALL",
+    "world_layer_bilinear": world_bilinear(),
+    "crop_map_nearest": f"SELECT p.tile_id, p.row, p.col, code FROM ({projected()}) p LEFT JOIN (SELECT row, col, max(code) AS code FROM (SELECT {', '.join(q.CROP_MAP)} FROM orders) GROUP BY ALL) m ON m.row = CAST(floor((3002000.0 - y) / 2500) AS INTEGER) AND m.col = CAST(floor((x + 297000.0) / 2500) AS INTEGER)",
+    "clip_global_grid": f"SELECT '50N_100W' AS tile_id, CAST(i AS INTEGER) AS row, CAST(j AS INTEGER) AS col, coalesce(roots, 0.0) AS roots FROM (SELECT unnest(range(21)) AS i) CROSS JOIN (SELECT unnest(range(21)) AS j) LEFT JOIN (SELECT lat, lon, max(CASE WHEN NOT isnan(roots) THEN roots END) AS roots FROM (SELECT {', '.join(q.GLOBAL_CELLS)} FROM orders) GROUP BY ALL) g ON g.lat = 50 - 0.5 * i AND g.lon = -100 + 0.5 * j",
+    "kernel_choice": "SELECT *, CASE WHEN src_x = dest_x AND src_y = dest_y THEN 'nearest' WHEN band_type = 'UNHEARD_OF' THEN 'refused: band type' WHEN src_x > dest_x AND src_y > dest_y THEN CASE band_type WHEN 'CATEGORICAL' THEN 'mode' WHEN 'INTENSIVE' THEN 'average' ELSE 'refused: sum resampling' END ELSE CASE band_type WHEN 'CATEGORICAL' THEN 'nearest' WHEN 'INTENSIVE' THEN 'bilinear' ELSE 'refused: distribution resampling' END END AS kernel FROM (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'CATEGORICAL' WHEN 1 THEN 'INTENSIVE' WHEN 2 THEN 'EXTENSIVE' ELSE 'UNHEARD_OF' END AS band_type, o_custkey % 2 + 1 AS dest_x, o_custkey % 3 + 1 AS dest_y, o_custkey % 5 + 1 AS src_x, o_custkey % 4 + 1 AS src_y, count(*) AS n FROM orders GROUP BY ALL)",
+    "scanned_source": f"SELECT tile_id, row, col, nullif(crop_code, 0) AS crop_code FROM {PX}",
+    "qualified_bands": f'SELECT tile_id, row, col, agb AS "aboveground-biomass:density:agb" FROM {PX}',
+    "staged_yields": f"WITH {YIELDS} SELECT admin_id, crop_name, year, {r('yield_kg_per_ha', 4)} FROM yields",
+    "pasted_canvas": f"SELECT row + 50 AS row, col + 20 AS col, z FROM {WORLD} w",
+    "exported_bands": f"SELECT tile_id, row, col, agb, peat FROM {PX}",
+    "few_crops": f"SELECT CASE WHEN crop_code = 1 THEN 'MAIZE' WHEN crop_code = 5 THEN 'SOYBEAN' ELSE 'WHEAT' END AS crop_name, count(*) AS n FROM {PX} WHERE crop_code IN (1, 5, 22, 23, 24) GROUP BY ALL",
+    "backfill_report": f"WITH {DIRECT}, {YIELDS}, pv AS ({DIRECT_ROWS}), f AS (SELECT substr(admin_id, 1, 3) AS iso, count(*) AS n_rows FROM (SELECT {FACTORS} FROM (SELECT * FROM pv UNION ALL {national('pv')})) GROUP BY 1), k AS (SELECT DISTINCT iso, national_name AS continent FROM ({fx.PROVINCES_SQL}) WHERE national_name <> 'ASIA' UNION ALL SELECT 'XX0', 'NOWHERE') SELECT k.iso, continent, coalesce(n_rows, 0) AS n_rows, n_rows IS NULL AS failed FROM k LEFT JOIN f ON f.iso = k.iso",
     "dissolved_shapes": f"SELECT concat(iso, lpad(CAST(n_nationkey AS VARCHAR), 3, '0')) AS id, concat(national_name, ' | ', n_name) AS name, CAST(count(*) AS INTEGER) AS n_rings FROM supplier JOIN ({fx.PROVINCES_SQL}) ON s_nationkey = n_nationkey GROUP BY ALL",
     "jurisdictions_of_country": f"SELECT admin_id, jurisdiction_name, count(*) AS customers FROM customer JOIN ({fx.PROVINCES_SQL}) ON c_nationkey = n_nationkey WHERE substr(admin_id, 1, 3) = 'RG2' GROUP BY ALL",
     "tile_coverage": f"SELECT coalesce(a.tile_id, b.tile_id) AS tile_id, CASE WHEN a.tile_id IS NULL THEN 'missing' WHEN b.tile_id IS NULL THEN 'extra' ELSE 'both' END AS status FROM (SELECT DISTINCT tile_id FROM {TILES} WHERE o % 3 = 0) a FULL JOIN (SELECT DISTINCT tile_id FROM {TILES} WHERE c % 4 = 1) b ON a.tile_id = b.tile_id",

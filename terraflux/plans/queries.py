@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,7 +16,7 @@ from terraflux.functions import nulls, tiles
 from terraflux.operators import agreement, direct, emit, grids, ramp, resample, statistical, trace, zones
 from terraflux.plans import fixtures as fx
 from terraflux.plans.fixtures import M, N
-from terraflux.sources import catalog, export, ingest
+from terraflux.sources import catalog, export, ingest, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -245,6 +246,116 @@ def world_layer(spark: SparkSession, sf: str) -> DataFrame:
     return resample.from_world(world, fx.pixels(spark, sf), N, 3600, 1800, ["z"])
 
 
+TILE_IDS = ["50N_100W", "40N_100W"]
+
+
+def _world(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.table(spark, sf, "orders").selectExpr(*WORLD).groupBy("row", "col").agg(F.max("z").cast("double").alias("z"))
+
+
+@query
+def world_layer_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer finer than the grid, of classes."""
+    return resample.world_to_grid(_world(spark, sf), fx.pixels(spark, sf), TILE_IDS, M, 3600, 1800, "z", resample.CATEGORICAL)
+
+
+@query
+def world_layer_average(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer finer than the grid, of densities."""
+    return rounded(resample.world_to_grid(_world(spark, sf), fx.pixels(spark, sf), TILE_IDS, M, 3600, 1800, "z", resample.INTENSIVE), 6, "z")
+
+
+@query
+def world_layer_bilinear(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer coarser than the grid, of densities; neighbours go beyond tiles."""
+    return rounded(resample.world_to_grid(_world(spark, sf), fx.pixels(spark, sf), TILE_IDS, N, 3600, 1800, "z", resample.INTENSIVE), 6, "z")
+
+
+#: North-west corner and cell of the projected crop map, in metres.
+MAP_WEST, MAP_NORTH, MAP_CELL = -297_000.0, 3_002_000.0, 2500.0
+CROP_MAP = ["CAST(o_orderkey % 67 AS INT) AS row", "CAST(o_custkey % 31 AS INT) AS col", "CAST(o_orderkey % 250 AS INT) AS code"]
+
+
+@query
+def crop_map_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """A projected crop map on the grid of the pixels; it covers a part of them."""
+    crop_map = fx.table(spark, sf, "orders").selectExpr(*CROP_MAP).groupBy("row", "col").agg(F.max("code").alias("code"))
+    return resample.projected_map(crop_map, fx.pixels(spark, sf), N, MAP_WEST, MAP_NORTH, MAP_CELL, "code")
+
+
+GLOBAL_CELLS = ["CAST(-20 + o_orderkey % 41 AS DOUBLE) * 0.5 + 45 AS lat", "CAST(-20 + o_custkey % 37 AS DOUBLE) * 0.5 - 95 AS lon", "CASE WHEN o_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(o_orderkey % 97 AS DOUBLE) END AS roots"]
+
+
+@query
+def clip_global_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """A global half-degree grid clipped to a tile, both borders included."""
+    cells = fx.table(spark, sf, "orders").selectExpr(*GLOBAL_CELLS).groupBy("lat", "lon").agg(F.max(F.nanvl("roots", F.lit(None))).alias("roots"))
+    return catalog.clip_global(cells, "50N_100W", 0.5, "roots")
+
+
+@query
+def kernel_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """Kernels and refusals by band type and sizes."""
+    kinds = F.element_at(F.array(*map(F.lit, [resample.CATEGORICAL, resample.INTENSIVE, resample.EXTENSIVE, "UNHEARD_OF"])), (c("o_orderkey") % 4 + 1).cast("int"))
+    sizes = [(c("o_custkey") % m + 1).alias(name) for name, m in (("dest_x", 2), ("dest_y", 3), ("src_x", 5), ("src_y", 4))]
+    own = fx.table(spark, sf, "orders").select(kinds.alias("band_type"), *sizes)
+    chosen = resample.kernel_of(c("band_type"), c("dest_x"), c("dest_y"), c("src_x"), c("src_y"))
+    return own.groupBy("band_type", "dest_x", "dest_y", "src_x", "src_y", chosen.alias("kernel")).agg(F.count("*").alias("n"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{stages.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def scanned_source(spark: SparkSession, sf: str) -> DataFrame:
+    """A gridded source ingested tile by tile, then scanned by the registry with its no-data value as NULL."""
+    root, source = _scratch(spark, "sources"), catalog.SOURCES["crop-map"]
+    px = fx.pixels(spark, sf)
+    done = ingest.ingest_tiles(spark, source, root, TILE_IDS, lambda tile: px.filter(c("tile_id") == tile))
+    return catalog.scan(spark, root, source.name, [t for t, result in done.items() if isinstance(result, str)])
+
+
+@query
+def qualified_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.qualified(fx.pixels(spark, sf).select("tile_id", "row", "col", "agb"), catalog.SOURCES["aboveground-biomass"])
+
+
+@stages.cached(version=1, ignored=("note",))
+def _yield_stage(spark: SparkSession, root: str, sf: str, note: str = "") -> DataFrame:
+    return _yields(spark, sf)
+
+
+@query
+def staged_yields(spark: SparkSession, sf: str) -> DataFrame:
+    """Yields as a stage, read back, then as a checked table sorted by its keys."""
+    root, table = _scratch(spark, "stages"), catalog.TABLES["survey-yields"]
+    once = _yield_stage(spark, root, sf, note="first")
+    ingest.write_table(table.checked(once), table.path(root), list(table.keys))
+    return rounded(spark.read.schema(table.schema).parquet(table.path(root)), 4, "yield_kg_per_ha")
+
+
+@query
+def pasted_canvas(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.paste(_world(spark, sf), 50, 20)
+
+
+@query
+def exported_bands(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark, "bands")
+    export.write_bands(fx.pixels(spark, sf), ["agb", "peat"], path)
+    return spark.read.parquet(path).select("tile_id", "row", "col", "agb", "peat")
+
+
+@query
+def few_crops(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixels of the crops that runs with few crops keep."""
+    names = trace.crop_names("JURISDICTIONAL_DIRECT", few=True)
+    table = F.create_map(*[F.lit(x) for name in trace.crop_names("JURISDICTIONAL_DIRECT") for code in k.DIRECT_CROPS[name] for x in (code, name)])
+    own = fx.pixels(spark, sf).select(F.try_element_at(table, c("crop_code")).alias("crop_name")).filter(c("crop_name").isin(names))
+    return own.groupBy("crop_name").agg(F.count("*").alias("n"))
+
+
 @query
 def dissolved_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers as rings, dissolved into their nations: ids and names from parts."""
@@ -550,3 +661,11 @@ def export_payload(spark: SparkSession, sf: str) -> DataFrame:
     blocked = fx.provinces(spark, sf).filter("n_nationkey = 3").select("jurisdiction_name")
     table = trace.factor_table(_provincial_direct(spark, sf), _countries(spark, sf))
     return rounded(export.payload(table, blocked).select("crop", "country", "province", "name", "output_amount", "emissions_kgco2e"), 0, "output_amount", "emissions_kgco2e")
+
+
+@query
+def backfill_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every classified country with its factor rows; one of the regions counts as unclassified, one country has no data."""
+    own = _countries(spark, sf).select("iso", F.when(c("national_name") == "ASIA", "UNCLASSIFIED").otherwise(c("national_name")).alias("continent"))
+    absent = spark.createDataFrame([("XX0", "NOWHERE")], "iso string, continent string")
+    return grids.backfill(own.unionByName(absent), trace.factor_table(_provincial_direct(spark, sf), _countries(spark, sf)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terraflux.factors import STATISTICS_YEARS, YEARS
 from terraflux.functions.nulls import clean
+from terraflux.functions.tiles import SPAN
 from terraflux.operators.resample import CATEGORICAL, EXTENSIVE, INTENSIVE
 
 
@@ -53,7 +55,40 @@ SOURCES = {
         *[Source(f"crop-{what}-{y}", unit, (what,), EXTENSIVE, -1 if y in (2000, 2010) else None, _WORLD) for y in STATISTICS_YEARS for what, unit in (("area", "ha"), ("production", "mt"))],
     ]
 }
-TABLES = ("jurisdictions-national", "jurisdictions-provincial", "survey-yields", "crop-taxonomy")
+
+
+@dataclass(frozen=True)
+class Table:
+    """A tabular source of the whole world: its columns, and the ones that it is sorted by."""
+
+    name: str
+    product: str
+    schema: str
+    keys: tuple[str, ...]
+
+    def path(self, root: str) -> str:
+        return f"{root}/{self.name}/{self.product}"
+
+    def checked(self, df: DataFrame) -> DataFrame:
+        """The table's columns in order and of their types; a missing one or a null key is an error."""
+        names = [f.split()[0] for f in self.schema.split(", ")]
+        if missing := [n for n in names if n not in df.columns]:
+            raise ValueError(f"{self.name}: no column {', '.join(missing)}")
+        columns = [F.col(n).cast(f.split(maxsplit=1)[1]).alias(n) for n, f in zip(names, self.schema.split(", "), strict=True)]
+        whole = F.when(F.greatest(*[F.isnull(k).cast("int") for k in self.keys], F.lit(0)) == 0, True).otherwise(F.raise_error(F.lit(f"{self.name}: null in {', '.join(self.keys)}")))
+        return df.select(*columns).filter(whole)
+
+
+# Tabular sources.
+TABLES = {
+    t.name: t
+    for t in [
+        Table("survey-yields", "yield", "admin_id string, crop_name string, year int, yield_kg_per_ha double", ("admin_id", "crop_name", "year")),
+        Table("jurisdictions-national", "admin-0", "admin_id string, jurisdiction_name string", ("admin_id",)),
+        Table("jurisdictions-provincial", "admin-1", "admin_id string, jurisdiction_name string", ("admin_id",)),
+        Table("jurisdictions-district", "admin-2", "admin_id string, jurisdiction_name string", ("admin_id",)),
+    ]
+}
 
 
 def scan(spark: SparkSession, root: str, name: str, tile_ids: list[str] | None = None) -> DataFrame:
@@ -90,7 +125,21 @@ def paste(df: DataFrame, row_offset: int, col_offset: int) -> DataFrame:
     return df.withColumn("row", F.col("row") + row_offset).withColumn("col", F.col("col") + col_offset)
 
 
-def clip_global(df: DataFrame, south: float, north: float, west: float, east: float, band: str) -> DataFrame:
-    """Rows (lat, lon, band) of a global grid inside a tile, both borders included, unknown as 0, numbered from the north-west."""
-    own = df.filter(F.col("lat").between(south, north) & F.col("lon").between(west, east))
-    return own.select("lat", "lon", F.coalesce(band, F.lit(0.0)).alias(band))
+def clip_global(df: DataFrame, tile_id: str, step: float, band: str, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """(tile_id, row, col, band): the cells of a global grid inside a tile, both borders included, row 0 in the north.
+
+    ``df``: (lat, lon, band), labels at ``origin`` + k ``step``, latitude rising. Every cell of the tile has a row; unknown
+    and absent ones are 0.
+    """
+    up, right = int(tile_id[:2]) * (1 if tile_id[2] == "N" else -1), int(tile_id[4:7]) * (1 if tile_id[7] == "E" else -1)
+    first = lambda low, at: math.ceil((low - at) / step - 1e-9)
+    last = lambda high, at: math.floor((high - at) / step + 1e-9)
+    south, north = first(up - SPAN, origin[0]), last(up, origin[0])
+    west, east = first(right, origin[1]), last(right + SPAN, origin[1])
+    width = east - west + 1
+    place = F.col("id")
+    cells = df.sparkSession.range((north - south + 1) * width).select(F.floor(place / width).cast("int").alias("row"), (place % width).cast("int").alias("col"))
+    k = lambda c, at: F.round((F.col(c) - at) / step).cast("int")
+    own = df.select((north - k("lat", origin[0])).alias("row"), (k("lon", origin[1]) - west).alias("col"), band)
+    own = own.filter(F.col("row").between(0, north - south) & F.col("col").between(0, width - 1))
+    return cells.join(own, ["row", "col"], "left").select(F.lit(tile_id).alias("tile_id"), "row", "col", F.coalesce(F.when(~F.isnan(band), F.col(band)), F.lit(0.0)).alias(band))

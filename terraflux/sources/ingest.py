@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux import factors as k
 from terraflux.functions import tiles
+from terraflux.sources.catalog import Source
 
 
 def to_ingest(wanted: DataFrame, manifest: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -26,6 +30,35 @@ def sort_out(wanted: DataFrame, partitionings: dict[str, str]) -> DataFrame:
     return own.select("dataset", "tile_id", reason.alias("reason"))
 
 
+def ingest_tiles(spark: SparkSession, source: Source, root: str, tile_ids: list[str], read: Callable[[str], DataFrame], overwrite: bool = False) -> dict[str, str | Exception]:
+    """Ingests a gridded source tile by tile: the path of each tile, or why it failed; a failure stops no other tile.
+
+    A whole-world source is the one tile ``world``. Ids that do not fit the source's partitioning are an error. Tiles that are there
+    are left alone unless ``overwrite``. ``read`` gives (tile_id, row, col, bands) of a tile, and each tile is one distributed job.
+    """
+    ids = ["world"] if source.partitioning == "WHOLE_WORLD" else list(dict.fromkeys(tile_ids))
+    if bad := [t for t in ids if not re.fullmatch(tiles.PATTERNS[source.partitioning], t)]:
+        raise ValueError(f"{source.name}: invalid tile ids {', '.join(bad)}")
+    path = source.path(root)
+    results: dict[str, str | Exception] = {}
+    for tile_id in ids:
+        own = f"{path}/tile_id={tile_id}"
+        try:
+            if overwrite or not folder_exists(spark, own):
+                write_pixels(read(tile_id).filter(F.col("tile_id") == tile_id).select("tile_id", "row", "col", *source.bands), path)
+                if not folder_exists(spark, own):
+                    raise ValueError(f"{source.name}: no pixels of tile {tile_id}")
+            results[tile_id] = own
+        except Exception as failure:  # whatever a reader or the job raises is this tile's result
+            results[tile_id] = failure
+    return results
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def grid_problems(meta: DataFrame) -> DataFrame:
     """Reason why each raster's metadata (epsg, width, height, step_x, step_y) is refused, NULL if it is fine."""
     c = F.col
@@ -57,9 +90,8 @@ def parse_yields(raw: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def us_states() -> list[tuple[int, str]]:
-    """(FIPS code, admin id) of the 51 states: numbered in the order of their codes."""
-    codes = [f for f in range(1, 57) if f not in (3, 7, 14, 43, 52)]
-    return [(code, f"USA{i:03d}") for i, code in enumerate(codes, 1)]
+    """(FIPS code, admin id) of the 51 states."""
+    return list(k.US_STATES.items())
 
 
 def exact_merge(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("tile_id", "row", "col")) -> DataFrame:

@@ -3,12 +3,29 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import json
+import re
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and every executor see: ``spark.checkpoint.dir`` of the session.
+
+    Where that is unset, a folder in the warehouse is used if there are no executors (local mode, as in tests); on a cluster
+    it is an error, since the warehouse may be the driver's own disk.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
+
+
 def stage_path(root: str, name: str, version: int, arguments: dict) -> str:
     key = json.dumps([name, version, arguments], sort_keys=True, default=str)
     return f"{root}/{name}/{hashlib.sha1(key.encode()).hexdigest()}"
@@ -25,3 +42,25 @@ def stage(spark: SparkSession, root: str, name: str, make: Callable[[], DataFram
     if not _exists(spark, path):
         make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cached(version: int, ignored: tuple[str, ...] = ()) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Makes a function (spark, root, ...) a stage: its key is module, qualified name, version and all arguments but ``ignored`` ones."""
+
+    def decorate(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(make)
+        if unknown := set(ignored) - set(signature.parameters):
+            raise ValueError(f"no argument {', '.join(sorted(unknown))}")
+
+        @wraps(make)
+        def run(spark: SparkSession, root: str, *args: object, **kwargs: object) -> DataFrame:
+            bound = signature.bind(spark, root, *args, **kwargs)
+            bound.apply_defaults()
+            own = list(bound.arguments)[:2]
+            arguments = {k: v for k, v in bound.arguments.items() if k not in {*own, *ignored}}
+            name = re.sub(r"[^\w.]", "_", f"{make.__module__}.{make.__qualname__}")
+            return stage(spark, root, name, lambda: make(spark, root, *args, **kwargs), version, **{"arguments": arguments})
+
+        return run
+
+    return decorate
