@@ -63,8 +63,11 @@ def crop_cells(stats: DataFrame) -> DataFrame:
     area in 2020 as given.
 
     A cell has a few dozen crops a year, so all of it is one aggregate by cell and then arithmetic
-    within the row; the fixed list of crops is a literal of the plan.
+    within the row; the fixed list of crops is a literal of the plan. Repeated rows of a cell, year and crop add up; rows
+    without a crop count for nothing.
     """
+    # dealt by cell once, for both aggregates
+    stats = stats.filter(F.col("crop").isNotNull()).repartition("cell").groupBy("cell", "year", "crop").agg(F.sum("area_ha").alias("area_ha"), F.sum("production_mt").alias("production_mt"))
     literals = [F.struct(*[F.lit(v).cast("int" if f == "siblings" else "string").alias(f) for f, v in zip(_CROP_FIELDS, row, strict=True)]) for row in _crops()]
     shared = F.col("crop").isin(k.SHARED)
     value = lambda year, q: F.map_from_entries(F.collect_list(F.when(F.col("year") == year, F.struct("crop", q))))

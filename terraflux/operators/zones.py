@@ -69,24 +69,38 @@ def pixels_in_zones(pixels: DataFrame, spans_: DataFrame) -> DataFrame:
 def tiles_touching(edges: DataFrame) -> DataFrame:
     """(zone_id, tile_id): 10-degree tiles that a zone's shape touches, borders included.
 
-    Candidates are the tiles of the bounding box; one stays if an edge meets the box or the box's
-    centre is inside the shape.
+    Two ways to touch, each with work by edge, not by tiles times edges: an edge meets the tile's box, for
+    the tiles of that edge's own bounding box; or the tile's centre is inside the shape, for runs of centres between the
+    crossings of each line of centres (even-odd).
     """
-    box = edges.groupBy("zone_id").agg(F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"), F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
-    steps = lambda low, high: F.explode(F.filter(F.sequence(F.floor(F.col(low) / 10) * 10, F.floor(F.col(low) / 10) * 10 + F.greatest(F.lit(0), F.ceil(F.col(high) / 10) - F.floor(F.col(low) / 10)) * 10, F.lit(10).cast("long")), lambda v: v < F.ceil(F.col(high) / 10) * 10))
-    cells = box.withColumn("lat", steps("s", "n")).withColumn("lon", steps("w", "e")).select("zone_id", "lat", "lon")
-    met = cells.join(edges, "zone_id")
-    hit = _edge_meets_box(met)
-    cy, cx = F.col("lat") + 5.0 + 1e-7, F.col("lon") + 5.0  # the centre, off any corner on a round latitude
-    crosses = (F.least("y1", "y2") <= cy) & (cy < F.greatest("y1", "y2"))
-    x = F.col("x1") + (cy - F.col("y1")) / F.when(F.col("y1") != F.col("y2"), F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
-    right = F.when(crosses & (x > cx), 1).otherwise(0)
-    out = met.groupBy("zone_id", "lat", "lon").agg(F.max(hit.cast("int")).alias("hit"), F.sum(right).alias("crossings"))
-    out = out.filter("hit = 1 OR crossings % 2 = 1")
+    first, last = lambda x: F.floor(x / 10), lambda x: F.ceil(x / 10) - 1
+    # a border belongs to the tiles on both sides, but not beyond the box of the whole shape
+    own = Window.partitionBy("zone_id")
+    box = edges.select("*", F.min(F.least("x1", "x2")).over(own).alias("w"), F.max(F.greatest("x1", "x2")).over(own).alias("e"), F.min(F.least("y1", "y2")).over(own).alias("s"), F.max(F.greatest("y1", "y2")).over(own).alias("n"))
+
+    def steps(a: str, b: str, low: str, high: str) -> Column:
+        begin, end = F.greatest(first(F.least(a, b)) - 1, first(F.col(low))), F.least(first(F.greatest(a, b)), last(F.col(high)))
+        return F.explode(F.when(begin <= end, F.sequence(begin, end)))
+
+    near = box.withColumn("lat", steps("y1", "y2", "s", "n")).withColumn("lon", steps("x1", "x2", "w", "e"))
+    near = near.withColumn("lat", F.col("lat") * 10).withColumn("lon", F.col("lon") * 10)
+    border = near.filter(_edge_meets_box()).select("zone_id", "lat", "lon")
+    # lines of centres, off any corner on a round latitude
+    y = F.col("k") * 10 + 5.0 + 1e-7
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    lines = edges.filter("y1 <> y2").withColumn("k", F.explode(F.sequence(F.ceil((low - 5.0 - 1e-7) / 10), F.floor((high - 5.0 - 1e-7) / 10) + 1))).filter((low <= y) & (y < high))
+    x = F.col("x1") + (y - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
+    line = Window.partitionBy("zone_id", "part", "k").orderBy("x")
+    runs = lines.select("zone_id", "part", "k", x.alias("x"))
+    runs = runs.select("*", F.row_number().over(line).alias("i"), F.lead("x").over(line).alias("x_out")).filter("i % 2 = 1 AND x_out IS NOT NULL")
+    # centres in [x, x_out)
+    ends = runs.select("zone_id", "k", F.ceil((F.col("x") - 5.0) / 10).alias("t0"), (F.ceil((F.col("x_out") - 5.0) / 10) - 1).alias("t1")).filter("t0 <= t1")
+    inside = ends.select("zone_id", (F.col("k") * 10).alias("lat"), F.explode(F.sequence("t0", "t1")).alias("t")).select("zone_id", "lat", (F.col("t") * 10).alias("lon"))
+    out = border.unionByName(inside).distinct()
     return out.select("zone_id", tiles.tile_of((F.col("lat") + 10).cast("int"), F.col("lon").cast("int")).alias("tile_id"))
 
 
-def _edge_meets_box(_: DataFrame) -> Column:
+def _edge_meets_box() -> Column:
     """Whether the segment (x1, y1)-(x2, y2) meets the closed box of 10 degrees north-east of (lon, lat), by clipping its parameter range."""
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
 

@@ -6,9 +6,8 @@ import math
 
 from terraflux import factors as k
 from terraflux.factors import SPANS, YEARS
-from terraflux.operators.agreement import ROW_CROPS
 from terraflux.operators.emit import PUBLISHED
-from terraflux.operators.statistical import LAYERS, SHARE_SPANS, production_weights
+from terraflux.operators.statistical import LAYERS, SHARE_SPANS
 from terraflux.plans import fixtures as fx
 from terraflux.plans import queries as q
 from terraflux.plans.fixtures import M, N
@@ -122,7 +121,7 @@ total AS (
   SELECT a.cell, sp.before, sp.after, coalesce(c.x, 0) + greatest(b.x - a.x, 0) AS total
   FROM sp JOIN pool a ON a.year = sp.before JOIN pool b ON b.year = sp.after AND b.cell = a.cell LEFT JOIN common c ON c.cell = a.cell AND c.before = sp.before AND c.after = sp.after),
 sh AS (SELECT ex.*, total, CASE WHEN total > 0 THEN expansion / total ELSE 0 END AS share FROM ex JOIN total USING (cell, before, after)),
-wp AS (SELECT cell, crop, sum(production_mt * CASE year {' '.join(f'WHEN {y} THEN {w!r}' for y, w in production_weights().items())} END) AS production_mt FROM hz GROUP BY cell, crop)"""
+wp AS (SELECT cell, crop, sum(production_mt * CASE year WHEN 2000 THEN 0.03125 WHEN 2005 THEN 0.125 WHEN 2010 THEN 0.46875 WHEN 2020 THEN 0.375 END) AS production_mt FROM hz GROUP BY cell, crop)"""
 
 _share = lambda a, b: f"max(CASE WHEN before = {a} AND after = {b} THEN share END) AS share_{a}_{b}"
 _weigh = lambda p: " + ".join(f"{w} * {p}_{a}_{b} * ha * share_{k.STATISTICS_SPAN[a, b][0]}_{k.STATISTICS_SPAN[a, b][1]}" for (a, b), w in k.SPAN_WEIGHTS.items())
@@ -178,7 +177,15 @@ def national(rows: str) -> str:
 FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 1, bias=0.003) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
 
 AREAS = f"(SELECT *, {HA} AS ha FROM {ZONED}) a"
-ROW_CROP = f"coalesce(crop_code IN ({', '.join(map(str, ROW_CROPS))}), false)"
+
+
+def row_crop(x: str) -> str:
+    """Herbaceous crops without hay (36, 37) and fallow (61), as ranges of codes."""
+    inside = " OR ".join(f"{x} BETWEEN {a} AND {b}" for a, b in ((1, 6), (10, 14), (21, 35), (38, 39), (41, 54), (56, 57), (205, 209), (213, 214), (216, 216), (218, 219), (221, 223), (225, 241), (243, 249), (254, 254)))
+    return f"coalesce({inside}, false)"
+
+
+ROW_CROP = row_crop("crop_code")
 _part = lambda x: f"coalesce(sum(CASE WHEN {x} THEN ha END), 0)"
 CONFUSION = f"""SELECT *, crop_cover + crop_other AS crop_total, CASE WHEN crop_cover + crop_other > 0 THEN 100 * crop_cover / (crop_cover + crop_other) END AS confirm_pct FROM (
   SELECT admin_id, {_part('rc AND cv')} AS crop_cover, {_part('rc AND NOT cv')} AS crop_other, {_part('NOT rc AND cv')} AS other_cover, {_part('NOT rc AND NOT cv')} AS other_other
@@ -195,7 +202,7 @@ def buckets(kind: str, by: str, names: dict[str, str]) -> str:
 
 
 _COVER = lambda y: f"CAST(coalesce(lc_{y} = 244, false) AS INTEGER)"
-_CROP4 = lambda x: f"CASE WHEN coalesce({x} IN ({', '.join(map(str, ROW_CROPS))}), false) THEN 1 WHEN {x} IN (36, 37) THEN 2 WHEN {x} IN (61) THEN 3 ELSE 0 END"
+_CROP4 = lambda x: f"CASE WHEN {row_crop(x)} THEN 1 WHEN {x} IN (36, 37) THEN 2 WHEN {x} IN (61) THEN 3 ELSE 0 END"
 CHANGE = f"""SELECT category, flag, {r('s', 3, 'start_ha')}, {r('e', 3, 'end_ha')}, {r('e - s', 3, 'net_ha')} FROM (
   SELECT category, flag, coalesce(sum(CASE WHEN w = 0 THEN ha END), 0) AS s, coalesce(sum(CASE WHEN w = 1 THEN ha END), 0) AS e FROM (
     SELECT ha, 0 AS w, {_CROP4('crop_code')} AS category, {_COVER(2010)} AS flag FROM {AREAS} UNION ALL

@@ -106,3 +106,11 @@ def test_rows_must_be_provincial(spark):
     bad = trace.attach_ratios(trace.statistical_production(rolled(spark).withColumn("production_mt", F.lit(2.0)).withColumn("admin_level", F.lit("NATIONAL"))))
     with pytest.raises(Exception, match="provincial"):
         trace.factor_table(bad, spark.createDataFrame([("XXX", "X")], "iso string, national_name string")).collect()
+
+
+def test_repeated_statistics_add_up(spark):
+    schema = "cell int, year int, crop string, area_ha double, production_mt double"
+    whole = [(1, 2005, "MAIZ", 30.0, 3.0), (1, 2020, "MAIZ", 80.0, 9.0), (1, 2020, "SOYB", 5.0, 1.0)]
+    parts = [(1, 2005, "MAIZ", 10.0, 1.0), (1, 2005, "MAIZ", 20.0, 2.0), (1, 2020, "MAIZ", 80.0, 9.0), (1, 2020, "SOYB", 5.0, 1.0), (1, 2020, None, 7.0, 1.0)]
+    got = [sorted(map(tuple, statistical.crop_cells(spark.createDataFrame(rows, schema)).collect())) for rows in (whole, parts)]
+    assert got[0] == got[1] and len(got[0]) == 32

@@ -92,3 +92,71 @@ def test_stream_equals_batch(spark, tmp_path):
         emit_new_files(spark, source, pixels.schema, target, str(tmp_path / "check"), fx.N).awaitTermination()
     batch = emit(pixels, fx.N).agg(F.count("*"), F.round(F.sum("per_ha"), 3)).first()
     assert spark.read.parquet(target).agg(F.count("*"), F.round(F.sum("per_ha"), 3)).first() == batch
+
+
+def test_ingest_tile_by_tile(spark, tmp_path):
+    source = catalog.SOURCES["aboveground-biomass"]
+    rows = spark.createDataFrame([("50N_100W", 0, 0, 1.0), ("40N_100W", 2, 3, 4.0)], "tile_id string, row int, col int, agb double")
+    asked = []
+
+    def read(tile):
+        asked.append(tile)
+        if tile == "30N_100W":
+            raise OSError("no such file")
+        return rows
+
+    ids = ["50N_100W", "30N_100W", "20N_100W", "40N_100W", "50N_100W"]
+    got = ingest.ingest_tiles(spark, source, str(tmp_path), ids, read)
+    assert [t for t in got if isinstance(got[t], str)] == ["50N_100W", "40N_100W"] and "no such file" in str(got["30N_100W"]) and "no pixels" in str(got["20N_100W"])
+    assert sorted(map(tuple, catalog.scan(spark, str(tmp_path), source.name).collect())) == [("40N_100W", 2, 3, 4.0), ("50N_100W", 0, 0, 1.0)]
+    asked.clear()
+    ingest.ingest_tiles(spark, source, str(tmp_path), ids, read)
+    assert asked == ["30N_100W", "20N_100W"]
+    with pytest.raises(ValueError, match="invalid tile ids 55N_100W"):
+        ingest.ingest_tiles(spark, source, str(tmp_path), ["50N_100W", "55N_100W"], read)
+    world = catalog.SOURCES["climate-zones"]
+    whole = spark.createDataFrame([("world", 0, 0, 3)], "tile_id string, row int, col int, zone int")
+    assert list(ingest.ingest_tiles(spark, world, str(tmp_path), ids, lambda tile: whole)) == ["world"]
+
+
+def test_cached_stage(spark, tmp_path):
+    made = []
+
+    @stages.cached(version=3, ignored=("note",))
+    def numbers(spark, root, n, step=1, note=""):
+        made.append((n, step, note))
+        return spark.range(0, n, step)
+
+    at = lambda *a, **k: numbers(spark, str(tmp_path), *a, **k).count()
+    assert [at(10), at(10, note="x"), at(n=10, step=1), at(10, step=2), at(4)] == [10, 10, 10, 5, 4]
+    assert made == [(10, 1, ""), (10, 2, ""), (4, 1, "")]
+    with pytest.raises(ValueError, match="no argument other"):
+        stages.cached(version=1, ignored=("other",))(lambda spark, root: None)
+
+
+def test_tables_are_checked(spark, tmp_path):
+    table = catalog.TABLES["survey-yields"]
+    rows = spark.createDataFrame([("USA002", "CORN", 2018, 1.0, "x"), ("USA001", "WHEAT", 2017, 2.0, "y")], "admin_id string, crop_name string, year long, yield_kg_per_ha float, other string")
+    ingest.write_table(table.checked(rows), table.path(str(tmp_path)), list(table.keys))
+    back = spark.read.parquet(table.path(str(tmp_path)))
+    assert back.dtypes == [("admin_id", "string"), ("crop_name", "string"), ("year", "int"), ("yield_kg_per_ha", "double")]
+    assert [r["admin_id"] for r in back.collect()] == ["USA001", "USA002"]
+    with pytest.raises(ValueError, match="no column year"):
+        table.checked(rows.drop("year"))
+    with pytest.raises(Exception, match="null in admin_id, crop_name, year"):
+        table.checked(rows.withColumn("year", F.lit(None).cast("int"))).collect()
+    assert len(catalog.SOURCES) + len(catalog.TABLES) == 20
+
+
+def test_global_grid_is_clipped_filled_and_flipped(spark):
+    rows = spark.createDataFrame([(50.0, -100.0, 1.0), (40.0, -90.0, 2.0), (45.0, -95.0, float("nan")), (39.0, -95.0, 9.0), (50.0, -89.0, 9.0), (49.0, -100.0, None)], "lat double, lon double, roots double")
+    got = {(r["row"], r["col"]): r["roots"] for r in catalog.clip_global(rows, "50N_100W", 1.0, "roots").collect()}
+    assert len(got) == 121 and {k: v for k, v in got.items() if v} == {(0, 0): 1.0, (10, 10): 2.0}
+    centres = spark.createDataFrame([(49.5, -99.5, 1.0), (40.5, -90.5, 2.0), (50.5, -99.5, 9.0)], "lat double, lon double, roots double")
+    got = {(r["row"], r["col"]): r["roots"] for r in catalog.clip_global(centres, "50N_100W", 1.0, "roots", (0.5, 0.5)).collect()}
+    assert len(got) == 100 and {k: v for k, v in got.items() if v} == {(0, 0): 1.0, (9, 9): 2.0}
+
+
+def test_pasted_cells_move(spark):
+    rows = spark.createDataFrame([(1, 2, 5.0)], "row int, col int, z double")
+    assert catalog.paste(rows, 10, 20).first()[:] == (11, 22, 5.0)
