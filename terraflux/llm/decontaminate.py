@@ -91,14 +91,21 @@ class Items:
                     yield part.start + d, i, shared
 
 
+def _keyed(items: DataFrame) -> DataFrame:
+    return items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.sha2("text", 256))
+
+
 def item_blocks(items: DataFrame) -> Iterator[Items]:
-    """The items in blocks of about ``BLOCK_WORDS`` words, each small enough to go to every task."""
-    own = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    """The distinct texts of the items in blocks of about ``BLOCK_WORDS`` words, each small enough to go to every task.
+
+    Copies of a text are one item here, so no block grows with them; only a single text longer than a block makes a larger one.
+    """
+    own = _keyed(items).select("key", "text").distinct()
     words = own.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
     blocks = int(words // BLOCK_WORDS) + 1
     for k in range(blocks):
-        rows = own.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).toArrow()
-        yield Items(rows.column("item_id").to_pylist(), [t.encode() for t in rows.column("text").to_pylist()])
+        rows = own.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).toArrow()
+        yield Items(rows.column("key").to_pylist(), [t.encode() for t in rows.column("text").to_pylist()])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -106,12 +113,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
     Shingles are 5 words, lower-cased (accented letters, too), distinct; fewer words are one shingle; a text without
     words has none, so it never matches. Rows are per document row and item row: repeated rows and null
-    ids come back as they are. Empty tables give no rows; other columns are ignored.
+    ids come back as they are. Empty tables give no rows; other columns are ignored. Documents are read once
+    for each block of items: once per million words of distinct benchmark text.
     """
     spark: SparkSession = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    schema = "doc_id long, item_id long, shared long, item_shingles long, containment double"
-    names = ["doc_id", "item_id", "shared", "item_shingles", "containment"]
+    schema = "doc_id long, key string, shared long, item_shingles long, containment double"
+    names = ["doc_id", "key", "shared", "item_shingles", "containment"]
     out = spark.createDataFrame([], schema)
     for block in item_blocks(items):
         sent = spark.sparkContext.broadcast(block)
@@ -124,7 +132,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array([d for d, _, _ in hits], pa.int64())),
-                        pa.array([items.ids[i] for _, i, _ in hits], pa.int64()),
+                        pa.array([items.ids[i] for _, i, _ in hits], pa.string()),
                         pa.array([n for _, _, n in hits], pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array([n / s for (_, _, n), s in zip(hits, sizes, strict=True)], pa.float64()),
@@ -133,7 +141,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
                 )
 
         out = out.unionByName(own.mapInArrow(find, schema))
-    return out
+    ids = _keyed(items).select("key", F.col("item_id").cast("long"))
+    return out.join(ids, "key").select("doc_id", "item_id", "shared", "item_shingles", "containment")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -148,3 +148,16 @@ def test_vectors(spark):
     huge = spark.createDataFrame([(0, [3e38]), (1, [3e38]), (2, [-3e38]), (3, [1e-3])], "vec_id long, embedding array<float>")
     rows = vafile.top_k(huge, huge.filter("vec_id = 0")).orderBy("rank").collect()
     assert [(r["vec_id"], r["score"]) for r in rows] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -(2**63))]
+
+
+def test_copies_of_items_make_no_larger_block(spark, monkeypatch):
+    """Items that are copies of one text, and more distinct words than a block holds."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 200)
+    items = [(i, PASSAGE) for i in range(50)] + [(100 + i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(20)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(table))
+    assert len(blocks) > 2 and sum(len(b.ids) for b in blocks) == 21
+    docs = spark.createDataFrame([(1, f"before {PASSAGE} after"), (2, items[-1][1]), (3, "nothing here")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, table).collect())
+    assert got == [*((1, i) for i in range(50)), (2, 119)]
+    assert ids(decontaminate.drop_contaminated(docs, table)) == [3]
