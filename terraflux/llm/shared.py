@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraflux.sources.stages import shared_dir
+
 #: ASCII white space; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and every executor see: ``spark.checkpoint.dir`` of the session.
-
-    Where that is unset, a folder in the warehouse is used if there are no executors (local mode, as in tests); on a cluster
-    it is an error, since the warehouse may be the driver's own disk.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoint"
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
