@@ -19,9 +19,9 @@ MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 #: Ramp of the rate by weight: light sources early, heavy ones late.
 RAMPS = (-0.5, 0.0, 0.5)
-#: Hex digits of the order key that make a bucket: offsets are summed within buckets, then over bucket totals. A source of
-#: 10^10 documents has about 150,000 in each of 65,536 buckets.
-BUCKET_DIGITS = 4
+#: Hex digits of the order key that make a coarse and a fine bucket: offsets are summed within fine buckets, then over the fine
+#: buckets of a coarse one, then over coarse ones. A source of 10^10 documents has about 150,000 in each of 65,536 fine buckets.
+COARSE_DIGITS, FINE_DIGITS = 2, 4
 
 
 def words(text: Column) -> Column:
@@ -77,17 +77,21 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     position of each copy, 0 to 1. Reruns agree: the order depends on ids and sizes alone, and repeated rows
     share a source's words between them. Null text has size 0; null ids sort as the empty text;
     other columns are ignored; empty tables give no rows. A hot source is no single group: offsets
-    are summed within buckets of the order and over bucket totals.
+    are summed within buckets of the order and over two levels of bucket totals.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sizes = materialise(docs.select(F.col("doc_id").cast("long"), "source", words(F.col("text")).alias("size"), key.alias("key")), "sizes")
     weighed = targets(sizes)
-    sizes = sizes.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    sizes = sizes.withColumn("bucket", F.substring("key", 1, FINE_DIGITS))
     own = ["source", "bucket"]
-    totals = sizes.groupBy(*own).agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
-    facts = totals.alias("a").join(weighed.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "bucket", "base", "weight", "source_size", "target", "demand")
+    fine = sizes.groupBy(*own).agg(F.sum("size").alias("words")).withColumn("coarse", F.substring("bucket", 1, COARSE_DIGITS))
+    coarse = fine.groupBy("source", "coarse").agg(F.sum("words").alias("words"))
+    before = lambda w: F.coalesce(F.sum("words").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fine = fine.withColumn("base", before(Window.partitionBy("source", "coarse").orderBy("bucket")))
+    coarse = coarse.withColumn("start", before(Window.partitionBy("source").orderBy("coarse")))
+    coarse = coarse.alias("a").join(weighed.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "coarse", "start", "weight", "source_size", "target", "demand")
+    nested = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.coarse") == F.col("b.coarse"))
+    facts = fine.alias("a").join(coarse.alias("b"), nested).select("a.source", "bucket", (F.col("base") + F.col("start")).alias("base"), "weight", "source_size", "target", "demand")
     within = Window.partitionBy(*own).orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sizes.withColumn("offset", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))
