@@ -40,13 +40,13 @@ CONTEXT = 2
 STRIDE = 2
 ROUNDS = 2
 #: So often do the rounds go over all positions.
-EPOCHS = 3
+EPOCHS = 4
 NOISE = 48
-STEP = 1024
+STEP = 512
 #: Distinct class grams of a training task, and positions whose grams are counted at once.
 TASK_ROWS = 1 << 18
 GRAMS = 1 << 22
-RATE = 0.1
+RATE = 0.2
 SMOOTH = 0.1
 #: Words whose counts go to every task: all those above some count, at most so many.
 COMMON = 1 << 17
