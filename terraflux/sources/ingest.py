@@ -95,13 +95,23 @@ def us_states() -> list[tuple[int, str]]:
 
 
 def exact_merge(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("tile_id", "row", "col")) -> DataFrame:
-    """Inner join of two gridded tables that must have the same pixels; a pixel that only one has is an error."""
+    """Inner join of two gridded tables that must have the same pixels; a pixel that only one has is an error.
+
+    Tables of ``write_for_merges`` with the same number of buckets are joined where they lie; others are shuffled by the keys.
+    """
     a, b = left.withColumn("_a", F.lit(1)), right.withColumn("_b", F.lit(1))
     both = a.join(b, list(keys), "full_outer")
     ok = F.when(F.col("_a").isNull() | F.col("_b").isNull(), F.raise_error(F.lit("grids differ"))).otherwise(F.lit(True))
     return both.filter(ok).drop("_a", "_b")
 
 
+def write_for_merges(df: DataFrame, table: str, path: str, buckets: int, keys: tuple[str, ...] = ("tile_id", "row", "col")) -> DataFrame:
+    """A gridded layer as a table bucketed by its pixels: one shuffle here, none in a merge with a layer written likewise."""
+    placed = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    placed.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_table(df: DataFrame, path: str, keys: list[str]) -> None:
     """A tabular source, sorted by its keys."""
     df.sort(*keys).write.mode("overwrite").parquet(path)

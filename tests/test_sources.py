@@ -160,3 +160,16 @@ def test_global_grid_is_clipped_filled_and_flipped(spark):
 def test_pasted_cells_move(spark):
     rows = spark.createDataFrame([(1, 2, 5.0)], "row int, col int, z double")
     assert catalog.paste(rows, 10, 20).first()[:] == (11, 22, 5.0)
+
+
+def test_bucketed_layers_merge_without_a_shuffle(spark, tmp_path):
+    px = fx.pixels(spark, SF)
+    left, right = (ingest.write_for_merges(px.select("tile_id", "row", "col", band), f"layer_{band}", str(tmp_path / band), 4) for band in ("agb", "soc"))
+    merged = ingest.exact_merge(left, right)
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, px.select("tile_id", "row", "col", "agb", "soc").collect()), key=str)
+    finally:
+        for band in ("agb", "soc"):
+            spark.sql(f"DROP TABLE layer_{band}")
