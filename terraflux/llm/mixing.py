@@ -112,7 +112,8 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
 def every_copy(mixed: DataFrame) -> DataFrame:
     """One row per copy, taken its words; a document that is not taken is one row of no words, copy and position null."""
     copies = mixed.select("doc_id", "source", "size", "source_size", "target", F.col("taken").alias("all"), F.posexplode_outer("positions").alias("copy", "position"))
-    words_here = F.coalesce(F.least(F.col("size"), F.col("all") - F.col("copy") * F.col("size")), F.lit(0).cast("long"))
+    # least() would pass over the null of a document that is not taken
+    words_here = F.when(F.col("copy").isNull(), F.lit(0)).otherwise(F.least(F.col("size"), F.col("all") - F.col("copy") * F.col("size"))).cast("long")
     return copies.select("doc_id", "source", "size", "source_size", "target", "copy", words_here.alias("taken"), "position")
 
 

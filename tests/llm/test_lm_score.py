@@ -86,3 +86,9 @@ def test_entries_keep_the_counts():
 def test_neural_part_helps_on_held_out_text(case):
     held = [r for r in case[2] if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_parameters_do_not_depend_on_partitions(case):
+    docs, model, _ = case
+    again = lm.train(docs.repartition(7))
+    assert all((a == b).all() for a, b in zip(model.parameters, again.parameters, strict=True))
