@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +15,31 @@ from terraflux.sources.stages import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+_open: list[list[DataFrame]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Deletes at its end what is materialised within, but for what is to be kept."""
+    made: list[DataFrame] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.remove(made)
+        for df in made:
+            discard(df)
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _open and not keep:
+        _open[-1].append(out)
+    return out
 
 
 def discard(df: DataFrame) -> None:

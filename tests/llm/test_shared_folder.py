@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from terraflux.llm.shared import shared_dir
+from terraflux.llm.shared import discard, materialise, shared_dir, temporary
 
 
 def session(master, conf):
@@ -18,3 +18,18 @@ def test_folder():
     for master in ("spark://x:1", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_dir(session(master, warehouse))
+
+
+def exists(df):
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0])
+    return path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_intermediates_go(spark):
+    with temporary():
+        first = materialise(spark.range(5), "first")
+        kept = materialise(first.filter("id > 1"), "kept", keep=True)
+        discard(materialise(first, "gone-already"))
+        assert exists(first)
+    later = materialise(spark.range(2), "later")
+    assert not exists(first) and exists(kept) and exists(later) and kept.count() == 3
