@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux.llm import decontaminate, mixing, quality, simhash, substring_dedup
-from terraflux.llm.shared import materialise, read
+from terraflux.llm.shared import discard, materialise, read, temporary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    """The stages one after the other; what a stage wrote for itself is deleted when its result is written, and the result after the next one's."""
+    docs = before = read(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        with temporary():
+            docs = materialise(stage(spark, before, sf_dir), "pipeline-" + name.replace(" ", "-"), keep=True)
+        if i:
+            discard(before)
+        before = docs
     return docs
 
 
