@@ -32,10 +32,12 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def look_up(code: Column, values: Mapping[int, float | int], default: float | int | None = 0) -> Column:
     """The value of a small non-negative integer code; ``default`` for unknown and unlisted codes.
 
-    One indexing of a literal array: the code appears once in the plan, however it is computed.
+    One indexing of a literal array: the code appears once in the plan, however it is computed. The array is one text for
+    the parser, as a call for each of its entries takes the driver seconds.
     """
-    kind = "double" if any(isinstance(v, float) for v in values.values()) else "int"
-    table = F.array(*[F.lit(values.get(i)).cast(kind) for i in range(max(values) + 1)])
+    suffix = "D" if any(isinstance(v, float) for v in values.values()) else ""
+    entries = (values.get(i) for i in range(max(values) + 1))
+    table = F.expr("array(" + ", ".join("NULL" if v is None else f"{v!r}{suffix}" for v in entries) + ")")
     found = F.get(table, code)
     return found if default is None else F.coalesce(found, F.lit(default))
 

@@ -68,7 +68,11 @@ def crop_cells(stats: DataFrame) -> DataFrame:
     """
     # dealt by cell once, for both aggregates
     stats = stats.filter(F.col("crop").isNotNull()).repartition("cell").groupBy("cell", "year", "crop").agg(F.sum("area_ha").alias("area_ha"), F.sum("production_mt").alias("production_mt"))
-    literals = [F.struct(*[F.lit(v).cast("int" if f == "siblings" else "string").alias(f) for f, v in zip(_CROP_FIELDS, row, strict=True)]) for row in _crops()]
+    text = lambda v: "NULL" if v is None else repr(v)
+    struct = lambda row: ", ".join(f"'{f}', CAST({text(v)} AS {'INT' if f == 'siblings' else 'STRING'})" for f, v in zip(_CROP_FIELDS, row, strict=True))
+    # one text for the parser, as a call for each literal takes the driver seconds
+    literals = F.expr("array(" + ", ".join(f"named_struct({struct(row)})" for row in _crops()) + ")")
+    strings = lambda values: F.expr("array(" + ", ".join(map(repr, values)) + ")")
     shared = F.col("crop").isin(k.SHARED)
     value = lambda year, q: F.map_from_entries(F.collect_list(F.when(F.col("year") == year, F.struct("crop", q))))
     maps = [value(y, q).alias(f"{q}_{y}") for y in k.STATISTICS_YEARS for q in ("area_ha", "production_mt")]
@@ -76,11 +80,11 @@ def crop_cells(stats: DataFrame) -> DataFrame:
     cells = stats.groupBy("cell").agg(*maps, *pools)
     at = lambda y, q, code: F.coalesce(F.try_element_at(F.col(f"{q}_{y}"), code), F.lit(0.0))
     grown = lambda before, after: F.greatest(after - before, F.lit(0.0))
-    codes = F.array(*[F.lit(x) for x in k.SHARED])
+    codes = strings(k.SHARED)
     common = lambda a, b: F.aggregate(codes, F.lit(0.0), lambda total, x: total + grown(at(a, "area_ha", x), at(b, "area_ha", x)))
-    groups = F.create_map(*[x for g, parts in k.GROUPS.items() for x in (F.lit(g), F.aggregate(F.array(*[F.lit(p) for p in parts]), F.lit(0.0), lambda total, x: total + at(2005, "area_ha", x)))])
+    groups = F.create_map(*[x for g, parts in k.GROUPS.items() for x in (F.lit(g), F.aggregate(strings(parts), F.lit(0.0), lambda total, x: total + at(2005, "area_ha", x)))])
     cells = cells.select("*", groups.alias("references"), *[(common(a, b) + grown(F.col(f"pool_{a}"), F.col(f"pool_{b}"))).alias(f"total_{a}_{b}") for a, b in SHARE_SPANS])
-    rows = cells.select("*", F.explode(F.array(*literals)).alias("k")).select("*", "k.*")
+    rows = cells.select("*", F.explode(literals).alias("k")).select("*", "k.*")
     reference = F.try_element_at("references", F.col("grp"))
     share = F.when(F.col("grp").isNull(), 1.0).when(reference > 0, at(2005, "area_ha", F.col("code_2005")) / reference).otherwise(1 / F.col("siblings"))
     rows = rows.withColumn("part", share)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from terraflux.factors import YEARS
 
@@ -88,8 +89,15 @@ def edges() -> list[tuple]:
 EDGES_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{z}', {p}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), CAST({d} AS DOUBLE))" for z, p, a, b, c, d in edges()) + ") AS t(zone_id, part, x1, y1, x2, y2)"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once, not for each use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
