@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import decontaminate, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
+from terraflux.llm import alignment, decontaminate, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 def _shingles(table: str, key: str) -> str:

@@ -31,11 +31,11 @@ def temporary() -> Iterator[None]:
             discard(df)
 
 
-def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def materialise(df: DataFrame, name: str, keep: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     if _open and not keep:
         _open[-1].append(out)
