@@ -119,7 +119,9 @@ class Aligned:
         read = [texts[d].decode("utf-8", "replace") for d in own]
         a, b = first.encode_all(read), second.encode_all(read)
         whole = lambda ids, t, known: b"".join(map(known.pieces.__getitem__, ids)) == b" " + t
-        kept = [i for i, d in enumerate(own) if whole(a[i], texts[d], first) and whole(b[i], texts[d], second)]
+        # with all bytes in its vocabulary, a byte-level BPE gives back what it got; that is the text if it was read without loss
+        same = lambda i, d: read[i].encode() == texts[d] if first.fast is not None else whole(a[i], texts[d], first)
+        kept = [i for i, d in enumerate(own) if same(i, d) and whole(b[i], texts[d], second)]
         doc = np.array([own[i] for i in kept], np.int64)
         a, b = [a[i] for i in kept], [b[i] for i in kept]
         count = lambda ids: np.bincount(doc, [len(x) for x in ids], self.n).astype(np.int64) if kept else np.zeros(self.n, np.int64)
@@ -132,15 +134,20 @@ class Aligned:
 
     def _group(self) -> None:
         """Pointer jumping. Nodes are the tokens of A, then those of B."""
-        n = len(self.a)
-        over_a = np.searchsorted(self.end_b, self.end_a)  # token of B at the last byte of each token of A
-        over_b = np.searchsorted(self.end_a, self.end_b)
-        after_a = np.where(self.end_b[over_a] > self.end_a, n + over_a, np.arange(n)) if n else over_a
+        n, size = len(self.a), int(self.end_a[-1]) if len(self.a) else 0
+        ends_a, ends_b = np.zeros(size + 1, np.int8), np.zeros(size + 1, np.int8)
+        ends_a[self.end_a], ends_b[self.end_b] = 1, 1
+        self.cut = np.flatnonzero(ends_a | ends_b)
+        #: Token of A and of B at each byte.
+        self.at_a, self.at_b = np.cumsum(ends_a, dtype=np.int32), np.cumsum(ends_b, dtype=np.int32)
+        over_a, over_b = self.at_b[self.end_a - 1], self.at_a[self.end_b - 1]
+        after_a = np.where(self.end_b[over_a] > self.end_a, n + over_a, np.arange(n))
         s = np.concatenate([after_a, over_b])
         while (s != (further := s[s])).any():
             s = further
-        ends = np.unique(s)
-        self.group_a, self.group_b = np.searchsorted(ends, s[:n]), np.searchsorted(ends, s[n:])
+        terminal = s[:n] == np.arange(n)
+        ends, number = np.flatnonzero(terminal), np.cumsum(terminal) - 1
+        self.group_a, self.group_b = number[s[:n]], number[s[n:]]
         #: Groups of each text are ``from_group[d]:from_group[d + 1]``.
         self.from_group = np.searchsorted(ends, self.from_a)
         self.size_a, self.size_b = np.bincount(self.group_a, minlength=len(ends)), np.bincount(self.group_b, minlength=len(ends))
@@ -148,8 +155,7 @@ class Aligned:
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of A, index of B) of all overlapping pairs in order, and where each text's begin."""
-        ends = np.union1d(self.end_a, self.end_b)
-        i, j = np.searchsorted(self.end_a, ends), np.searchsorted(self.end_b, ends)
+        i, j = self.at_a[self.cut - 1], self.at_b[self.cut - 1]
         return i, j, np.searchsorted(i, self.from_a)
 
     def written(self, texts_of_tokens: list[bytes]) -> list[str]:
