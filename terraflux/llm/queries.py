@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import alignment, decontaminate, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
+from terraflux.llm import alignment, decontaminate, hard_negatives, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_token_alignment": op12_token_alignment,
 }
 
@@ -96,6 +102,18 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 10""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, k ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id WHERE k <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "op8_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
