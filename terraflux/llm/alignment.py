@@ -230,7 +230,8 @@ def _align(known: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 own = Aligned(texts[part], a, b)
                 i, j, begins = own.links()
                 code, steps = own.a[i] * len(b.pieces) + own.b[j], begins.tolist()
-                links = [np.diff(np.sort(code[p:q]), prepend=0).tobytes() for p, q in zip(steps, steps[1:], strict=False)]
+                kind = "<u4" if len(a.pieces) * len(b.pieces) < 2**32 else "<u8"
+                links = [np.diff(np.sort(code[p:q]), prepend=0).astype(kind).tobytes() for p, q in zip(steps, steps[1:], strict=False)]
                 counts = [own.n_a, own.n_b, np.diff(own.from_group), np.diff(begins)]
                 columns = [ids.slice(part.start, own.n), *[pa.array(c, pa.int32()) for c in counts], pa.array(own.written(texts_of_tokens)), pa.array(links, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
@@ -240,10 +241,10 @@ def _align(known: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Pair codes of the links of a batch, and the row of each."""
-    column = batch.column("links").to_pylist()
-    own = [np.cumsum(np.frombuffer(x, np.int64)) for x in column]
-    size = np.fromiter(map(len, own), np.int64, len(own))
-    return np.concatenate([*own, np.zeros(0, np.int64)]), np.repeat(np.arange(len(own)), size)
+    size = batch.column("n_links").to_numpy()
+    kinds = {4: "<u4", 8: "<u8"}
+    own = [np.cumsum(np.frombuffer(x, kinds[len(x) // n]), dtype=np.int64) for x, n in zip(batch.column("links").to_pylist(), size.tolist(), strict=True) if n]
+    return np.concatenate([*own, np.zeros(0, np.int64)]), np.repeat(np.arange(len(size)), size)
 
 
 def _count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +282,7 @@ def align(docs: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES, frequ
     width = len(tokenizer(Pieces, _read(b_path)).pieces)
     aligned = _texts(docs).mapInArrow(_align(known), _ALIGNED).withColumn("row", F.monotonically_increasing_id())
     aligned = materialise(aligned, "token-pairs", compression="zstd")
-    counts = aligned.select("links").mapInArrow(_count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = aligned.select("n_links", "links").mapInArrow(_count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     counts = materialise(counts.withColumn("b", (F.col("code") % width).cast("int")), "pair-counts")
     most = F.broadcast(counts.groupBy("b").agg(F.max("n").alias("most")))  # a row for each id of B
     counts = counts.join(most, "b").select("code", "n", (F.col("n") == F.col("most")).alias("best"))
