@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm import alignment, decontaminate, hard_negatives, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
+from terraflux.llm import alignment, decontaminate, hard_negatives, jaccard_join, langid, licenses, lm, mixing, quality, simhash, substring_dedup, token_counts, vafile
 from terraflux.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_sets(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_token_alignment": op12_token_alignment,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 def _shingles(table: str, key: str) -> str:
