@@ -63,30 +63,53 @@ def overlaps(index: Column, n: int, m: int) -> Column:
     return F.transform(F.sequence(first, last), lambda k: F.struct(k.cast("int").alias("k"), weight(k).cast("double").alias("w")))
 
 
-def _spread(source: DataFrame, n: int, m: int, bands: list[str]) -> DataFrame:
-    """Rows of (tile_id, crow, ccol, w) that fine pixels contribute to.
+def _met(source: DataFrame, n: int, m: int) -> DataFrame:
+    """``source`` with the first and last coarse row and column of each pixel (r0, r1, c0, c1)."""
+    q = lambda c: F.col(c).cast("long")
+    first, last = lambda c: F.floor(q(c) * m / n).cast("int"), lambda c: F.floor(((q(c) + 1) * m - 1) / n).cast("int")
+    return source.withColumns({"r0": first("row"), "r1": last("row"), "c0": first("col"), "c1": last("col")})
 
-    Most pixels meet one cell: their rows are plain projections. Those on a border of cells are made apart, one for each cell.
+
+def _shares(first: str, last: str, n: int, m: int) -> Column:
+    """Array of (k, w): the coarse indices that pixels between these meet, with the integer overlap of each.
+
+    Between two neighbouring indices lies one fine index only, so its overlaps follow from them.
     """
-    ends = lambda c: (F.floor(F.col(c).cast("long") * m / n), F.floor(((F.col(c).cast("long") + 1) * m - 1) / n))
-    (r0, r1), (c0, c1) = ends("row"), ends("col")
-    single = (r0 == r1) & (c0 == c1)
-    one = source.filter(single).select("tile_id", r0.cast("int").alias("crow"), c0.cast("int").alias("ccol"), F.lit(float(m * m)).alias("w"), *bands)
-    out = source.filter(~single).select("tile_id", "col", F.explode(overlaps(F.col("row"), n, m)).alias("r"), *bands)
-    out = out.select("tile_id", "r", F.explode(overlaps(F.col("col"), n, m)).alias("c"), *bands)
-    return one.unionAll(out.select("tile_id", F.col("r.k").alias("crow"), F.col("c.k").alias("ccol"), (F.col("r.w") * F.col("c.w")).alias("w"), *bands))
+    a, b = F.col(first).cast("long"), F.col(last).cast("long")
+    q = F.floor((a + 1) * n / m)
+    cell = lambda k, w: F.struct(k.cast("int").alias("k"), w.cast("double").alias("w"))
+    return F.when(a == b, F.array(cell(a, F.lit(m)))).otherwise(F.array(cell(a, (a + 1) * n - q * m), cell(b, (q + 1) * m - b * n)))
+
+
+def _spread(sums: DataFrame, n: int, m: int) -> DataFrame:
+    """Rows by (r0, r1, c0, c1) as rows of the coarse cells (crow, ccol) that they contribute to, with the weight w of a pixel."""
+    rest = [c for c in sums.columns if c not in ("r0", "r1", "c0", "c1")]
+    out = sums.select(*rest, "c0", "c1", F.explode(_shares("r0", "r1", n, m)).alias("r")).select(*rest, "r", F.explode(_shares("c0", "c1", n, m)).alias("c"))
+    return out.select(*rest, F.col("r.k").alias("crow"), F.col("c.k").alias("ccol"), (F.col("r.w") * F.col("c.w")).alias("w"))
+
+
+def _finer(n: int, m: int) -> None:
+    if n < m:
+        raise ValueError(f"{n} pixels are not finer than {m} cells")
 
 
 def average(source: DataFrame, n: int, m: int, bands: list[str]) -> DataFrame:
-    """Overlap-weighted mean of the known values in each coarse cell; map-side partial sums, tiny output."""
-    rows = _spread(source, n, m, bands)
-    sums = [x for b in bands for x in (F.sum(F.col(b) * F.col("w")).alias(f"{b}_s"), F.sum(F.when(F.col(b).isNotNull(), F.col("w"))).alias(f"{b}_w"))]
-    return rows.groupBy("tile_id", "crow", "ccol").agg(*sums).select("tile_id", "crow", "ccol", *[F.when(F.col(f"{b}_w") > 0, F.col(f"{b}_s") / F.col(f"{b}_w")).alias(b) for b in bands])
+    """Overlap-weighted mean of the known values in each coarse cell; one pass over the pixels with map-side partial sums, tiny output.
+
+    Pixels that meet the same cells weigh alike, so they are added up before the cells are told apart: no pixel is exploded.
+    """
+    _finer(n, m)
+    sums = _met(source, n, m).groupBy("tile_id", "r0", "r1", "c0", "c1").agg(*[x for b in bands for x in (F.sum(b).alias(f"{b}_s"), F.count(b).alias(f"{b}_n"))])
+    rows = _spread(sums, n, m).groupBy("tile_id", "crow", "ccol")
+    both = rows.agg(*[x for b in bands for x in (F.sum(F.col(f"{b}_s") * F.col("w")).alias(f"{b}_s"), F.sum(F.col(f"{b}_n") * F.col("w")).alias(f"{b}_w"))])
+    return both.select("tile_id", "crow", "ccol", *[F.when(F.col(f"{b}_w") > 0, F.col(f"{b}_s") / F.col(f"{b}_w")).alias(b) for b in bands])
 
 
 def mode(source: DataFrame, n: int, m: int, band: str) -> DataFrame:
-    """The value with most area in each coarse cell, ties to the smaller; NULL only where all is unknown."""
-    rows = _spread(source, n, m, [band]).groupBy("tile_id", "crow", "ccol", band).agg(F.sum("w").alias("w"))
+    """The value with most area in each coarse cell, ties to the smaller; NULL only where all is unknown. One pass over the pixels."""
+    _finer(n, m)
+    counts = _met(source, n, m).groupBy("tile_id", "r0", "r1", "c0", "c1", band).agg(F.count("*").alias("pixels"))
+    rows = _spread(counts, n, m).groupBy("tile_id", "crow", "ccol", band).agg(F.sum(F.col("w") * F.col("pixels")).alias("w"))
     known = F.when(F.col(band).isNotNull(), F.struct(F.col("w"), (-F.col(band)).alias("v")))
     return rows.groupBy("tile_id", "crow", "ccol").agg((-F.max(known)["v"]).alias(band))
 
