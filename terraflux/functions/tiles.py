@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from terraflux.factors import EQUATOR_M, MERIDIAN_M
 
 SPAN = 10
+#: Column of a stored pixel table: latitude of the tile's northern edge.
+LAT = "tile_lat"
 # What names look like for each partitioning.
 PATTERNS = {
     "ONE_DEGREE": r"^[0-9]{2}[NS]_[0-9]{3}[EW]$",
@@ -37,9 +39,14 @@ def is_valid(tile: Column, partitioning: str) -> Column:
     return tile.rlike(PATTERNS[partitioning])
 
 
+def row_lat(top: Column, row: Column, n: int) -> Column:
+    """Latitude of the centres of a tile's pixel row, from the tile's northern edge."""
+    return top - (row + 0.5) * (SPAN / n)
+
+
 def pixel_lat(tile: Column, row: Column, n: int) -> Column:
     """Latitude of a pixel's centre, ``n`` pixels a tile side."""
-    return lat_of(tile) - (row + 0.5) * (SPAN / n)
+    return row_lat(lat_of(tile), row, n)
 
 
 def pixel_lon(tile: Column, col: Column, n: int) -> Column:

@@ -30,7 +30,8 @@ def emit(pixels: DataFrame, n: int) -> DataFrame:
     """Emission columns beside ``pixels`` (tile_id, row, col, lc_<year>, agb, bgb, soc, zone, peat), ``n`` pixels a tile side.
 
     Steps are projections on top of each other, so that classes and carbon stocks, which several
-    years and spans share, are computed once.
+    years and spans share, are computed once. A stored pixel table has the latitude of its tile as a number; where that is
+    absent it is read out of the tile's name.
     """
     c = F.col
     stocks = [e.forest_carbon(c("agb"), c("bgb"), c("zone")).alias("forest_stock"), e.grassland_carbon(c("zone")).alias("grass_stock"), e.mineral_soil_emissions(c("zone"), c("soc")).alias("mineral")]
@@ -41,7 +42,8 @@ def emit(pixels: DataFrame, n: int) -> DataFrame:
     out = out.select("*", *vegetation, *soil).drop("forest_stock", "grass_stock", "mineral", *[f"carbon_{y}" for y in YEARS])
     span = {(a, b): c(f"vegetation_{a}_{b}") + c(f"soil_{a}_{b}") for a, b in SPANS}
     occupation = e.peat_occupation(c("peat"), c(f"class_{YEARS[-1]}"))
-    area = tiles.hectares(tiles.pixel_lat(c("tile_id"), c("row"), n), tiles.SPAN / n)
+    top = c(tiles.LAT) if tiles.LAT in pixels.columns else tiles.lat_of(c("tile_id"))
+    area = tiles.hectares(tiles.row_lat(top, c("row"), n), tiles.SPAN / n)
     out = out.select("*", *[x.alias(f"emissions_{a}_{b}") for (a, b), x in span.items()], occupation.alias("occupation"), area.alias("ha"))
     return out.withColumn("per_ha", e.discounted({(a, b): c(f"emissions_{a}_{b}") for a, b in SPANS}) + c("occupation"))
 

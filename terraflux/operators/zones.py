@@ -1,4 +1,4 @@
-"""Point in polygon by scanlines: an equi-join on pixel rows with a range on columns, never pixels times polygons."""
+"""Point in polygon by scanlines: an equi-join on pixel rows with a range on columns or on blocks of pixels, never pixels times polygons."""
 
 from __future__ import annotations
 
@@ -58,12 +58,65 @@ def spans(edges: DataFrame, n: int) -> DataFrame:
     )
 
 
+def united(spans_: DataFrame) -> DataFrame:
+    """(zone_id, tile_id, row, col_first, col_last): runs of all parts of a zone, overlapping and touching ones as one."""
+    line = Window.partitionBy("zone_id", "tile_id", "row").orderBy("col_first", "col_last")
+    before = F.max("col_last").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    own = spans_.select("zone_id", "tile_id", "row", "col_first", "col_last", before.alias("before"))
+    own = own.withColumn("island", F.count_if(F.col("before").isNull() | (F.col("col_first") > F.col("before") + 1)).over(line))
+    return own.groupBy("zone_id", "tile_id", "row", "island").agg(F.min("col_first").alias("col_first"), F.max("col_last").alias("col_last")).drop("island")
+
+
 def pixels_in_zones(pixels: DataFrame, spans_: DataFrame) -> DataFrame:
-    """Pixels beside each zone_id that their centre is in, once per zone however many parts overlap there."""
-    runs = spans_.select("zone_id", "tile_id", "row", "col_first", "col_last")
+    """Pixels beside each zone_id that their centre is in, once per zone however many parts overlap there: parts are united as runs, before pixels are met."""
     inside = (F.col("col") >= F.col("col_first")) & (F.col("col") <= F.col("col_last"))
-    met = pixels.join(runs, ["tile_id", "row"]).filter(inside).drop("col_first", "col_last")
-    return met.dropDuplicates(["zone_id", "tile_id", "row", "col"])
+    return pixels.join(united(spans_), ["tile_id", "row"]).filter(inside).drop("col_first", "col_last")
+
+
+def block_of(row: Column, col: Column, block: int) -> Column:
+    """Number of a pixel's block in its tile, ``block`` pixels a side."""
+    return F.floor(row / block) * 100_000 + F.floor(col / block)
+
+
+def cover(edges: DataFrame, n: int, block: int) -> DataFrame:
+    """(zone_id, tile_id, block_id, whole, runs): the blocks of ``block`` pixels a side that hold centres of a zone, ``n`` pixels a tile side.
+
+    ``whole`` blocks are inside with all their pixels and have no runs; the others have an array with, for each row of the block, its
+    runs (first, last) of columns. A row per block: pixels meet it on (tile_id, block_id), and only those of a zone's border look at runs.
+    """
+    runs = united(spans(edges, n))
+    runs = runs.withColumn("b", F.explode(F.sequence(F.floor(F.col("col_first") / block), F.floor(F.col("col_last") / block))))
+    first, last = F.greatest("col_first", F.col("b") * block).cast("int"), F.least("col_last", F.col("b") * block + block - 1).cast("int")
+    runs = runs.select("zone_id", "tile_id", F.floor(F.col("row") / block).alias("a"), "b", (F.col("row") % block).alias("line"), first.alias("first"), last.alias("last"))
+    side = lambda c: F.least(F.lit(block), n - F.col(c) * block)
+    lines = runs.groupBy("zone_id", "tile_id", "a", "b", "line").agg(F.collect_list(F.struct("first", "last")).alias("own"), F.sum(F.col("last") - F.col("first") + 1).alias("inside"))
+    blocks = lines.groupBy("zone_id", "tile_id", "a", "b").agg(F.sum("inside").alias("inside"), F.map_from_entries(F.collect_list(F.struct("line", "own"))).alias("by_line"))
+    whole = F.col("inside") == side("a") * side("b")
+    rows = F.transform(F.sequence(F.lit(0), F.lit(block - 1)), lambda i: F.try_element_at("by_line", i))
+    return blocks.select("zone_id", "tile_id", (F.col("a") * 100_000 + F.col("b")).alias("block_id"), whole.alias("whole"), F.when(~whole, rows).alias("runs"), F.col("inside").cast("long").alias("inside"))
+
+
+#: Largest cover, in bytes, that is sent to all tasks.
+COVER_BYTES = 64 << 20
+
+
+def pixels_in_cover(pixels: DataFrame, cover_: DataFrame, block: int, most: int = COVER_BYTES) -> DataFrame:
+    """Pixels (tile_id, row, col, block_id, ...) beside each zone_id of a cover that their centre is in.
+
+    One equi-join on tile and block; nothing after it moves pixels. ``pixels`` is best a table partitioned by tile_id: then only the tiles of
+    the cover are read. The cover, best a stored table, is measured first. Up to ``most`` bytes it is sent to the pixels, which
+    stay where they are, and prunes their partitions as they are read (dynamic partition pruning). A larger one is joined by a
+    shuffle, and its tiles, 648 at most, are a filter of the scan.
+    """
+    own = cover_.select("zone_id", "tile_id", "block_id", "whole", "runs")
+    size = F.lit(64) + F.coalesce(F.aggregate("runs", F.lit(0), lambda total, line: total + 8 + 16 * F.coalesce(F.size(line), F.lit(0))), F.lit(0))
+    if own.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most:
+        own = F.broadcast(own)
+    else:
+        pixels = pixels.filter(F.col("tile_id").isin([r["tile_id"] for r in own.select("tile_id").distinct().collect()]))
+    at = F.get("runs", F.col("row") % block)
+    inside = F.col("whole") | F.exists(F.coalesce(at, F.array().cast("array<struct<first:int,last:int>>")), lambda r: F.col("col").between(r["first"], r["last"]))
+    return pixels.join(own, ["tile_id", "block_id"]).filter(inside).drop("whole", "runs")
 
 
 def tiles_touching(edges: DataFrame) -> DataFrame:

@@ -92,10 +92,10 @@ TABLES = {
 
 
 def scan(spark: SparkSession, root: str, name: str, tile_ids: list[str] | None = None) -> DataFrame:
-    """Bands of a source with no data as NULL; tiles prune partitions of the table."""
+    """Bands of a source with no data as NULL; tiles prune partitions of the table. No list means all tiles, an empty one none."""
     source = SOURCES[name]
     df = spark.read.parquet(source.path(root))
-    if tile_ids:
+    if tile_ids is not None:
         df = df.filter(F.col("tile_id").isin(tile_ids))
     return df.select("tile_id", "row", "col", *[clean(F.col(b).cast("double"), source.no_data).cast(df.schema[b].dataType).alias(b) for b in source.bands])
 

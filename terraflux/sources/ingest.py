@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terraflux import factors as k
 from terraflux.functions import tiles
+from terraflux.operators.zones import block_of
 from terraflux.sources.catalog import Source
 
 
@@ -118,7 +119,10 @@ def write_table(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def write_pixels(df: DataFrame, path: str, block: int = 1000) -> None:
-    """A gridded stage: partitioned by tile, clustered by block, so that scans prune tiles and skip row groups. Only the tiles in ``df`` are replaced."""
-    blocks = df.withColumn("block_id", F.floor(F.col("row") / block) * 100_000 + F.floor(F.col("col") / block))
+    """A gridded stage: partitioned by tile, clustered by block, so that scans prune tiles and skip row groups. Only the tiles in ``df`` are replaced.
+
+    Beside the blocks it stores the tile's latitude as a number, which a file holds once; tiles that have none are without.
+    """
+    blocks = df.withColumn("block_id", block_of(F.col("row"), F.col("col"), block)).withColumn(tiles.LAT, tiles.lat_of(F.col("tile_id")))
     placed = blocks.repartition("tile_id", "block_id").sortWithinPartitions("tile_id", "block_id", "row", "col")
     placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_id").parquet(path)
