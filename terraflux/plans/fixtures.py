@@ -89,6 +89,29 @@ def edges() -> list[tuple]:
 EDGES_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{z}', {p}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), CAST({d} AS DOUBLE))" for z, p, a, b, c, d in edges()) + ") AS t(zone_id, part, x1, y1, x2, y2)"
 
 
+# Pixels spread over four tiles of 400 a side, and the nations as zones in them: overlapping quadrilaterals in a grid of 4 degrees, some
+# with a second part that overlaps the first, some with a hole. Offsets in degrees from (100 W, 50 N); no corner on a pixel centre.
+WIDE_N, WIDE_BLOCK = 400, 50
+WIDE_TILES = ["50N_100W", "50N_090W", "40N_100W", "40N_090W"]
+WIDE = [
+    f"CASE CAST(floor(o / 100.0) AS INT) % 4 {' '.join(f'WHEN {i} THEN {t!r}' for i, t in enumerate(WIDE_TILES))} END AS tile_id",
+    "CAST(CAST(floor(o / 400.0) AS INT) * 7 % 400 AS INT) AS row", "CAST(o % 100 * 4 AS INT) AS col",
+]
+_OUTER = [(0.013, 0.011), (5.113, 0.711), (3.317, 4.907), (0.417, 3.103)]
+_RINGS = [(0, "true", _OUTER), (1, "n_nationkey % 3 = 0", [(x + 1.7, y + 1.1) for x, y in _OUTER]), (0, "n_nationkey % 4 = 1", [(1.203, 1.207), (1.203, 2.411), (2.409, 2.413), (2.401, 1.209)])]
+_SIDES = [(part, when, *a, *b) for part, when, ring in _RINGS for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]
+_WEST, _NORTH = "(-100 + n_nationkey % 5 * 4)", "(50 - CAST(floor(n_nationkey / 5.0) AS INT) * 4)"
+
+
+def _nation_edge(part: int, *xy: float) -> dict[str, str]:
+    places = zip(("x1", "y1", "x2", "y2"), (f"{_WEST} +", f"{_NORTH} -") * 2, xy, strict=True)
+    return {"part": str(part)} | {name: f"CAST({corner} {v!r} AS DOUBLE)" for name, corner, v in places}
+
+
+NATION_EDGES_SQL = " UNION ALL ".join(f"SELECT admin_id AS zone_id, {', '.join(f'{x} AS {name}' for name, x in _nation_edge(part, *xy).items())} FROM ({PROVINCES_SQL}) v WHERE {when}" for part, when, *xy in _SIDES)
+WIDE_SQL = f"SELECT p.* EXCLUDE (tile_id, row, col), {', '.join(WIDE)} FROM ({PIXELS_SQL}) p"
+
+
 _schemas: dict[str, StructType] = {}
 
 
@@ -132,3 +155,17 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(edges(), "zone_id string, part int, x1 double, y1 double, x2 double, y2 double")
+
+
+def wide_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pixels, spread over four tiles."""
+    px = pixels(spark, sf_dir)
+    return px.selectExpr(*WIDE, *[c for c in px.columns if c not in ("tile_id", "row", "col")])
+
+
+def nation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(zone_id, part, x1, y1, x2, y2): the provinces as polygons."""
+    side = lambda fields: f"named_struct({', '.join(f'{name!r}, {x}' for name, x in fields.items())})"
+    sides = "array(" + ", ".join(f"CASE WHEN {when} THEN {side(_nation_edge(part, *xy))} END" for part, when, *xy in _SIDES) + ")"
+    own = provinces(spark, sf_dir).select(F.col("admin_id").alias("zone_id"), F.explode(F.expr(sides)).alias("e")).filter("e IS NOT NULL")
+    return own.select("zone_id", "e.*")

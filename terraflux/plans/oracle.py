@@ -51,13 +51,13 @@ GRASS = f"coalesce({by_zone(k.GRASSLAND_CARBON)}, 0.0)"
 SOIL = f"coalesce({by_zone([(1 - f) * k.CO2_PER_C for f in k.SOIL_FACTOR])}, 0.0) * soc"
 
 
-def emitted(source: str) -> str:
+def emitted(source: str, ha: str = HA) -> str:
     """Nested selects: classes, carbon, spans, totals, split."""
     carbon = [f"CASE class_{y} WHEN 3 THEN {ABOVE} + {BELOW} + {DEAD} WHEN 4 THEN {GRASS} ELSE 0.0 END AS carbon_{y}" for y in YEARS]
     spans = [f"CASE WHEN carbon_{a} - carbon_{b} > 0 THEN carbon_{a} - carbon_{b} WHEN carbon_{a} - carbon_{b} IS NOT NULL THEN 0.0 END * CAST({k.CO2_PER_C!r} AS DOUBLE) AS vegetation_{a}_{b}" for a, b in SPANS]
     lost = lambda a, b: f"class_{a} IN (3, 4) AND class_{b} NOT IN (3, 4)"
     spans += [f"CASE WHEN {lost(a, b)} AND peat = 1 THEN 621.0 WHEN {lost(a, b)} AND peat = 0 THEN {SOIL} ELSE 0.0 END AS soil_{a}_{b}" for a, b in SPANS]
-    spans += ["CASE WHEN class_2020 IN (3, 4, 5, 6, 7) THEN 0.0 ELSE 37.3 * peat END AS occupation", f"{HA} AS ha"]
+    spans += ["CASE WHEN class_2020 IN (3, 4, 5, 6, 7) THEN 0.0 ELSE 37.3 * peat END AS occupation", f"{ha} AS ha"]
     totals = [f"vegetation_{a}_{b} + soil_{a}_{b} AS emissions_{a}_{b}" for a, b in SPANS]
     totals += [f"CASE WHEN class_{a} = 3 THEN vegetation_{a}_{b} ELSE 0 END + CASE WHEN class_{a} = 3 AND peat IS DISTINCT FROM 1 THEN soil_{a}_{b} ELSE 0 END AS forest_{a}_{b}" for a, b in SPANS]
     totals += [f"CASE WHEN peat = 1 THEN soil_{a}_{b} ELSE 0 END AS peat_conversion_{a}_{b}" for a, b in SPANS]
@@ -83,13 +83,37 @@ def spread(source: str, n: int, m: int) -> str:
     return f"SELECT s.*, kr.v AS crow, kc.v AS ccol, CAST({w('s.row', 'kr.v')} * {w('s.col', 'kc.v')} AS DOUBLE) AS w FROM ({source}) s JOIN {grid} kr ON {w('s.row', 'kr.v')} > 0 JOIN {grid} kc ON {w('s.col', 'kc.v')} > 0"
 
 
-def averaged(source: str, names: list[str]) -> str:
+def averaged(source: str, names: list[str], n: int = N) -> str:
     mean = lambda x: f"sum({x} * w) / sum(CASE WHEN {x} IS NOT NULL THEN w END) AS {x}"
-    return f"SELECT tile_id, CAST(crow AS INTEGER) AS crow, CAST(ccol AS INTEGER) AS ccol, {', '.join(map(mean, names))} FROM ({spread(source, N, M)}) GROUP BY tile_id, crow, ccol"
+    return f"SELECT tile_id, CAST(crow AS INTEGER) AS crow, CAST(ccol AS INTEGER) AS ccol, {', '.join(map(mean, names))} FROM ({spread(source, n, M)}) GROUP BY tile_id, crow, ccol"
 
 
-LAYER_SOURCE = f"SELECT tile_id, row, col, CAST(peat AS DOUBLE) AS peat_fraction, {', '.join(f'CASE WHEN class_2020 = 2 THEN {x} ELSE 0 END AS {x}' for x in LAYERS)} FROM ({emitted(PX)})"
-COARSE = averaged(LAYER_SOURCE, ["peat_fraction", *LAYERS])
+# pixels of four tiles of 400 a side, and the nations as polygons in them
+WIDE = f"({fx.WIDE_SQL}) px"
+_WIDE_LAT, _WIDE_LON = f"({_LAT} - (row + 0.5) * CAST(0.025 AS DOUBLE))", f"({_LON} + (col + 0.5) * CAST(0.025 AS DOUBLE))"
+WIDE_EMITTED = emitted(WIDE, area(_WIDE_LAT, 0.025))
+
+
+def within(points: str, lon: str, lat: str) -> str:
+    """Zone of each point (tile_id, row, col) that is in a nation, by counting the edges to its east, part by part."""
+    return f"""SELECT DISTINCT zone_id, tile_id, row, col FROM (
+  SELECT zone_id, part, tile_id, row, col, count(*) AS n FROM (SELECT tile_id, row, col, {lon} AS px, {lat} AS py FROM {points}) p JOIN ({fx.NATION_EDGES_SQL}) e
+    ON py >= least(y1, y2) AND py < greatest(y1, y2) AND x1 + (py - y1) / (y2 - y1) * (x2 - x1) > px GROUP BY ALL) WHERE n % 2 = 1"""
+
+
+# all pixels of the region, 1600 a side, that some zone may hold: eight tiles from 100 W, 50 N
+_ALL_TILES = "SELECT concat(CAST(lat AS VARCHAR), 'N_', lpad(CAST(-lon AS VARCHAR), 3, '0'), 'W') AS tile_id FROM (SELECT unnest([20, 30, 40, 50]) AS lat) CROSS JOIN (SELECT unnest([-100, -90, -80, -70]) AS lon)"
+ALL_WIDE = f"(SELECT tile_id, r.v AS row, k.v AS col FROM ({_ALL_TILES}) CROSS JOIN (SELECT unnest(range(400)) AS v) r CROSS JOIN (SELECT unnest(range(400)) AS v) k) px"
+ZONE_COVER = f"""SELECT zone_id, tile_id, count(*) FILTER (n = 2500) AS whole_blocks, CAST(sum(n) AS BIGINT) AS pixels
+FROM (SELECT zone_id, tile_id, row // 50 AS a, col // 50 AS b, count(*) AS n FROM ({within(ALL_WIDE, _WIDE_LON, _WIDE_LAT)}) GROUP BY ALL) GROUP BY ALL"""
+
+
+
+def layer_source(emitted_: str) -> str:
+    return f"SELECT tile_id, row, col, CAST(peat AS DOUBLE) AS peat_fraction, {', '.join(f'CASE WHEN class_2020 = 2 THEN {x} ELSE 0 END AS {x}' for x in LAYERS)} FROM ({emitted_})"
+
+
+COARSE = averaged(layer_source(emitted(PX)), ["peat_fraction", *LAYERS])
 
 _GROUP = k.group_of()
 CROPS = "(VALUES " + ", ".join(f"('{name}', '{code}', '{_GROUP.get(code, (code, 0))[0]}', '{k.RENAMED_2020.get(code, code)}', {repr(_GROUP[code][0]) if code in _GROUP else 'NULL'}, {_GROUP[code][1] if code in _GROUP else 'NULL'})" for name, code in k.STATISTICAL_CROPS.items()) + ") AS k(crop, c05, c00, c20, grp, siblings)"
@@ -125,10 +149,14 @@ wp AS (SELECT cell, crop, sum(production_mt * CASE year WHEN 2000 THEN 0.03125 W
 
 _share = lambda a, b: f"max(CASE WHEN before = {a} AND after = {b} THEN share END) AS share_{a}_{b}"
 _weigh = lambda p: " + ".join(f"{w} * {p}_{a}_{b} * ha * share_{k.STATISTICS_SPAN[a, b][0]}_{k.STATISTICS_SPAN[a, b][1]}" for (a, b), w in k.SPAN_WEIGHTS.items())
-ROLLED = f"""{STATS},
-layers AS (SELECT CASE WHEN tile_id = '50N_100W' THEN 0 ELSE 90 END + crow * 3 + ccol + 1 AS cell, {area(f'({_LAT} - (crow + 0.5) * CAST({10 / M!r} AS DOUBLE))', 10 / M)} AS ha, * FROM ({COARSE})),
+
+
+def rolled(cell: str, coarse: str, homes: str) -> str:
+    """The statistical roll-up of coarse layers, numbered by ``cell``, to the zones of ``homes`` (cell, admin_id)."""
+    return f"""{STATS},
+layers AS (SELECT {cell} AS cell, {area(f'({_LAT} - (crow + 0.5) * CAST({10 / M!r} AS DOUBLE))', 10 / M)} AS ha, * FROM ({coarse})),
 wide AS (SELECT cell, crop, {', '.join(_share(a, b) for a, b in SHARE_SPANS)} FROM sh GROUP BY cell, crop),
-homes AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, admin_id FROM supplier JOIN ({fx.PROVINCES_SQL}) ON s_nationkey = n_nationkey),
+homes AS ({homes}),
 rolled AS (
   SELECT admin_id, w.crop AS crop_name, coalesce(sum(l.area_ha), 0) AS crop_hectares, coalesce(sum({_weigh('forest')}), 0) AS forest_emissions_mt,
     coalesce(sum({_weigh('peat_conversion')}), 0) AS peatland_conversion_emissions_mt, coalesce(sum(l.area_ha * peat_fraction), 0) AS peatland_crop_hectares,
@@ -137,6 +165,12 @@ rolled AS (
   FROM wide w JOIN {CROPS} ON k.crop = w.crop LEFT JOIN st l ON l.cell = w.cell AND l.year = 2020 AND l.crop = k.c20
   JOIN wp ON wp.cell = w.cell AND wp.crop = w.crop JOIN layers ON layers.cell = w.cell JOIN homes ON homes.cell = w.cell GROUP BY admin_id, w.crop)"""
 
+
+ROLLED = rolled("CASE WHEN tile_id = '50N_100W' THEN 0 ELSE 90 END + crow * 3 + ccol + 1", COARSE, f"SELECT CAST(s_suppkey AS INTEGER) AS cell, admin_id FROM supplier JOIN ({fx.PROVINCES_SQL}) ON s_nationkey = n_nationkey")
+
+_CELL = f"CASE tile_id {' '.join(f'WHEN {t!r} THEN {i * 900}' for i, t in enumerate(['50N_100W', '50N_090W', '40N_100W', '40N_090W']))} END + row * 30 + col + 1"
+_CENTRES = within("(SELECT DISTINCT tile_id, crow AS row, ccol AS col FROM wide_layers) px", f"({_LON} + (col + 0.5) * CAST({10 / M!r} AS DOUBLE))", f"({_LAT} - (row + 0.5) * CAST({10 / M!r} AS DOUBLE))")
+ROLLED_BY_POLYGON = f"wide_layers AS ({averaged(layer_source(WIDE_EMITTED), ['peat_fraction', *LAYERS], 400)}), " + rolled(_CELL.replace("row", "crow").replace("col + 1", "ccol + 1"), "SELECT * FROM wide_layers", f"SELECT {_CELL} AS cell, zone_id AS admin_id FROM ({_CENTRES})")
 DIRECT_CODES = "(VALUES " + ", ".join(f"({code}, '{name}')" for name, codes in k.DIRECT_CROPS.items() for code in codes) + ") AS dc(crop_code, crop_name)"
 _DIRECT_SUMS = {
     "crop_hectares": "ha", "peatland_crop_hectares": "CASE WHEN peat = 1 THEN ha END", "peatland_occupation_emissions_mt": "occupation * ha",
@@ -147,6 +181,13 @@ hit AS (SELECT e.*, crop_name FROM ({emitted(ZONED)}) e JOIN {DIRECT_CODES} ON e
 direct AS (
   SELECT z.admin_id, n.crop_name, {', '.join(f'coalesce(sum({x}), 0) AS {m}' for m, x in _DIRECT_SUMS.items())}
   FROM prov z CROSS JOIN (SELECT DISTINCT crop_name FROM {DIRECT_CODES}) n LEFT JOIN hit ON hit.admin_id = z.admin_id AND hit.crop_name = n.crop_name GROUP BY z.admin_id, n.crop_name)"""
+_DIRECT_AGG = ", ".join(f"coalesce(sum({x}), 0) AS {m}" for m, x in _DIRECT_SUMS.items())
+BY_POLYGON = f"""prov AS ({fx.PROVINCES_SQL}),
+home AS ({within(WIDE, _WIDE_LON, _WIDE_LAT)}),
+hit AS (SELECT e.*, home.zone_id AS admin_id, crop_name FROM ({WIDE_EMITTED}) e JOIN home USING (tile_id, row, col) JOIN {DIRECT_CODES} ON e.crop_code = dc.crop_code WHERE class_2020 = 2),
+direct AS (
+  SELECT z.admin_id, n.crop_name, {_DIRECT_AGG}
+  FROM prov z CROSS JOIN (SELECT DISTINCT crop_name FROM {DIRECT_CODES}) n LEFT JOIN hit ON hit.admin_id = z.admin_id AND hit.crop_name = n.crop_name GROUP BY z.admin_id, n.crop_name)"""
 _POUNDS = "CASE commodity_desc " + " ".join(f"WHEN '{x}' THEN {v}" for x, v in k.LB_PER_BUSHEL.items()) + " END"
 YIELDS = f"""states AS (SELECT n_nationkey + 1 AS fips, admin_id FROM ({fx.PROVINCES_SQL}) WHERE n_nationkey <> 24),
 yields AS (
@@ -303,6 +344,9 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "band_type_rule": f"SELECT name, CASE WHEN contains(name, '-per-ha') THEN 'INTENSIVE' WHEN suffix(name, ':ha') OR suffix(name, ':tco2e') THEN 'EXTENSIVE' ELSE 'CATEGORICAL' END AS band_type, count(*) AS n FROM (SELECT {', '.join(q.NAMES)} FROM lineitem) GROUP BY ALL",
     "pixel_merge": f"SELECT tile_id, row, col, agb, bgb, soc, peat FROM {PX}",
     "zone_spans": INSIDE,
+    "zone_cover": ZONE_COVER,
+    "direct_by_polygon": f"WITH {BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)} FROM direct WHERE admin_id LIKE 'RG1%'",
+    "statistical_by_polygon": f"WITH {ROLLED_BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 2, bias=1e-4) for x in [*_SUMS[:-1], 'production_mt'])} FROM rolled",
     "tiles_for_zone": TOUCHING,
     "world_layer": f"SELECT tile_id, px.row, px.col, z FROM {PX} LEFT JOIN (SELECT row, col, max(z) AS z FROM (SELECT {', '.join(q.WORLD)} FROM orders) GROUP BY ALL) w ON w.row = CAST(floor((90 - {PIXEL_LAT.replace('row', 'px.row')}) * 1800 / 180) AS INTEGER) AND w.col = CAST(floor(({PIXEL_LON.replace('col', 'px.col')} + 180) * 3600 / 360) AS INTEGER)",
     "world_layer_mode": f"SELECT tile_id, CAST(crow AS INTEGER) AS row, CAST(ccol AS INTEGER) AS col, z FROM (SELECT *, row_number() OVER (PARTITION BY tile_id, crow, ccol ORDER BY w DESC, z) AS n FROM (SELECT tile_id, crow, ccol, z, sum(w) AS w FROM ({spread(IN_TILES, 100, M)}) GROUP BY ALL)) WHERE n = 1",

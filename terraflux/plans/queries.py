@@ -514,6 +514,54 @@ def direct_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_direct(spark, sf), 3, *direct.MEASURES)
 
 
+def _stored_wide(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """The wide pixels as a stored table, partitioned by tile and clustered by block."""
+    ingest.write_pixels(fx.wide_pixels(spark, sf).drop("o", "c"), f"{root}/pixels", fx.WIDE_BLOCK)
+    return spark.read.parquet(f"{root}/pixels")
+
+
+def _stored_cover(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    zones.cover(fx.nation_edges(spark, sf), fx.WIDE_N, fx.WIDE_BLOCK).write.mode("overwrite").parquet(f"{root}/cover")
+    return spark.read.parquet(f"{root}/cover")
+
+
+def emitted_in_zones(stored: DataFrame, cover: DataFrame) -> DataFrame:
+    """Emitted pixels of a stored table beside the admin_id of each zone of a cover, read from the cover's tiles only."""
+    met = zones.pixels_in_cover(stored, cover, fx.WIDE_BLOCK).withColumnRenamed("zone_id", "admin_id")
+    return emit.with_source_totals(emit.emit(met, fx.WIDE_N))
+
+
+@query
+def zone_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixel centres of each zone by tile: of blocks wholly inside and of all."""
+    own = zones.cover(fx.nation_edges(spark, sf), fx.WIDE_N, fx.WIDE_BLOCK)
+    return own.groupBy("zone_id", "tile_id").agg(F.count_if("whole").alias("whole_blocks"), F.sum("inside").alias("pixels"))
+
+
+@query
+def direct_by_polygon(spark: SparkSession, sf: str) -> DataFrame:
+    """The direct roll-up of one country by the polygons of its provinces; only their tiles are read."""
+    root = _scratch(spark, "by-polygon")
+    stored, cover = _stored_wide(spark, sf, root), _stored_cover(spark, sf, root)
+    own = emitted_in_zones(stored, cover.filter(c("zone_id").startswith("RG1")))
+    return rounded(direct.direct_roll_up(own, fx.provinces(spark, sf).filter("iso = 'RG1'")), 3, *direct.MEASURES)
+
+
+def _wide_cells(layers: DataFrame) -> DataFrame:
+    """Coarse layers with their cells' numbers and areas."""
+    tile = F.element_at(F.create_map(*[F.lit(x) for i, t in enumerate(fx.WIDE_TILES) for x in (t, i)]), c("tile_id"))
+    area = tiles.hectares(tiles.pixel_lat(c("tile_id"), c("crow"), M), tiles.SPAN / M)
+    return layers.select("tile_id", c("crow").alias("row"), c("ccol").alias("col"), (tile * M * M + c("crow") * M + c("ccol") + 1).cast("int").alias("cell"), area.alias("ha"), "peat_fraction", *statistical.LAYERS)
+
+
+@query
+def statistical_by_polygon(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistical roll-up of all provinces by polygon: a cell belongs to the zones that its centre is in."""
+    layers = _wide_cells(statistical.coarse_layers(emit.emit(fx.wide_pixels(spark, sf), fx.WIDE_N), fx.WIDE_N, M))
+    homes = zones.pixels_in_zones(layers.select("tile_id", "row", "col", "cell"), zones.spans(fx.nation_edges(spark, sf), M))
+    return rounded(statistical.roll_up(layers, fx.statistics(spark, sf), homes.select("cell", c("zone_id").alias("admin_id"))), 2, *statistical.MEASURES, bias=1e-4)
+
+
 @query
 def mean_yield(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(trace.mean_yields(_yields(spark, sf)), 4, "yield_kg_per_ha")
