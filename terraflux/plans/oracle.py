@@ -215,6 +215,11 @@ def national(rows: str) -> str:
     return f"SELECT *, {_ratio('<>')} FROM (SELECT 'NATIONAL' AS admin_level, crop_name, national_name AS jurisdiction_name, methodology, iso AS admin_id, {sums} FROM {rows} p JOIN (SELECT DISTINCT iso, national_name FROM ({fx.PROVINCES_SQL})) ON iso = substr(p.admin_id, 1, 3) GROUP BY ALL)"
 
 
+def regional(rows: str) -> str:
+    sums = ", ".join(f"coalesce(sum({x}), 0) AS {x}" for x in _SUMS)
+    return f"SELECT *, {_ratio('<>')} FROM (SELECT 'REGIONAL' AS admin_level, crop_name, region AS jurisdiction_name, methodology, region AS admin_id, {sums} FROM {rows} p JOIN (SELECT iso, {q.REGION_OF} AS region FROM (SELECT DISTINCT iso FROM ({fx.PROVINCES_SQL}))) ON iso = substr(p.admin_id, 1, 3) WHERE region IS NOT NULL GROUP BY ALL)"
+
+
 FACTORS = "admin_level, crop_name, jurisdiction_name, methodology, admin_id, " + ", ".join([*(r(x, 1, bias=0.003) for x in _SUMS), *(r(x, 4) for x in ("yield_kg_per_ha", "emissions_factor_kgco2e_per_kg", "peatland_occupation_fraction"))])
 
 AREAS = f"(SELECT *, {HA} AS ha FROM {ZONED}) a"
@@ -345,6 +350,15 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "pixel_merge": f"SELECT tile_id, row, col, agb, bgb, soc, peat FROM {PX}",
     "zone_spans": INSIDE,
     "zone_cover": ZONE_COVER,
+    "incremental_rollup": f"WITH {BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)}, CAST(1 AS INTEGER) AS tiles_made FROM direct",
+    "manifest_after_rerun": f"""WITH n AS (SELECT tile_id, count(*) AS n FROM {WIDE} GROUP BY tile_id)
+SELECT 'crop-map' AS dataset, tile_id, CASE WHEN tile_id = '40N_090W' THEN 'failed' ELSE 'done' END AS status, CASE WHEN tile_id = '40N_090W' THEN 'outside of its tile' END AS reason, CASE WHEN tile_id <> '40N_090W' THEN n END AS n_rows, 1 AS run FROM n
+UNION ALL SELECT 'crop-map', tile_id, 'done', NULL, n, 2 FROM n WHERE tile_id = '40N_090W'
+UNION ALL SELECT 'crop-map', tile_id, 'failed', reason, NULL, run FROM (VALUES ('30N_100W', 'no pixels'), ('bad', 'invalid tile id')) t(tile_id, reason) CROSS JOIN (VALUES (1), (2)) k(run)""",
+    "stage_filled_by_tile": f"SELECT tile_id, count(*) AS n, {r('sum(occupation)', 3, 'occupation')}, CASE tile_id WHEN '40N_100W' THEN 2 ELSE 1 END AS made_by_call FROM ({WIDE_EMITTED}) WHERE tile_id <> '40N_090W' GROUP BY tile_id",
+    "layers_merged": f"SELECT tile_id, row, col, agb, bgb, soc, peat, crop_code FROM {PX}",
+    "factor_regions": f"WITH {DIRECT}, {YIELDS}, pv AS ({DIRECT_ROWS}) SELECT {FACTORS} FROM (SELECT * FROM pv UNION ALL {national('pv')} UNION ALL {regional('pv')})",
+    "observed_trace": f"WITH {DIRECT}, {YIELDS}, pv AS ({DIRECT_ROWS}) SELECT count(*) AS rows, count(*) FILTER (production_kg IS NULL) AS unmatched, CAST(0 AS BIGINT) AS not_provincial, count(*) + (SELECT count(*) FROM ({national('pv')})) AS written FROM pv",
     "direct_by_polygon": f"WITH {BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)} FROM direct WHERE admin_id LIKE 'RG1%'",
     "statistical_by_polygon": f"WITH {ROLLED_BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 2, bias=1e-4) for x in [*_SUMS[:-1], 'production_mt'])} FROM rolled",
     "tiles_for_zone": TOUCHING,

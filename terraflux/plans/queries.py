@@ -13,7 +13,7 @@ from terraflux import factors as k
 from terraflux.factors import SPANS, YEARS
 from terraflux.functions import emissions as e
 from terraflux.functions import nulls, tiles
-from terraflux.operators import agreement, direct, emit, grids, ramp, resample, statistical, trace, zones
+from terraflux.operators import agreement, direct, emit, grids, partials, ramp, resample, statistical, trace, zones
 from terraflux.plans import fixtures as fx
 from terraflux.plans.fixtures import M, N
 from terraflux.sources import catalog, export, ingest, stages
@@ -554,6 +554,57 @@ def _wide_cells(layers: DataFrame) -> DataFrame:
     return layers.select("tile_id", c("crow").alias("row"), c("ccol").alias("col"), (tile * M * M + c("crow") * M + c("ccol") + 1).cast("int").alias("cell"), area.alias("ha"), "peat_fraction", *statistical.LAYERS)
 
 
+@query
+def incremental_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The direct roll-up from partial sums by tile, after one tile has changed: ``tiles_made`` tiles are read for it."""
+    root = _scratch(spark, "partials")
+    stored, cover = _stored_wide(spark, sf, root), _stored_cover(spark, sf, root)
+    before = stored.withColumn("agb", F.when(c("tile_id") == "40N_100W", c("agb") * 2 + 1).otherwise(c("agb")))
+
+    def refreshed(pixels: DataFrame) -> tuple[DataFrame, list[str]]:
+        versions = pixels.groupBy("tile_id").agg(F.sum(F.xxhash64("row", "col", "agb") % (1 << 31)).alias("version"))
+        return partials.refresh(spark, f"{root}/sums", versions, lambda tiles: direct.measured(emitted_in_zones(pixels.filter(c("tile_id").isin(tiles)), cover), ["tile_id", "admin_id"]), direct.MEASURES)
+
+    refreshed(before)
+    sums, made = refreshed(stored)
+    own = partials.totals(sums, direct.zones_by_crops(fx.provinces(spark, sf)), direct.MEASURES)
+    return rounded(own, 3, *direct.MEASURES).withColumn("tiles_made", F.lit(len(made)))
+
+
+@query
+def manifest_after_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """What two runs did with each tile: the second one has the rows of a tile repaired; one tile has no rows, one id is none."""
+    root, source = _scratch(spark, "manifest"), catalog.SOURCES["crop-map"]
+    px = fx.wide_pixels(spark, sf).select("tile_id", "row", "col", "crop_code")
+    broken = px.withColumn("row", F.when((c("tile_id") == "40N_090W") & (c("col") == 0), c("row") + fx.WIDE_N).otherwise(c("row")))
+    wanted = spark.createDataFrame([(t,) for t in [*fx.WIDE_TILES, "30N_100W", "bad"]], "tile_id string")
+    for rows in (broken, px):
+        ingest.ingest_missing(spark, source, root, wanted, rows, fx.WIDE_N)
+    return ingest.read_manifest(spark, source, root)
+
+
+@query
+def stage_filled_by_tile(spark: SparkSession, sf: str) -> DataFrame:
+    """A gridded stage asked for two tiles, then for three: the second call makes the third tile only."""
+    root, calls = _scratch(spark, "gridded"), []
+
+    def make(tile_ids: list[str]) -> DataFrame:
+        calls.append(tile_ids)
+        return emit.emit(fx.wide_pixels(spark, sf).filter(c("tile_id").isin(tile_ids)), fx.WIDE_N).select("tile_id", "row", "col", "occupation")
+
+    for tile_ids in (fx.WIDE_TILES[:2], fx.WIDE_TILES[:3]):
+        stage = stages.gridded_stage(spark, root, "occupation", tile_ids, make, block=fx.WIDE_BLOCK)
+    made = F.create_map(*[F.lit(x) for k_, tile_ids in enumerate(calls, 1) for t in tile_ids for x in (t, k_)])
+    return rounded(stage.groupBy("tile_id").agg(F.count("*").alias("n"), F.sum("occupation").alias("occupation")), 3, "occupation").withColumn("made_by_call", F.element_at(made, c("tile_id")))
+
+
+@query
+def layers_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Five layers by pixel in one shuffle."""
+    px = fx.pixels(spark, sf)
+    return ingest.merge_layers([px.select("tile_id", "row", "col", band) for band in ("agb", "bgb", "soc", "peat", "crop_code")])
+
+
 @query
 def statistical_by_polygon(spark: SparkSession, sf: str) -> DataFrame:
     """The statistical roll-up of all provinces by polygon: a cell belongs to the zones that its centre is in."""
@@ -609,6 +660,24 @@ def factor_table(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_factors(trace.factor_table(_provincial_direct(spark, sf), _countries(spark, sf)))
 
 
+REGION_OF = "CASE iso WHEN 'RG0' THEN 'SOUTH' WHEN 'RG1' THEN 'SOUTH' WHEN 'RG2' THEN 'SOUTH' WHEN 'RG3' THEN 'NORTH' END"
+
+
+@query
+def factor_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Provincial, national and regional rows of one roll-up; one country is in no region."""
+    regions = F.broadcast(_countries(spark, sf).select("iso", F.expr(REGION_OF).alias("region")))
+    return _rounded_factors(trace.factor_table(_provincial_direct(spark, sf), _countries(spark, sf), regions))
+
+
+@query
+def observed_trace(spark: SparkSession, sf: str) -> DataFrame:
+    """What the pass that wrote the factor table has observed, and the rows that it wrote."""
+    path = _scratch(spark, "factors")
+    seen = trace.write_factors(_provincial_direct(spark, sf), _countries(spark, sf), path)
+    return spark.read.parquet(path).agg(F.count("*").alias("written")).select(*[F.lit(v).cast("long").alias(name) for name, v in seen.items()], "written")
+
+
 @query
 def factor_table_both(spark: SparkSession, sf: str) -> DataFrame:
     """Both methodologies in one table; their provincial rows share a schema."""

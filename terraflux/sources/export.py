@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the record format.
@@ -31,9 +31,16 @@ def payload(factors: DataFrame, blocklist: DataFrame) -> DataFrame:
     )
 
 
+def identifier() -> Column:
+    """A record's identifier in the form of a UUID, made of its path: reruns and retried tasks give the same."""
+    path = F.md5(F.concat_ws("\u001f", "crop", "country", "province"))
+    ends = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(path, a, n) for a, n in ends])
+
+
 def write_payload(records: DataFrame, path: str) -> None:
-    """CSV files under crop=/country=/province=, each record with an identifier of its own."""
-    records.withColumn("identifier", F.expr("uuid()")).write.mode("overwrite").partitionBy("crop", "country", "province").option("header", True).csv(path)
+    """CSV files under crop=/country=/province=, each record with an identifier of its own, the same on each run."""
+    records.withColumn("identifier", identifier()).write.mode("overwrite").partitionBy("crop", "country", "province").option("header", True).csv(path)
 
 
 def write_bands(df: DataFrame, bands: list[str], path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux import factors as k
@@ -55,6 +55,79 @@ def ingest_tiles(spark: SparkSession, source: Source, root: str, tile_ids: list[
     return results
 
 
+MANIFEST = "dataset string, tile_id string, status string, reason string, n_rows long, run int"
+
+
+def manifest_path(source: Source, root: str) -> str:
+    return f"{root}/_manifest/{source.name}/{source.product}"
+
+
+def read_manifest(spark: SparkSession, source: Source, root: str) -> DataFrame:
+    """(dataset, tile_id, status, reason, n_rows, run): what each run did with each tile; no rows before the first run."""
+    path = manifest_path(source, root)
+    return spark.read.schema(MANIFEST).parquet(path) if folder_exists(spark, path) else spark.createDataFrame([], MANIFEST)
+
+
+def pixel_problem(n: int, key: tuple[str, ...] = ("row", "col")) -> Column:
+    """Why a pixel row is refused, NULL if it is fine: no place, or one outside of a tile of ``n`` pixels a side."""
+    known = F.greatest(*[F.col(c).isNull().cast("int") for c in key]) == 0
+    inside = F.least(*key) >= 0
+    return F.when(~known, "no place").when(~(inside & (F.greatest(*key) < n)), "outside of its tile")
+
+
+def ingest_missing(spark: SparkSession, source: Source, root: str, wanted: DataFrame, rows: DataFrame, n: int, overwrite: bool = False) -> DataFrame:
+    """Ingests all missing tiles of a gridded source in one job; the manifest rows of this run, which are appended to the manifest.
+
+    ``wanted``: (tile_id); ``rows``: (tile_id, row, col, bands) of any tiles. What the manifest has as done is left alone unless ``overwrite``
+    (an anti-join), so a rerun does what is absent or failed. ``rows`` is read once, pruned to the tiles to do, and written once, to a
+    folder of the run. A tile is published whole, by moving its folder, or not at all: one bad row, no rows, or an id that does not fit the
+    partitioning make it ``failed`` with a reason, and stop no other tile. A run that is lost before it appends its manifest rows counts as none.
+    """
+    done = read_manifest(spark, source, root)
+    run = done.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0] + 1
+    asked = sort_out(wanted.select(F.lit(source.name).alias("dataset"), "tile_id"), {source.name: source.partitioning})
+    todo = to_ingest(asked, done.filter("status = 'done'").select("dataset", "tile_id").distinct(), overwrite)
+    # a name for each tile of one source: 64,800 at most, of one degree
+    states = {r["tile_id"]: r["reason"] for r in todo.select("tile_id", "reason").collect()}
+    valid = sorted(t for t, reason in states.items() if reason is None)
+    path, staged = source.path(root), f"{root}/_staged/{source.name}/{source.product}/run-{run}"
+    own = rows.filter(F.col("tile_id").isin(valid)).select("tile_id", "row", "col", *source.bands).withColumn("problem", pixel_problem(n))
+    write_pixels(own, staged)
+    written = spark.read.schema("row int, problem string, tile_id string").parquet(staged)
+    counts = {r["tile_id"]: (r["n"], r["problem"]) for r in written.groupBy("tile_id").agg(F.count("*").alias("n"), F.min("problem").alias("problem")).collect()}
+    out = []
+    for tile_id, reason in sorted(states.items()):
+        rows_of, problem = counts.get(tile_id, (0, "no pixels"))
+        reason = reason or problem
+        if reason is None:
+            move_folder(spark, f"{staged}/tile_id={tile_id}", f"{path}/tile_id={tile_id}")
+        out.append((source.name, tile_id, "failed" if reason else "done", reason, None if reason else rows_of, run))
+    delete_folder(spark, staged)
+    made = spark.createDataFrame(out, MANIFEST)
+    made.coalesce(1).write.mode("append").parquet(manifest_path(source, root))
+    return made
+
+
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder in the place of another: its files are not read."""
+    system, folder = _hadoop(spark, source)
+    place = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system.delete(place, True)
+    system.mkdirs(place.getParent())
+    if not system.rename(folder, place):
+        raise OSError(f"{source} was not moved to {target}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _hadoop(spark, path)
+    system.delete(folder, True)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
@@ -106,6 +179,24 @@ def exact_merge(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("til
     return both.filter(ok).drop("_a", "_b")
 
 
+def merge_layers(layers: list[DataFrame], keys: tuple[str, ...] = ("tile_id", "row", "col")) -> DataFrame:
+    """All layers by pixel, with one shuffle whatever their number; a pixel that not every layer has once is an error.
+
+    Layers are united, each row with its own bands and a bit for its layer, and added up by pixel. All columns but the keys are bands.
+    """
+    bands = [[c for c in df.columns if c not in keys] for df in layers]
+    kinds = {c: f.dataType for df, own in zip(layers, bands, strict=True) for c, f in ((f.name, f) for f in df.schema.fields) if c in own}
+    if len(kinds) < sum(map(len, bands)):
+        raise ValueError("layers have bands of one name")
+    rows = None
+    for i, (df, own) in enumerate(zip(layers, bands, strict=True)):
+        part = df.select(*keys, F.lit(1 << i).cast("long").alias("_layer"), *[(F.col(c) if c in own else F.lit(None).cast(kind)).alias(c) for c, kind in kinds.items()])
+        rows = part if rows is None else rows.unionAll(part)
+    both = rows.groupBy(*keys).agg(F.bit_or("_layer").alias("_all"), F.count("*").alias("_n"), *[F.max(c).alias(c) for c in kinds])
+    whole = (F.col("_all") == (1 << len(layers)) - 1) & (F.col("_n") == len(layers))
+    return both.filter(F.when(whole, True).otherwise(F.raise_error(F.lit("grids differ")))).select(*keys, *kinds)
+
+
 def write_for_merges(df: DataFrame, table: str, path: str, buckets: int, keys: tuple[str, ...] = ("tile_id", "row", "col")) -> DataFrame:
     """A gridded layer as a table bucketed by its pixels: one shuffle here, none in a merge with a layer written likewise."""
     placed = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
