@@ -75,6 +75,18 @@ def bucket_shares(cases: DataFrame, case: str, by: str, buckets: dict[str, str])
     return named.withColumn("every", every).filter(F.col("case") == case).groupBy("bucket").agg(F.sum("area").alias("area"), (100 * F.sum("area") / F.max("every")).alias("pct"))
 
 
+def bucket_table(cases: DataFrame, state: str, case: str, by: str, buckets: dict[str, str]) -> DataFrame:
+    """(state, bucket, area, pct): every bucket of every state, 0 where nothing falls in it; pct is of the state's disagreement (cases B and C), 0 if it has none."""
+    table = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair])
+    named = cases.select(state, "ha", "case", F.coalesce(F.try_element_at(table, category_name(F.col(by))), F.lit(k.OTHER_BUCKET)).alias("bucket"))
+    names = [*dict.fromkeys(buckets.values()), k.OTHER_BUCKET]
+    area = lambda name: F.coalesce(F.sum(F.when((F.col("case") == case) & (F.col("bucket") == name), F.col("ha"))), F.lit(0.0))
+    # one row a state; its buckets are columns first, as their names are fixed
+    sums = named.groupBy(state).agg(F.coalesce(F.sum(F.when(F.col("case") != "A", F.col("ha"))), F.lit(0.0)).alias("every"), F.array(*[F.struct(F.lit(n).alias("bucket"), area(n).alias("area")) for n in names]).alias("own"))
+    rows = sums.select(state, "every", F.explode("own").alias("b"))
+    return rows.select(state, "b.bucket", "b.area", F.when(F.col("every") > 0, 100 * F.col("b.area") / F.col("every")).otherwise(0.0).alias("pct"))
+
+
 def category_change(df: DataFrame, crops: dict[str, Column]) -> DataFrame:
     """Area per crop category and cover flag in two years and the net change; ``crops``: start and end -> struct(category, flag)."""
     rows = df.select("ha", F.explode(F.array(*[F.struct(F.lit(when).alias("when"), x["category"].alias("category"), x["flag"].alias("flag")) for when, x in crops.items()])).alias("v"))

@@ -247,6 +247,15 @@ def buckets(kind: str, by: str, names: dict[str, str]) -> str:
     return f"SELECT bucket, {r('sum(ha)', 3, 'area')}, {r('100 * sum(ha) / any_value(every)', 3, 'pct')} FROM (SELECT {bucket} AS bucket, ha, kind, (SELECT sum(ha) FROM ({CASES}) WHERE kind <> 'A') AS every FROM ({CASES})) WHERE kind = '{kind}' GROUP BY bucket"
 
 
+# all five buckets of the stable disagreement of every state with a row crop
+_BUCKET = f"CASE {_name('dst')} WHEN 'built_up' THEN 'Built-up' WHEN 'short_veg' THEN 'Short vegetation' WHEN 'forest' THEN 'Forest' WHEN 'wetland_short_veg' THEN 'Wetland' WHEN 'wetland_forest' THEN 'Wetland' ELSE 'Water/bare/other' END"
+BY_STATE = f"""WITH c AS (SELECT admin_id, ha, kind, {_BUCKET} AS bucket FROM ({CASES})),
+t AS (SELECT admin_id, coalesce(sum(CASE WHEN kind <> 'A' THEN ha END), 0) AS every FROM c GROUP BY admin_id),
+b AS (SELECT unnest(['Built-up', 'Short vegetation', 'Forest', 'Wetland', 'Water/bare/other']) AS bucket)
+SELECT admin_id, bucket, {r('a', 3, 'area')}, {r('CASE WHEN every > 0 THEN 100 * a / every ELSE 0 END', 3, 'pct')}
+FROM (SELECT t.admin_id, b.bucket, every, coalesce(sum(CASE WHEN kind = 'C' THEN ha END), 0) AS a FROM t CROSS JOIN b LEFT JOIN c ON c.admin_id = t.admin_id AND c.bucket = b.bucket GROUP BY ALL)"""
+
+
 _COVER = lambda y: f"CAST(coalesce(lc_{y} = 244, false) AS INTEGER)"
 _CROP4 = lambda x: f"CASE WHEN {row_crop(x)} THEN 1 WHEN {x} IN (36, 37) THEN 2 WHEN {x} IN (61) THEN 3 ELSE 0 END"
 CHANGE = f"""SELECT category, flag, {r('s', 3, 'start_ha')}, {r('e', 3, 'end_ha')}, {r('e - s', 3, 'net_ha')} FROM (
@@ -350,6 +359,8 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "pixel_merge": f"SELECT tile_id, row, col, agb, bgb, soc, peat FROM {PX}",
     "zone_spans": INSIDE,
     "zone_cover": ZONE_COVER,
+    "few_crops_rollup": f"WITH {DIRECT}, {ROLLED} SELECT methodology, admin_id, crop_name, {r('crop_hectares', 2, bias=1e-4)}, {r('emissions_mt', 2, bias=1e-4)} FROM (SELECT 'JURISDICTIONAL_DIRECT' AS methodology, admin_id, crop_name, crop_hectares, emissions_mt FROM direct UNION ALL SELECT 'STATISTICAL', admin_id, crop_name, crop_hectares, emissions_mt FROM rolled) WHERE crop_name IN ('MAIZE', 'SOYBEAN', 'WHEAT')",
+    "breakdown_by_state": BY_STATE,
     "incremental_rollup": f"WITH {BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)}, CAST(1 AS INTEGER) AS tiles_made FROM direct",
     "manifest_after_rerun": f"""WITH n AS (SELECT tile_id, count(*) AS n FROM {WIDE} GROUP BY tile_id)
 SELECT 'crop-map' AS dataset, tile_id, CASE WHEN tile_id = '40N_090W' THEN 'failed' ELSE 'done' END AS status, CASE WHEN tile_id = '40N_090W' THEN 'outside of its tile' END AS reason, CASE WHEN tile_id <> '40N_090W' THEN n END AS n_rows, 1 AS run FROM n

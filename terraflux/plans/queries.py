@@ -613,6 +613,19 @@ def statistical_by_polygon(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(statistical.roll_up(layers, fx.statistics(spark, sf), homes.select("cell", c("zone_id").alias("admin_id"))), 2, *statistical.MEASURES, bias=1e-4)
 
 
+@query
+def few_crops_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Both roll-ups of the crops that runs with few crops keep."""
+    direct_crops, statistical_crops = (trace.crop_names(method, few=True) for method in ("JURISDICTIONAL_DIRECT", "STATISTICAL"))
+    layers, homes = _cells(spark, sf)
+    rows = {
+        "JURISDICTIONAL_DIRECT": direct.direct_roll_up(emit.with_source_totals(_emitted(spark, sf, zoned=True)), fx.provinces(spark, sf), direct_crops),
+        "STATISTICAL": statistical.roll_up(layers, fx.statistics(spark, sf), homes, statistical_crops),
+    }
+    parts = [df.select(F.lit(method).alias("methodology"), "admin_id", "crop_name", "crop_hectares", "emissions_mt") for method, df in rows.items()]
+    return rounded(reduce(DataFrame.unionByName, parts), 2, "crop_hectares", "emissions_mt", bias=1e-4)
+
+
 @query
 def mean_yield(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(trace.mean_yields(_yields(spark, sf)), 4, "yield_kg_per_ha")
@@ -750,6 +763,12 @@ def source_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(agreement.bucket_shares(_cases(spark, sf), "B", "src", k.SOURCE_BUCKETS), 3, "area", "pct")
 
 
+@query
+def breakdown_by_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Stable disagreement of each state in all buckets, the empty ones too."""
+    return rounded(agreement.bucket_table(_cases(spark, sf), "admin_id", "C", "dst", k.STABLE_BUCKETS), 3, "area", "pct")
+
+
 @query
 def category_change(spark: SparkSession, sf: str) -> DataFrame:
     later = F.when(c("o") % 3 == 0, 61).when(c("o") % 5 == 0, 36).otherwise(c("crop_code"))
