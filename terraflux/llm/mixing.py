@@ -68,8 +68,8 @@ def progress(time: Column, demand: Column, ramps: tuple[float, float, float]) ->
     return (flat * time + bent * time * time) / (flat + bent)
 
 
-def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, positions.
+def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, positions, and the columns of ``keep``.
 
     A source is passed over in the order of md5(doc_id); a pass takes whole documents, and the last,
     partial pass ends within one document, exactly at the whole words of the target. taken is the
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     are summed within buckets of the order and over two levels of bucket totals.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sizes = materialise(docs.select(F.col("doc_id").cast("long"), "source", words(F.col("text")).alias("size"), key.alias("key")), "sizes")
+    sizes = materialise(docs.select(F.col("doc_id").cast("long"), "source", words(F.col("text")).alias("size"), key.alias("key"), *keep), "sizes")
     weighed = targets(sizes)
     sizes = sizes.withColumn("bucket", F.substring("key", 1, FINE_DIGITS))
     own = ["source", "bucket"]
@@ -95,7 +95,7 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     within = Window.partitionBy(*own).orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sizes.withColumn("offset", F.coalesce(F.sum("size").over(within), F.lit(0)))
     same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))
-    rows = rows.alias("a").join(facts.alias("b"), same).select("doc_id", "a.source", "size", "weight", "source_size", "target", "demand", (F.col("offset") + F.col("base")).alias("offset"))
+    rows = rows.alias("a").join(facts.alias("b"), same).select("doc_id", *keep, "a.source", "size", "weight", "source_size", "target", "demand", (F.col("offset") + F.col("base")).alias("offset"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumn("whole", whole)
     rest = F.floor("target") - F.col("whole") * F.col("source_size") - F.col("offset")
@@ -106,15 +106,45 @@ def mix(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame
     ramp = F.element_at(F.array(*[F.lit(float(r)) for r in ramps]), F.col("weight").cast("int"))
     share = lambda k: F.least(F.lit(1.0), (k * F.col("source_size") + F.col("offset")) / F.col("target"))
     places = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: progress(position(share(k), ramp), F.col("demand"), ramps))).otherwise(F.array().cast("array<double>"))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", places.alias("positions"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", places.alias("positions"), *keep)
 
 
-def every_copy(mixed: DataFrame) -> DataFrame:
+def every_copy(mixed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per copy, taken its words; a document that is not taken is one row of no words, copy and position null."""
-    copies = mixed.select("doc_id", "source", "size", "source_size", "target", F.col("taken").alias("all"), F.posexplode_outer("positions").alias("copy", "position"))
+    copies = mixed.select("doc_id", "source", "size", "source_size", "target", F.col("taken").alias("all"), F.posexplode_outer("positions").alias("copy", "position"), *keep)
     # least() would pass over the null of a document that is not taken
     words_here = F.when(F.col("copy").isNull(), F.lit(0)).otherwise(F.least(F.col("size"), F.col("all") - F.col("copy") * F.col("size"))).cast("long")
-    return copies.select("doc_id", "source", "size", "source_size", "target", "copy", words_here.alias("taken"), "position")
+    return copies.select("doc_id", "source", "size", "source_size", "target", "copy", words_here.alias("taken"), "position", *keep)
+
+
+#: A word with the white space before it.
+_SPACED = r"[\x20\x09-\x0D]*" + WORD
+
+
+def texts_in_order(docs: DataFrame, ramps: tuple[float, float, float] = RAMPS) -> DataFrame:
+    """The mixed corpus: the rows of ``every_copy`` in training order, each with the columns of its row of ``docs``; untaken documents last.
+
+    text is what the mix takes: the whole text of a copy, for the partial copy of a source the text up to its last taken word, for a document
+    that is not taken an empty one; n_chars, where there is one, is its length. Rows are met by id, source and a hash of the text, rows that
+    agree in these by their number, so ids may repeat or be null. Columns of ``docs`` with the name of one of the mix are left out.
+    """
+    made = ("size", "source_size", "target", "copy", "taken", "position", "_print", "_n")
+    rest = [c for c in docs.columns if c not in ("doc_id", "source", *made)]
+    same = ["doc_id", "source", "_print", "_n"]
+    number = F.row_number().over(Window.partitionBy("doc_id", "source", "_print").orderBy("_print"))
+    keyed = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_print", F.xxhash64("text"))
+    mixed = materialise(mix(keyed, ramps, ("_print",)), "mixed")
+    copies = every_copy(mixed.withColumn("_n", number), ("_print", "_n")).alias("m")
+    texts = keyed.withColumn("_n", number).select(*same, *rest).alias("t")
+    both = copies.join(texts, [F.col(f"m.{c}").eqNullSafe(F.col(f"t.{c}")) for c in same])
+    begun = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(_SPACED), F.lit(0)), F.lit(1), F.col("taken").cast("int")), "")
+    text = F.when(F.col("copy").isNull(), F.lit("")).when(F.col("taken") < F.col("size"), begun).otherwise(F.col("text"))
+    out = both.select("m.doc_id", "m.source", *rest, "size", "source_size", "target", "copy", "taken", "position").withColumn("text", text)
+    if "n_chars" in rest:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("copy").isNull() | (F.col("taken") < F.col("size")), F.length("text")).otherwise(F.col("n_chars")).cast(kind))
+    order = [c for c in docs.columns if c in ("doc_id", "source", *rest)]
+    return out.select(*order, "size", "source_size", "target", "copy", "taken", "position").orderBy(F.col("position").asc_nulls_last(), "doc_id", "copy")
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

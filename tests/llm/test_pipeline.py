@@ -85,5 +85,22 @@ def test_mix(outputs):
     assert all(abs(a - b) < 1 for a, b in sums.values())
 
 
+def test_the_corpus_has_its_text(outputs):
+    """All columns of documents in every row; a taken copy has the stage before's text, up to its last taken word."""
+    before, cut = rows(outputs[4]), 0
+    assert set(outputs[0].columns) < set(outputs[5].columns)
+    for r in outputs[5].collect():
+        whole = before[r["doc_id"]]
+        assert (r["source"], r["lang"]) == (whole["source"], whole["lang"])
+        if r["copy"] is None:
+            assert r["text"] == ""
+        elif r["taken"] == r["size"]:
+            assert (r["text"], r["n_chars"]) == (whole["text"], whole["n_chars"])
+        else:
+            cut += 1
+            assert whole["text"].startswith(r["text"]) and len(words(r["text"])) == r["taken"] and r["n_chars"] == len(r["text"])
+    assert 0 < cut <= len({r["source"] for r in before.values()})
+
+
 def test_run(spark, outputs):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()), key=str) == sorted(map(tuple, outputs[5].collect()), key=str)
