@@ -7,7 +7,6 @@ the one before kept, and its result is written and read again before the next on
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from terraflux.llm import decontaminate, mixing, quality, simhash, substring_dedup
 from terraflux.llm.shared import discard, materialise, read, temporary
@@ -34,10 +33,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per taken copy with its position and its words as ``taken``, range-sorted; documents that are not taken
-    follow with no words and no position."""
-    mixed = materialise(mixing.mix(docs), "mixed")
-    return mixing.every_copy(mixed).orderBy(F.col("position").asc_nulls_last(), "doc_id", "copy")
+    """The training corpus: one row per taken copy with the document's columns, its text as it is taken, and its position, range-sorted;
+    documents that are not taken follow with no text and no position."""
+    return mixing.texts_in_order(docs)
 
 
 STAGES = [
@@ -50,7 +48,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other; what a stage wrote for itself is deleted when its result is written, and the result after the next one's."""
+    """The stages one after the other; what a stage wrote for itself is deleted when its result is written, and the result after the next one's.
+
+    The last result has the texts that are to be trained on, so nothing is lost that the stages have not dropped.
+    """
     docs = before = read(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         with temporary():
