@@ -107,3 +107,65 @@ def expanded(wording, itertools, re):
     pieces = re.split(r"(\(\?:[^()]*\)\??)", wording)
     choices = [[*p[3:].rstrip("?").rstrip(")").split("|"), *([""] if p.endswith("?") else [])] if p.startswith("(?:") else [p] for p in pieces]
     return ["".join(x) for x in itertools.product(*choices)]
+
+
+# expression lines and sentences that only look like a licence: licences, unused
+LINES = {
+    "SPDX-License-Identifier: GPL-2.0-or-later": ("GPL-2.0-or-later", ""),
+    "SPDX-License-Identifier: GPL-2.0-only": ("GPL-2.0-only", ""),
+    "SPDX-License-Identifier: GPL-2.0": ("GPL-2.0-only", ""),
+    "// SPDX-License-Identifier: LGPL-2.1+": ("LGPL-2.1-or-later", ""),
+    "# SPDX-License-Identifier: GPL-3.0+ ": ("GPL-3.0-or-later", ""),
+    "/* SPDX-License-Identifier: AGPL-3.0-or-later */": ("AGPL-3.0-or-later", ""),
+    "<!-- SPDX-License-Identifier: LGPL-3.0-only -->": ("LGPL-3.0-only", ""),
+    "SPDX-License-Identifier: MIT OR Apache-2.0": ("MIT;Apache-2.0", ""),
+    "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause": ("MIT;Apache-2.0;BSD-3-Clause", ""),
+    "spdx-license-identifier: mit or apache-2.0": ("MIT;Apache-2.0", ""),
+    "SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception": ("Apache-2.0 WITH LLVM-exception", ""),
+    "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0": ("GPL-2.0-only WITH Classpath-exception-2.0", ""),
+    "SPDX-License-Identifier: (GPL-2.0+ WITH Linux-syscall-note) OR MIT": ("GPL-2.0-or-later WITH Linux-syscall-note;MIT", ""),
+    "SPDX-License-Identifier: GPL-3.0-or-later with GCC-exception-3.1": ("GPL-3.0-or-later WITH GCC-exception-3.1", ""),
+    "SPDX-License-Identifier: GPL-2.0-only WITH Own-exception-1.0": ("", "gpl-2.0-only~own-exception-1.0,"),
+    "SPDX-License-Identifier: MIT-0": ("MIT-0", ""),
+    "SPDX-License-Identifier: BSD-3-Clause-Clear": ("BSD-3-Clause-Clear", ""),
+    "SPDX-License-Identifier: 0BSD": ("0BSD", ""),
+    "SPDX-License-Identifier: MPL-2.0+": ("MPL-2.0+", ""),
+    "SPDX-License-Identifier: LicenseRef-Own AND ISC": ("ISC", "licenseref-own,"),
+    "SPDX-License-Identifier: MITX": ("", "mitx,"),
+    "SPDX-License-Identifier: NONE": ("", ""),
+    "SPDX-License-Identifier: NOASSERTION": ("", ""),
+    "SPDX-License-Identifier:": ("", ""),
+    "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC": ("MIT;ISC", ""),
+    "SPDX-License-Identifier: MIT\n\nReleased under the MIT License.": ("MIT", ""),
+    "SPDX-License-Identifier: ISC\n\nReleased under the MIT License.": ("ISC;MIT", ""),
+    "This file is not licensed under the MIT License.": ("", "unknown,"),
+    "It is no longer distributed under the Apache License, Version 2.0.": ("", "unknown,"),
+    "It was never publicly released under the MIT License.": ("", "unknown,"),
+    "It is licensed under the MIT License, not under another.": ("MIT", ""),
+    "Licensed under the Apache License, Version 1.1.": ("", "unknown,"),
+}
+
+
+def test_lines(spark):
+    rows = list(LINES)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {rows[r["doc_id"]]: (r["licences"], r["unused"]) for r in licenses.scan(df).collect()}
+    assert got == LINES
+
+
+def test_lines_in_sql(spark):
+    """DuckDB gives the same for these lines and for the texts above."""
+    import duckdb
+    import pandas as pd
+
+    texts = [*LINES, *[t for t, _ in TEXTS.values()], None, ""]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})  # noqa: F841
+    names = ["doc_id", "sentence_ids", "licences", "unused", "expressions"]
+    sql = duckdb.sql(licenses.oracle()).df()[names]
+    own = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select(*names).toPandas()
+    assert sorted(map(tuple, sql.itertuples(index=False))) == sorted(map(tuple, own.itertuples(index=False)))
+
+
+def test_expressions(spark):
+    df = spark.createDataFrame([(1, "/* SPDX-License-Identifier: MIT OR Apache-2.0 */\nx\n# SPDX-License-Identifier: ISC"), (2, "none")], "doc_id long, text string")
+    assert {r["doc_id"]: r["expressions"] for r in licenses.scan(df).collect()} == {1: "MIT OR Apache-2.0;ISC", 2: ""}
