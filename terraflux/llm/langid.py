@@ -8,6 +8,7 @@ all texts of a batch are taken together, so the Python work is per position, not
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,6 +30,9 @@ SWITCH = 10.0
 SCRIPT_SHARE = 0.01
 #: Scores (words x languages) that are held at once.
 SCORES = 1 << 24
+#: A text of more than so many batches is labelled piece by piece.
+LONG = 4
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 # First and last code point of scripts, in code point order.
 SCRIPTS = [
@@ -113,7 +117,11 @@ class Model:
     def word_scores(self, w: Words) -> np.ndarray:
         if not len(w.word_slots):
             return np.zeros((0, len(self.languages)), np.float32)
-        scores = np.add.reduceat(self.trigrams[w.slots], w.bounds[:-1], axis=0) + self.words[w.word_slots]
+        scores = self.words[w.word_slots]
+        step = max(SCORES // len(self.languages), 1 << 12)
+        for at in range(0, len(w.slots), step):  # a slice of the bytes at once: a word may be as long as its text
+            low, high = np.searchsorted(w.bounds, at, "right") - 1, np.searchsorted(w.bounds, min(at + step, len(w.slots)), "left")
+            scores[low:high] += np.add.reduceat(self.trigrams[w.slots[at : at + step]], np.maximum(w.bounds[low:high] - at, 0), axis=0)
         scores[w.scripts == 0] = 0  # numbers and marks say nothing
         return scores + self.barred[w.scripts]
 
@@ -121,15 +129,59 @@ class Model:
         """(texts, first word per text, letters per word, language per word) of runs of texts."""
         held, begin, words = [], 0, 0
         size = max(1 << 16, (8 << 20) // max(len(self.languages), 4))
+
+        def held_out() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            counts, letters, scores = (np.concatenate(x) for x in zip(*held, strict=True))
+            first = np.concatenate([[0], np.cumsum(counts)])
+            return first, letters, viterbi(scores, first)
+
         for part in batches(texts, size):
+            if part.stop - part.start == 1 and len(texts[part.start] or b"") > LONG * size:
+                if held:
+                    yield slice(begin, part.start), *held_out()
+                yield part, *self._long(texts[part.start], size)
+                held, begin, words = [], part.stop, 0
+                continue
             w = Words(texts[part])
             held.append((w.tokens.counts, w.letters, self.word_scores(w)))
             words += len(w.letters)
-            if words * len(self.languages) >= SCORES or part.stop == len(texts):
-                counts, letters, scores = (np.concatenate(x) for x in zip(*held, strict=True))
-                first = np.concatenate([[0], np.cumsum(counts)])
-                yield slice(begin, part.stop), first, letters, viterbi(scores, first)
+            if words * len(self.languages) >= SCORES:
+                yield slice(begin, part.stop), *held_out()
                 held, begin, words = [], part.stop, 0
+        if held:
+            yield slice(begin, len(texts)), *held_out()
+
+    def _long(self, text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, letters per word, language per word) of one long text, in pieces of about ``size`` bytes that are cut between words.
+
+        The values of Viterbi go on from piece to piece; of every word only a bit for each language and the best language before are kept.
+        """
+        k = len(self.languages)
+        value, letters, stays, best = np.zeros(k, np.float32), [], [], []
+        for piece in pieces(text, size):
+            w = Words([piece])
+            scores = self.word_scores(w)
+            stay, top_of = np.empty(scores.shape, bool), np.empty(len(scores), np.int32)
+            for t in range(len(scores)):
+                top = value.argmax()
+                least = value[top] - np.float32(SWITCH)
+                np.greater_equal(value, least, out=stay[t])
+                top_of[t] = top
+                np.maximum(value, least, out=value)
+                value += scores[t]
+            letters.append(w.letters)
+            stays.append(np.packbits(stay, axis=1))
+            best.append(top_of)
+        label, now = [], int(value.argmax())
+        for packed, top_of in zip(reversed(stays), reversed(best), strict=True):
+            own = np.empty(len(top_of), np.int32)
+            for t in range(len(top_of) - 1, -1, -1):
+                own[t] = now
+                if not packed[t, now >> 3] >> (7 - (now & 7)) & 1:
+                    now = int(top_of[t])
+            label.append(own)
+        letters, label = np.concatenate(letters), np.concatenate(label[::-1])
+        return np.array([0, len(label)]), letters, label
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
         """Language with most letters of each text, and its share of the letters; no letter: ``und`` and 0."""
@@ -159,6 +211,16 @@ class Model:
         return out
 
 
+def pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """The text in pieces of ``size`` bytes or a little more, each of which ends before white space."""
+    at = 0
+    while at < len(text):
+        gap = _SPACE.search(text, at + size)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Best language of every word if each switch costs ``SWITCH``; words ``first[d]:first[d + 1]`` are one text."""
     n, k = len(first) - 1, scores.shape[1]
