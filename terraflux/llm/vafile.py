@@ -4,7 +4,8 @@ Vectors are stored once, in blocks of two columns: the cells of all components,
 For a block of queries a task scans the cells: a cell's middle gives the inner product up to an
 error that the query bounds, so every vector has a lower and an upper bound. Exact vectors are then read in
 the order of their upper bounds, until the k-th exact score is above all bounds that are left; that score is carried
-on to the task's next blocks. Queries go to the tasks, vectors never move for them, and only k rows per query leave a task.
+on to the next blocks of the task's group. Blocks of queries are dealt to all groups by a shuffle, so the plan is the same for
+any number of queries and none passes through the driver; only k rows per query leave a group.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ SCALE = 1024
 CELL_BITS = 8
 #: Bytes of exact vectors in a stored block.
 BLOCK_BYTES = 4 << 20
-#: Queries that are sent to the tasks at once, in about these many bytes. More queries mean more passes.
-QUERY_BYTES = 16 << 20
+#: Bytes of the exact vectors that a task holds at once; all queries visit each such group of blocks.
+GROUP_BYTES = 64 << 20
+#: Bytes of a block of queries.
+QUERY_BYTES = 4 << 20
 LARGEST = 2**63 - 1
 #: Whole numbers up to these are exact in floats.
 _SINGLE, _DOUBLE = 2**24, 2**52
@@ -173,14 +176,35 @@ class Search:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
 
-def _query_blocks(asked: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The queries in blocks of about ``QUERY_BYTES``, one at a time in the driver."""
-    n, width = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    blocks = -(-n * 8 * max(width, 1) // QUERY_BYTES)
-    for k in range(blocks):
-        rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k).toArrow().combine_chunks().to_batches()
-        if rows:
-            yield integers(rows[0])
+def _asked(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The queries of each batch in blocks of about ``QUERY_BYTES``."""
+    for batch in found:
+        ids, x = integers(batch)
+        step = max(1, QUERY_BYTES // (8 * max(x.shape[1], 1)))
+        for at in range(0, len(ids), step):
+            yield pa.RecordBatch.from_pylist([Block.of(ids[at : at + step], x[at : at + step]).packed()], _STORED_TYPES)
+
+
+def _visits(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A partition has, group by group, a group's blocks of vectors and then the blocks of queries; vectors are held, queries pass by."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        for batch in found:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["g"] != group:
+                    group, held = row["g"], []
+                block = Block.unpacked(row)
+                if not row["turn"]:
+                    held.append(block)
+                    continue
+                search = Search(block.ids, block.x if block.x.dtype == object else block.x.astype(np.int64), k)
+                for own in held:
+                    search.add(own)
+                yield search.rows()
+
+    return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -202,18 +226,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return own.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", odd))
 
     asked = clean(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    stored = materialise(clean(vectors).mapInArrow(_stored(k), _STORED), "vector-cells")
-    found = stored.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
-    for block in _query_blocks(asked):
-        sent = stored.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            search = Search(*sent.value, k)
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    search.add(Block.unpacked(batch.slice(i, 1).to_pylist()[0]))
-            yield search.rows()
-
-        found = found.unionByName(stored.mapInArrow(run, "query_id long, vec_id long, score long"))
+    stored = materialise(clean(vectors).mapInArrow(_stored(k), _STORED).withColumn("block", F.monotonically_increasing_id()), "vector-cells")
+    queries_of = materialise(asked.mapInArrow(_asked, _STORED), "query-blocks")
+    n, size = stored.agg(F.count("*"), F.coalesce(F.sum(F.length("exact")), F.lit(0))).first()
+    groups = max(1, -(-size // GROUP_BYTES), min(n, 2 * stored.sparkSession.sparkContext.defaultParallelism))
+    held = stored.select(F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("g"), F.lit(0).alias("turn"), *_STORED_TYPES.names)
+    passing = queries_of.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(1).alias("turn"), *_STORED_TYPES.names)
+    rows = held.unionByName(passing).repartition(groups, "g").sortWithinPartitions("g", "turn")
+    found = rows.mapInArrow(_visits(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -29,6 +29,19 @@ def test_blocks_of_vectors_and_queries(spark, monkeypatch, scale, copies):
             assert got[q] == [(i, -s) for s, i in best]
 
 
+def test_the_plan_does_not_grow_with_the_queries(spark, monkeypatch):
+    """Ten and more blocks of queries, many groups of vectors: one branch, and all rows right."""
+    monkeypatch.setattr(vafile, "BLOCK_BYTES", 8 * 4 * 64)
+    monkeypatch.setattr(vafile, "GROUP_BYTES", 600)
+    df = spark.range(0, 1500, 1, 3).selectExpr("id AS vec_id", "array(cast(id % 37 as float), cast(id % 11 as float), 1f, cast(id / 1000 as float)) AS embedding")
+    plans = []
+    for size in (1 << 20, 8 * 4 * 2):
+        monkeypatch.setattr(vafile, "QUERY_BYTES", size)
+        found = vafile.top_k(df, df.filter("vec_id % 50 = 0"), 3)
+        plans.append((found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"), sorted(map(tuple, found.collect()))))
+    assert plans[0] == plans[1] and plans[0][0] == 1 and len(plans[0][1]) == 90
+
+
 def test_bounds_hold_and_are_narrow():
     rng = np.random.default_rng(5)
     x, q = rng.integers(-3000, 3000, (500, 9)), rng.integers(-3000, 3000, (6, 9))
