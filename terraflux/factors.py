@@ -7,11 +7,11 @@ SPANS = tuple(zip(YEARS, YEARS[1:], strict=False))
 
 # Land classes; 0 is unmapped.
 BUILT_UP, CROPLAND, FOREST, GRASSLAND, OCEAN, SNOW_ICE, WATER = 1, 2, 3, 4, 5, 6, 7
-#: Land-cover codes of each class: first and last code, class.
+# Land-cover codes of each class: first and last code, class.
 LAND_CLASS_RANGES = [
     (0, 24, GRASSLAND), (25, 48, FOREST), (100, 124, GRASSLAND), (125, 148, FOREST), (200, 207, WATER), (241, 241, SNOW_ICE), (244, 244, CROPLAND), (250, 250, BUILT_UP), (254, 254, OCEAN),
 ]
-#: Nine simplified categories of the agreement analysis: first and last code, category; all else is 8.
+# Nine simplified categories of the agreement analysis: first and last code, category; all else is 8.
 CATEGORY_RANGES = [(0, 0, 0), (1, 24, 1), (25, 48, 2), (100, 124, 3), (125, 148, 4), (200, 207, 5), (241, 241, 8), (244, 244, 6), (250, 250, 7)]
 CATEGORY_NAMES = ["bare", "short_veg", "forest", "wetland_short_veg", "wetland_forest", "water", "cropland", "built_up", "snow_ice_other"]
 
@@ -22,6 +22,7 @@ LITTER = [0.01, 0.01, 0.01, 0.04, 0.04, 0.04, 0.04, 0.04, 0.04, 0.04]
 GRASSLAND_CARBON = [7, 18, 18, 7, 7, 5, 7, 5, 6, 3]
 SOIL_FACTOR = [0.76, 0.83, 0.83, 0.92, 0.69, 0.76, 0.70, 0.77, 0.70, 0.77]
 
+# Carbon fractions, root-to-shoot ratio, emissions of peat, discount of the spans, lengths of equator and meridian.
 CARBON_LIVE, CARBON_DEAD_WOOD, CARBON_LITTER = 0.47, 0.50, 0.37
 ROOT_TO_SHOOT = 0.25
 CO2_PER_C = 44 / 12
@@ -70,10 +71,10 @@ STATISTICAL_CROPS = {
     "SUNFLOWER": "SUNF", "RAPESEED": "RAPE", "SESAME_SEED": "SESA", "OTHER_OILCROPS": "OOIL", "CHICKPEA": "CHIC", "COWPEA": "COWP",
     "PIGEONPEA": "PIGE", "LENTIL": "LENT", "OTHER_PULSES": "OPUL", "SWEET_POTATO": "SWPO", "YAM": "YAMS",
 }
-#: Crop-map codes of the directly attributed crops.
+# Crop-map codes of the directly attributed crops.
 DIRECT_CROPS = {"MAIZE": [1], "COTTON": [2], "RICE": [3], "SORGHUM": [4], "SOYBEAN": [5], "BARLEY": [21], "WHEAT": [22, 23, 24], "SUGARBEET": [41], "BEAN": [42], "POTATO": [43], "SUGARCANE": [45]}
 FEW_CROPS = ["MAIZE", "SOYBEAN", "WHEAT"]
-#: Commodity names of the yield survey and of the crop list; pounds per bushel.
+# Commodity names of the yield survey and of the crop list; pounds per bushel; units; suppressed values; accounting years.
 SURVEY_CROPS = {"CORN": "MAIZE", "SOYBEANS": "SOYBEAN", "WHEAT": "WHEAT"}
 LB_PER_BUSHEL = {"CORN": 56, "SOYBEANS": 60, "WHEAT": 60}
 KG_PER_LB, HA_PER_ACRE = 0.45359237, 0.40468564
@@ -100,6 +101,7 @@ HERBACEOUS = [
     230, 231, 232, 233, 234, 235, 236, 237, 238, 239, 240, 241, 243, 244, 245, 246, 247, 248, 249, 254,
 ]
 HAY, FALLOW = [36, 37], [61]
+# Names of the breakdown tables.
 SOURCE_BUCKETS = {"cropland": "Cropland", "short_veg": "Short veg", "forest": "Forest", "wetland_short_veg": "Wetland", "wetland_forest": "Wetland"}
 STABLE_BUCKETS = {"built_up": "Built-up", "short_veg": "Short vegetation", "forest": "Forest", "wetland_short_veg": "Wetland", "wetland_forest": "Wetland"}
 OTHER_BUCKET = "Water/bare/other"

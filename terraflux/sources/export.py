@@ -21,6 +21,7 @@ def payload(factors: DataFrame, blocklist: DataFrame) -> DataFrame:
     # names are country | province, so the first part is what a prefix can be
     parts = parts.withColumn("country", head).join(countries, ["crop_name", "country"]).withColumn("province", F.regexp_extract("jurisdiction_name", r" \| (.*)$", 1))
     rows = national.withColumn("country", F.col("jurisdiction_name")).withColumn("province", F.lit("")).unionByName(parts, allowMissingColumns=True)
+    # Fixed values of the record format: the columns' names and what stands in those without data.
     kg = F.col("emissions_factor_kgco2e_per_kg") * F.col("production_kg")
     return rows.select(
         F.col("crop_name").alias("crop"), "country", "province", *[F.lit(v).alias(c) for c, v in _CONSTANTS.items()], F.col("production_kg").alias("output_amount"),
