@@ -212,8 +212,10 @@ def write_table(df: DataFrame, path: str, keys: list[str]) -> None:
 def write_pixels(df: DataFrame, path: str, block: int = 1000) -> None:
     """A gridded stage: partitioned by tile, clustered by block, so that scans prune tiles and skip row groups. Only the tiles in ``df`` are replaced.
 
-    Beside the blocks it stores the tile's latitude as a number, which a file holds once; tiles that have none are without.
+    Beside the blocks it stores the tile's latitude as a number, which a file holds once; names other than those of ten-degree tiles have none.
     """
-    blocks = df.withColumn("block_id", block_of(F.col("row"), F.col("col"), block)).withColumn(tiles.LAT, tiles.lat_of(F.col("tile_id")))
+    blocks = df.withColumn("block_id", block_of(F.col("row"), F.col("col"), block))
+    named = tiles.is_valid(F.col("tile_id"), "TEN_DEGREE")
+    blocks = blocks.withColumn(tiles.LAT, F.when(named, tiles.lat_of(F.col("tile_id"))))
     placed = blocks.repartition("tile_id", "block_id").sortWithinPartitions("tile_id", "block_id", "row", "col")
     placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_id").parquet(path)

@@ -57,6 +57,15 @@ def test_a_failed_overwrite_keeps_the_tile(spark, tmp_path):
     assert catalog.scan(spark, root, SOURCE.name).first()[:] == ("50N_100W", 0, 0, 1.0)
 
 
+def test_a_source_of_the_whole_world(spark, tmp_path):
+    """Whatever tiles are asked for, it is the one tile ``world``."""
+    world, root = catalog.SOURCES["climate-zones"], str(tmp_path)
+    rows = spark.createDataFrame([("world", 3, 4, 7)], "tile_id string, row int, col int, zone int")
+    assert states(ingest.ingest_missing(spark, world, root, wanted(spark, "50N_100W", "40N_100W"), rows, 10)) == [("world", "done", None, 1, 1)]
+    assert [tuple(r) for r in catalog.scan(spark, root, world.name).collect()] == [("world", 3, 4, 7)]
+    assert states(ingest.ingest_missing(spark, world, root, wanted(spark, "world"), rows, 10)) == []
+
+
 def test_the_source_is_read_once(spark, tmp_path):
     """However many tiles are asked for, rows of the source are computed once."""
     seen = spark.sparkContext.accumulator(0)

@@ -117,6 +117,7 @@ def test_ingest_tile_by_tile(spark, tmp_path):
     world = catalog.SOURCES["climate-zones"]
     whole = spark.createDataFrame([("world", 0, 0, 3)], "tile_id string, row int, col int, zone int")
     assert list(ingest.ingest_tiles(spark, world, str(tmp_path), ids, lambda tile: whole)) == ["world"]
+    assert [tuple(r) for r in catalog.scan(spark, str(tmp_path), "climate-zones").collect()] == [("world", 0, 0, 3)]
 
 
 def test_cached_stage(spark, tmp_path):
