@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terraflux.functions import tiles
@@ -96,6 +96,47 @@ def cover(edges: DataFrame, n: int, block: int) -> DataFrame:
     return blocks.select("zone_id", "tile_id", (F.col("a") * 100_000 + F.col("b")).alias("block_id"), whole.alias("whole"), F.when(~whole, rows).alias("runs"), F.col("inside").cast("long").alias("inside"))
 
 
+def quadtree(cover_: DataFrame, side: int) -> DataFrame:
+    """(zone_id, tile_id, level, a, b): the whole blocks of a cover as the largest aligned squares of 2**level blocks a side, ``side`` blocks to a tile.
+
+    What a cover of a large zone takes to store grows with its border, not its area. Each level looks at what the one below has left of whole
+    blocks: four squares of one parent become the parent.
+    """
+    nodes = cover_.filter("whole").select("zone_id", "tile_id", F.floor(F.col("block_id") / 100_000).cast("int").alias("a"), (F.col("block_id") % 100_000).cast("int").alias("b"))
+    out = None
+    for level in range(max(side, 1).bit_length()):
+        half = {c: F.shiftright(c, 1) for c in "ab"}
+        family = Window.partitionBy("zone_id", "tile_id", half["a"], half["b"])
+        nodes = nodes.withColumn("siblings", F.count(F.lit(1)).over(family))
+        stays = nodes.filter("siblings < 4").select("zone_id", "tile_id", F.lit(level).alias("level"), "a", "b")
+        out = stays if out is None else out.unionAll(stays)
+        nodes = nodes.filter("siblings = 4").select("zone_id", "tile_id", half["a"].alias("a"), half["b"].alias("b")).distinct()
+    return out
+
+
+def blocks_of(nodes: DataFrame) -> DataFrame:
+    """(zone_id, tile_id, block_id): the blocks of quadtree nodes."""
+    along = lambda c: F.explode(F.sequence(F.col(c) * F.col("width"), F.col(c) * F.col("width") + F.col("width") - 1))
+    wide = nodes.withColumn("width", F.pow(F.lit(2), F.col("level")).cast("int"))
+    blocks = wide.select("zone_id", "tile_id", "width", "b", along("a").alias("r")).select("zone_id", "tile_id", "r", along("b").alias("c"))
+    return blocks.select("zone_id", "tile_id", (F.col("r") * 100_000 + F.col("c")).cast("long").alias("block_id"))
+
+
+def write_cover(cover_: DataFrame, path: str, side: int) -> None:
+    """A cover as two tables: the quadtree of its whole blocks, and its border blocks with their runs."""
+    quadtree(cover_, side).write.mode("overwrite").parquet(f"{path}/whole")
+    cover_.filter("NOT whole").drop("whole").write.mode("overwrite").parquet(f"{path}/border")
+
+
+def read_cover(spark: SparkSession, path: str, zone_ids: Column | None = None) -> DataFrame:
+    """A stored cover, by block; ``zone_ids``: a condition on zone_id, as of one country, that is met as the tables are read."""
+    whole, border = spark.read.parquet(f"{path}/whole"), spark.read.parquet(f"{path}/border")
+    if zone_ids is not None:
+        whole, border = whole.filter(zone_ids), border.filter(zone_ids)
+    rows = blocks_of(whole).withColumns({"whole": F.lit(True), "runs": F.lit(None).cast(border.schema["runs"].dataType)})
+    return rows.unionByName(border.withColumn("whole", F.lit(False)).select(*rows.columns))
+
+
 #: Largest cover, in bytes, that is sent to all tasks.
 COVER_BYTES = 64 << 20
 

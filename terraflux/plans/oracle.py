@@ -108,6 +108,11 @@ ZONE_COVER = f"""SELECT zone_id, tile_id, count(*) FILTER (n = 2500) AS whole_bl
 FROM (SELECT zone_id, tile_id, row // 50 AS a, col // 50 AS b, count(*) AS n FROM ({within(ALL_WIDE, _WIDE_LON, _WIDE_LAT)}) GROUP BY ALL) GROUP BY ALL"""
 
 
+_WHOLE = f"SELECT zone_id, tile_id, row // 50 AS a, col // 50 AS b FROM ({within(ALL_WIDE, _WIDE_LON, _WIDE_LAT)}) GROUP BY ALL HAVING count(*) = 2500"
+_UP = lambda below: f"SELECT zone_id, tile_id, a // 2 AS a, b // 2 AS b FROM {below} GROUP BY ALL HAVING count(*) = 4"
+_KEPT = " UNION ALL ".join(f"SELECT zone_id, {i} AS level FROM w{i} AS x WHERE NOT EXISTS (SELECT 1 FROM w{i + 1} AS y WHERE y.zone_id = x.zone_id AND y.tile_id = x.tile_id AND y.a = x.a // 2 AND y.b = x.b // 2)" for i in range(4))
+QUADTREE = f"WITH w0 AS ({_WHOLE}), w1 AS ({_UP('w0')}), w2 AS ({_UP('w1')}), w3 AS ({_UP('w2')}), w4 AS ({_UP('w3')}) SELECT zone_id, level, count(*) AS squares, CAST(sum(pow(4, level)) AS BIGINT) AS blocks FROM ({_KEPT}) GROUP BY ALL"
+
 
 def layer_source(emitted_: str) -> str:
     return f"SELECT tile_id, row, col, CAST(peat AS DOUBLE) AS peat_fraction, {', '.join(f'CASE WHEN class_2020 = 2 THEN {x} ELSE 0 END AS {x}' for x in LAYERS)} FROM ({emitted_})"
@@ -359,6 +364,7 @@ FROM (SELECT dataset, CASE WHEN {_KIND} = 'WHOLE_WORLD' THEN 'world' ELSE tile_i
     "pixel_merge": f"SELECT tile_id, row, col, agb, bgb, soc, peat FROM {PX}",
     "zone_spans": INSIDE,
     "zone_cover": ZONE_COVER,
+    "zone_quadtree": QUADTREE,
     "few_crops_rollup": f"WITH {DIRECT}, {ROLLED} SELECT methodology, admin_id, crop_name, {r('crop_hectares', 2, bias=1e-4)}, {r('emissions_mt', 2, bias=1e-4)} FROM (SELECT 'JURISDICTIONAL_DIRECT' AS methodology, admin_id, crop_name, crop_hectares, emissions_mt FROM direct UNION ALL SELECT 'STATISTICAL', admin_id, crop_name, crop_hectares, emissions_mt FROM rolled) WHERE crop_name IN ('MAIZE', 'SOYBEAN', 'WHEAT')",
     "breakdown_by_state": BY_STATE,
     "incremental_rollup": f"WITH {BY_POLYGON} SELECT admin_id, crop_name, {', '.join(r(x, 3) for x in _DIRECT_SUMS)}, CAST(1 AS INTEGER) AS tiles_made FROM direct",

@@ -520,9 +520,9 @@ def _stored_wide(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/pixels")
 
 
-def _stored_cover(spark: SparkSession, sf: str, root: str) -> DataFrame:
-    zones.cover(fx.nation_edges(spark, sf), fx.WIDE_N, fx.WIDE_BLOCK).write.mode("overwrite").parquet(f"{root}/cover")
-    return spark.read.parquet(f"{root}/cover")
+def _stored_cover(spark: SparkSession, sf: str, root: str, zone_ids: Column | None = None) -> DataFrame:
+    zones.write_cover(zones.cover(fx.nation_edges(spark, sf), fx.WIDE_N, fx.WIDE_BLOCK), f"{root}/cover", fx.WIDE_N // fx.WIDE_BLOCK)
+    return zones.read_cover(spark, f"{root}/cover", zone_ids)
 
 
 def emitted_in_zones(stored: DataFrame, cover: DataFrame) -> DataFrame:
@@ -538,12 +538,19 @@ def zone_cover(spark: SparkSession, sf: str) -> DataFrame:
     return own.groupBy("zone_id", "tile_id").agg(F.count_if("whole").alias("whole_blocks"), F.sum("inside").alias("pixels"))
 
 
+@query
+def zone_quadtree(spark: SparkSession, sf: str) -> DataFrame:
+    """Squares of each zone's quadtree by level, as they are stored, and the blocks in them."""
+    nodes = zones.quadtree(zones.cover(fx.nation_edges(spark, sf), fx.WIDE_N, fx.WIDE_BLOCK), fx.WIDE_N // fx.WIDE_BLOCK)
+    return nodes.groupBy("zone_id", "level").agg(F.count("*").alias("squares"), F.sum(F.pow(F.lit(4), c("level"))).cast("long").alias("blocks"))
+
+
 @query
 def direct_by_polygon(spark: SparkSession, sf: str) -> DataFrame:
     """The direct roll-up of one country by the polygons of its provinces; only their tiles are read."""
     root = _scratch(spark, "by-polygon")
-    stored, cover = _stored_wide(spark, sf, root), _stored_cover(spark, sf, root)
-    own = emitted_in_zones(stored, cover.filter(c("zone_id").startswith("RG1")))
+    stored, cover = _stored_wide(spark, sf, root), _stored_cover(spark, sf, root, c("zone_id").startswith("RG1"))
+    own = emitted_in_zones(stored, cover)
     return rounded(direct.direct_roll_up(own, fx.provinces(spark, sf).filter("iso = 'RG1'")), 3, *direct.MEASURES)
 
 

@@ -40,7 +40,8 @@ def partitions_read(df, column):
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("zones"))
-    return q._stored_wide(spark, SF, root), q._stored_cover(spark, SF, root)
+    zones.cover(fx.nation_edges(spark, SF), fx.WIDE_N, fx.WIDE_BLOCK).write.parquet(f"{root}/whole-cover")
+    return q._stored_wide(spark, SF, root), spark.read.parquet(f"{root}/whole-cover")
 
 
 def test_only_the_tiles_of_the_zones_are_read(spark, stored):
@@ -59,6 +60,14 @@ def test_only_the_tiles_of_the_zones_are_read(spark, stored):
     assert partitions_read(country, "agb") == len(touched & {r[0] for r in pixels.select("tile_id").distinct().collect()})
 
 
+def test_a_stored_quadtree_prunes_too(spark, stored, tmp_path):
+    own = q._stored_cover(spark, SF, str(tmp_path), F.col("zone_id") == "RG0000")
+    met = zones.pixels_in_cover(stored[0], own, fx.WIDE_BLOCK).select("zone_id", "tile_id", "row", "col", "agb")
+    assert "dynamicpruning" in plan_of(met) and met.count() > 0
+    met.collect()
+    assert partitions_read(met, "agb") == 1
+
+
 def test_pixels_do_not_move(stored):
     """Neither before nor after a join with a small cover are pixels exchanged; the roll-up's exchange has sums."""
     pixels, cover = stored
@@ -99,6 +108,23 @@ def test_blocks_of_any_size(spark, block):
         assert zones.cover(edges, 10, block).filter("NOT whole").count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_quadtree_round_trip(spark, tmp_path, block):
+    """Squares are as large as they can be, and their blocks are the whole ones; the border is stored beside them."""
+    ring = [{"x": x, "y": y} for x, y in [(0.0, 10.0), (8.0, 10.0), (8.0, 4.0), (1.2, 1.3)]]
+    edges = zones.edges_of(spark.createDataFrame([("z", 0, ring)], "zone_id string, part int, ring array<struct<x:double,y:double>>"))
+    own = zones.cover(edges, 40, block).select("zone_id", "tile_id", "block_id", "whole", "runs")
+    nodes = zones.quadtree(own, 40 // block)
+    assert sorted(map(tuple, zones.blocks_of(nodes).collect())) == sorted(map(tuple, own.filter("whole").select("zone_id", "tile_id", "block_id").collect()))
+    families = nodes.groupBy("zone_id", "tile_id", "level", F.shiftright("a", 1), F.shiftright("b", 1)).count()
+    assert families.filter("count = 4").count() == 0 and nodes.filter("level > 0").count() > 0
+    assert nodes.count() < own.filter("whole").count()
+    zones.write_cover(own, str(tmp_path / "c"), 40 // block)
+    back = zones.read_cover(spark, str(tmp_path / "c"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, own.select(*back.columns).collect()))
+    assert zones.read_cover(spark, str(tmp_path / "c"), F.col("zone_id") == "y").count() == 0
+
+
 def test_runs_are_united(spark):
     rows = [("z", p, "t", 0, a, b) for p, a, b in [(0, 0, 4), (1, 3, 6), (2, 7, 9), (3, 20, 22), (3, 21, 21), (4, 1, 2)]] + [("y", 0, "t", 0, 5, 6)]
     own = zones.united(spark.createDataFrame(rows, "zone_id string, part int, tile_id string, row int, col_first int, col_last int"))
