@@ -192,9 +192,9 @@ def _identifier(wording: Column) -> Column:
     return F.coalesce(F.try_element_at(table, wording), out.otherwise(F.lit("unknown")))
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: Column, tagged: Column) -> Column:
     """Normalised sentences that have one of ``HINTS``, without expressions; what a work is not licensed under is ``negated``."""
-    own = F.regexp_replace(F.regexp_replace(text, _TAG, " "), _VERSION, "$1 ")
+    own = F.regexp_replace(F.when(tagged, F.regexp_replace(text, _TAG, " ")).otherwise(text), _VERSION, "$1 ")
     return F.transform(F.filter(F.split(own, _ENDS), lambda s: _lower(s).rlike(HINTS)), lambda s: F.regexp_replace(normalised(s), _NEGATED, "negated"))
 
 
@@ -209,14 +209,17 @@ def scan(docs: DataFrame) -> DataFrame:
     rows and null ids come back; other columns are ignored; an empty table gives no rows.
     """
     own = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    # few texts have an expression, so the others are not searched for one again
+    tagged = F.contains(F.lower("text"), F.lit("spdx-license-identifier:"))
+    own = own.withColumn("tagged", tagged)
     known = lambda s: F.regexp_extract_all(s, F.lit(_KNOWN), F.lit(0))
     of_sentence = lambda s: F.when(F.size(known(s)) > 0, F.transform(known(s), _identifier)).when(s.rlike(MENTIONS), F.array(F.lit("unknown"))).otherwise(F.array().cast("array<string>"))
     # a text without any hint needs no cutting
-    found = F.when(_lower(F.col("text")).rlike(HINTS), F.flatten(F.transform(sentences(F.col("text")), of_sentence)))
-    tags = F.when(F.contains(_lower(F.col("text")), F.lit("spdx-license-identifier:")), operands(F.col("text")))
+    found = F.when(_lower(F.col("text")).rlike(HINTS), F.flatten(F.transform(sentences(F.col("text"), F.col("tagged")), of_sentence)))
+    tags = F.when(F.col("tagged"), operands(F.col("text")))
     named = F.transform(tags, lambda x: F.struct(x.alias("operand"), spdx(x).alias("licence")))
     lines = F.transform(F.regexp_extract_all("text", F.lit(_TAG), F.lit(1)), lambda x: F.trim(F.regexp_replace(x, r"[\x20\x09]*(?:\*/|-->)?[\x20\x09]*$", "")))
-    expressions = F.when(tags.isNotNull(), F.array_join(lines, ";"))
+    expressions = F.when(F.col("tagged"), F.array_join(lines, ";"))
     rows = own.select("doc_id", F.coalesce(F.concat_ws("", F.transform(found, lambda x: F.concat(x, F.lit(",")))), F.lit("")).alias("sentence_ids"), named.alias("tags"), F.coalesce(expressions, F.lit("")).alias("expressions"))
     rows = rows.withColumn("known", F.replace("sentence_ids", F.lit("unknown,"), F.lit("")))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(rf"\b{pattern}").alias("pattern")) for name, pattern in LICENCES])
