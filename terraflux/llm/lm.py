@@ -3,11 +3,12 @@
 Vocabulary and counts are exact and of all training rows. The bilinear part predicts one of ``CLASSES``
 word classes from the classes of the two words before: the commonest words are classes of
 their own, the others share classes by their last three bytes, so an unseen word has one too. A word's
-probability is its class's, normalised over all classes, times the word's smoothed share of its class
-(one outcome of each class stands for unseen words), so the probabilities of all outcomes add up to one.
+probability is its class's, normalised over all classes, times that of the word within its class after the class before
+(``lm_words``). Words that are not common share one outcome of their class by smoothed counts, unseen words
+among them, so the probabilities of all words add up to one.
 
-Training needs the texts for one thing only, how many positions have each class after each pair of classes.
-These counts are exact and of all positions, and their table is bounded by the number of classes. It is dealt to
+Training needs two counts of the texts, how many positions have each class after each pair of classes, and each common word after each class.
+They are exact and of all positions, from one pass, and their table is bounded by the number of classes and common words. It is dealt to
 tasks by its key: each runs stochastic steps from common parameters on its part of the positions, in which a
 gram of count n weighs n, and the results are averaged, weighted by their steps, after each round. The
 class log-probabilities of all pairs of context classes are made once per worker by batched matrix products.
@@ -26,6 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terraflux.llm import lm_words
 from terraflux.llm.shared import discard, id_remainder, materialise
 from terraflux.llm.tokens import U64, Tokens, batches, mix, texts_of
 
@@ -43,13 +45,15 @@ ROUNDS = 2
 EPOCHS = 4
 NOISE = 48
 STEP = 512
-#: Distinct class grams of a training task, and positions whose grams are counted at once.
+#: Distinct class grams of a training task, and grams that are counted at once.
 TASK_ROWS = 1 << 18
 GRAMS = 1 << 22
 RATE = 0.2
 SMOOTH = 0.1
 #: Words whose counts go to every task: all those above some count, at most so many.
 COMMON = 1 << 17
+#: Codes below are (class two before, class before, class), those from here on (outcome, class before).
+WORDS_FROM = CLASSES**3
 
 END = np.uint64(0x5851F42D4C957F2D)
 #: Parameters: context rows, context matrices, target rows, biases.
@@ -85,7 +89,7 @@ class Vocabulary:
     def __init__(self, n: int, v: int, hashes: np.ndarray, counts: np.ndarray, tails: np.ndarray, tail_counts: np.ndarray, tail_types: np.ndarray):
         self.n, self.v = n, v
         order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
+        self.hashes, self.counts, own_tails = hashes[order], counts[order], tails[order]
         by_count = np.lexsort((hashes, -counts))
         own = by_count[hashes[by_count] != END][:OWN]
         self.own_hashes = np.sort(hashes[own])
@@ -97,17 +101,30 @@ class Vocabulary:
         own_counts[: len(own)] = self.counts[at]
         #: Smoothed size of each tail class: its words and one outcome for unseen ones.
         self.tail_mass = tail_counts + SMOOTH * (tail_types + 1)
+        inner = (self.hashes != END) & ~np.isin(self.hashes, self.own_hashes)
+        rare_counts = tail_counts - np.bincount(own_tails[inner], self.counts[inner], TAILS)
+        rare_types = tail_types - np.bincount(own_tails[inner], minlength=TAILS)
+        #: The part of it that is not of common words.
+        self.rare_mass = rare_counts + SMOOTH * (rare_types + 1)
+        #: Outcomes within the classes: the common words by place (those with a class of their own are never met), then one for the rest of each class.
+        self.outcome_tail = np.concatenate([own_tails, np.arange(TAILS)])
+        share = np.concatenate([np.where(inner, self.counts + SMOOTH, 0), self.rare_mass]) / self.tail_mass[self.outcome_tail]
+        self.outcome_share = np.maximum(share, 1e-300)
         mass = np.concatenate([[0, ends], own_counts, tail_counts]) + SMOOTH
         mass[0] = 0
         self.class_share = mass / mass.sum()
         self.base_size = np.log10(n + SMOOTH * (v + 1))
 
-    def look_up(self, hashes: np.ndarray) -> np.ndarray:
-        """Counts of common words; 0 for others."""
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of common words; -1 for others."""
         if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
+            return np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.counts[at], 0)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def outcomes(self, places: np.ndarray, tails: np.ndarray) -> np.ndarray:
+        """Outcomes within their classes of words of tail classes."""
+        return np.where(places >= 0, places, len(self.hashes) + tails)
 
     def classes(self, text: Text) -> np.ndarray:
         out = 2 + OWN + text.tails
@@ -218,8 +235,8 @@ def class_log10(parameters: list[np.ndarray]) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, vocabulary: Vocabulary, parameters: list[np.ndarray], counts: DataFrame):
-        self.vocabulary, self.parameters, self.counts = vocabulary, parameters, counts
+    def __init__(self, vocabulary: Vocabulary, parameters: list[np.ndarray], words: lm_words.Words, counts: DataFrame):
+        self.vocabulary, self.parameters, self.words, self.counts = vocabulary, parameters, words, counts
 
 
 def _binary(docs: DataFrame) -> DataFrame:
@@ -257,8 +274,9 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
         if words > COMMON:
             break
         least = r["size"]
-    common = counts.filter(F.floor(8 * F.log2("n")) >= least).toArrow()
-    tails = counts.filter(F.col("hash") != int(signed(np.array([END]))[0])).groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    is_end = F.col("hash") == int(signed(np.array([END]))[0])
+    common = counts.filter((F.floor(8 * F.log2("n")) >= least) | is_end).toArrow()
+    tails = counts.filter(~is_end).groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     tail_counts, tail_types = np.zeros(TAILS), np.zeros(TAILS)
     for r in tails:
         tail_counts[r["tail"]], tail_types[r["tail"]] = r["n"], r["v"]
@@ -266,11 +284,11 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
     return Vocabulary(n, v, hashes.view(np.uint64), ns, own.astype(np.int64), tail_counts, tail_types)
 
 
-def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """(code, n): how many positions of ``docs`` have each class after each pair of context classes.
+def position_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(code, n): how many positions of ``docs`` have each class after each pair of context classes, and each outcome of a tail class after each class.
 
     The model sees nothing else of a position, so these counts are all that training needs of the texts:
-    every position counts, and the table has at most ``CLASSES`` ** 3 rows whatever the corpus.
+    every position counts, and the table has at most ``CLASSES`` ** 3 + ``CLASSES`` * (``COMMON`` + ``TAILS`` + 1) rows whatever the corpus.
     """
 
     def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +306,10 @@ def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
                 classes = vocabulary.value.classes(t)
                 one, two = contexts(classes, t)
                 held.append(((two * CLASSES + one) * CLASSES + classes).astype(np.uint32))
-                size += len(classes)
+                tail = np.flatnonzero(classes >= 2 + OWN)
+                outcomes = vocabulary.value.outcomes(vocabulary.value.places(t.hashes[tail]), t.tails[tail])
+                held.append((WORDS_FROM + outcomes * CLASSES + one[tail]).astype(np.uint32))
+                size += len(classes) + len(tail)
                 if size >= GRAMS:
                     yield flushed()
                     held, size = [], 0
@@ -298,6 +319,26 @@ def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
     return docs.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """(code, n) of the classes alone."""
+    return position_grams(docs, vocabulary).filter(F.col("code") < WORDS_FROM)
+
+
+def words_of(grams: DataFrame, vocabulary: Vocabulary, parameters: list[np.ndarray]) -> lm_words.Words:
+    """The factor within the classes, its contexts as the class model has learnt them."""
+    before, target = F.shiftright("code", 8) % CLASSES, F.col("code") % CLASSES
+    totals = np.zeros((CLASSES, TAILS))
+    of_classes = grams.filter((F.col("code") < WORDS_FROM) & (target >= 2 + OWN)).groupBy(before.alias("k"), target.alias("g")).agg(F.sum("n").alias("n"))
+    for r in of_classes.collect():
+        totals[r["k"], r["g"] - 2 - OWN] = r["n"]
+    # the class before a word of a tail class, as often as it is that
+    met = totals.sum(axis=1)
+    phi = lm_words.context_vectors(parameters[0] @ parameters[1][0], met / max(met.sum(), 1))
+    own = lm_words.by_outcome(grams, WORDS_FROM, CLASSES)
+    theta = lm_words.fit(own, own.count(), totals, vocabulary.outcome_share, vocabulary.outcome_tail, phi)
+    return lm_words.Words(phi, theta, vocabulary.outcome_share, vocabulary.outcome_tail, TAILS)
+
+
 def _round(grams: DataFrame, tasks: int, cap: float, share: np.ndarray, parameters: list[np.ndarray], number: int) -> list[np.ndarray]:
     """Local steps per partition on this round's part of the positions, then the average of the results."""
     sent = grams.sparkSession.sparkContext.broadcast((parameters, share))
@@ -335,13 +376,15 @@ def train(docs: DataFrame) -> Model:
     counts = materialise(count_words(own), "word-counts")
     vocabulary = vocabulary_of(counts)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    grams = materialise(class_grams(own, sent), "class-grams")
+    every = materialise(position_grams(own, sent), "class-grams")
+    grams = every.filter(F.col("code") < WORDS_FROM)
     rows, total = grams.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     parameters = start(vocabulary)
     for number in range(EPOCHS * ROUNDS if rows else 0):
         parameters = _round(grams, -(-rows // TASK_ROWS), total / rows, vocabulary.class_share, parameters, number)
-    discard(grams)
-    return Model(vocabulary, parameters, counts)
+    words = words_of(every, vocabulary, parameters)
+    discard(every)
+    return Model(vocabulary, parameters, words, counts)
 
 
 _tables: dict[str, np.ndarray] = {}
@@ -355,6 +398,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     spark = docs.sparkSession
     sent, parameters = spark.sparkContext.broadcast(model.vocabulary), spark.sparkContext.broadcast(model.parameters)
+    within = spark.sparkContext.broadcast(model.words)
     key = uuid.uuid4().hex  # of the table that a worker keeps between tasks
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,11 +414,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 classes = words.classes(t)
                 one, two = contexts(classes, t)
                 logs = table[(two * CLASSES + one) * CLASSES + classes].astype(np.float64)
-                counts = words.look_up(t.hashes)
-                known = counts > 0
-                inner = known & (classes >= 2 + OWN)  # a common word of a shared class
-                logs[inner] += np.log10((counts[inner] + SMOOTH) / words.tail_mass[t.tails[inner]])
-                base = np.where(known, np.log10(np.maximum(counts, 1) + SMOOTH) - words.base_size, 0)
+                places = words.places(t.hashes)
+                known = places >= 0
+                tail = np.flatnonzero(classes >= 2 + OWN)
+                logs[tail] += within.value.log10(one[tail], words.outcomes(places[tail], t.tails[tail]))
+                base = np.zeros(len(places))
+                base[known] = np.log10(words.counts[places[known]] + SMOOTH) - words.base_size
                 sums = [np.bincount(t.doc, x, t.n) for x in (base, logs, known)]
                 rid = task + row + np.arange(t.n)
                 row += t.n
@@ -394,7 +439,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     counts = model.counts.select("hash", F.col("n").alias("c"))
     # a text's own row has n = 0 and a spread key that is not a word
     joined = rows.join(counts, "hash", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    mass = F.element_at(F.array(*[F.lit(float(x)) for x in v.tail_mass]), F.col("tail") + 1)
+    mass = F.element_at(F.array(*[F.lit(float(x)) for x in v.rare_mass]), F.col("tail") + 1)
     smooth = F.log10(F.col("c") + SMOOTH)
     sums = joined.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"),
