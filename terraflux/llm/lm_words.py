@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 
 #: Noise outcomes for each true one.
 NOISE = 48
-NEWTON = 10
+NEWTON = 20
 #: No step moves the score of an outcome after any class by more.
 FAR = 3.0
+#: Steps end when none moves a score by as much.
+NEAR = 1e-5
 #: Outcomes that are solved at once, and (class before, outcome) counts of a task.
 BLOCK = 1024
 TASK_ROWS = 1 << 18
@@ -42,14 +44,18 @@ def context_vectors(vectors: np.ndarray, share: np.ndarray) -> np.ndarray:
 def solve(n: np.ndarray, noise: np.ndarray, phi: np.ndarray) -> np.ndarray:
     """Vectors of some outcomes from their counts and expected noise after every context: (contexts, outcomes) each."""
     width = phi.shape[1]
-    pairs = (phi[:, :, None] * phi[:, None, :]).reshape(len(phi), -1)
+    # curvature in single precision bends the steps a little, never the point where the slope is zero
+    pairs = (phi[:, :, None] * phi[:, None, :]).reshape(len(phi), -1).astype(np.float32)
     theta, both = np.zeros((n.shape[1], width)), n + noise
     for _ in range(NEWTON):
         true = 1 / (1 + NOISE * np.exp(-np.clip(phi @ theta.T, -30, 30)))
         slope = (n - both * true).T @ phi - theta
-        bend = ((both * true * (1 - true)).T @ pairs).reshape(-1, width, width) + np.eye(width)
+        bend = ((both * true * (1 - true)).astype(np.float32).T @ pairs).reshape(-1, width, width) + np.eye(width)
         step = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
-        theta += step * (FAR / np.maximum(np.abs(phi @ step.T).max(axis=0), FAR))[:, None]
+        moved = np.abs(phi @ step.T).max(axis=0)
+        theta += step * (FAR / np.maximum(moved, FAR))[:, None]
+        if moved.max() < NEAR:
+            break
     return theta
 
 
