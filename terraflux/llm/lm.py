@@ -27,7 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraflux.llm import lm_words
+from terraflux.llm import gram_counts, lm_words
 from terraflux.llm.shared import discard, id_remainder, materialise
 from terraflux.llm.tokens import U64, Tokens, batches, mix, texts_of
 
@@ -295,10 +295,6 @@ def position_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
         held: list[np.ndarray] = []
         size = 0
 
-        def flushed() -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(n)], ["code", "n"])
-
         for batch in found:
             texts = texts_of(batch)
             for part in batches(texts):
@@ -311,12 +307,12 @@ def position_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
                 held.append((WORDS_FROM + outcomes * CLASSES + one[tail]).astype(np.uint32))
                 size += len(classes) + len(tail)
                 if size >= GRAMS:
-                    yield flushed()
+                    yield from gram_counts.packed(np.concatenate(held), TaskContext.get().partitionId())
                     held, size = [], 0
         if size:
-            yield flushed()
+            yield from gram_counts.packed(np.concatenate(held), TaskContext.get().partitionId())
 
-    return docs.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return gram_counts.counted(docs.mapInArrow(count, gram_counts.SCHEMA))
 
 
 def class_grams(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
