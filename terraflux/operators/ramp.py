@@ -14,11 +14,15 @@ def _share() -> Column:
 
 
 def fit(curves: DataFrame, e_lm: float) -> DataFrame:
-    """Least-squares height of the ramp over the constant ``e_lm`` per site over years 1..20, and the fit's root mean square error."""
-    own = curves.filter(F.col("t").between(1, YEARS)).withColumn("w", _share())
-    heights = own.groupBy("site").agg((F.sum((F.col("e_ref") - e_lm) * F.col("w")) / F.sum(F.col("w") * F.col("w"))).alias("p_luc"))
+    """Least-squares height of the ramp over the constant ``e_lm`` per site over years 1..20, and the fit's root mean square error.
+
+    One shuffle by site and no join: curves are often made on the spot from a row a site, which the optimiser takes for a small table to broadcast.
+    """
+    own = curves.filter(F.col("t").between(1, YEARS) & F.col("site").isNotNull()).withColumn("w", _share())
+    site = Window.partitionBy("site")
+    height = F.sum((F.col("e_ref") - e_lm) * F.col("w")).over(site) / F.sum(F.col("w") * F.col("w")).over(site)
     rest = F.col("p_luc") * F.col("w") + e_lm - F.col("e_ref")
-    return own.join(heights, "site").groupBy("site").agg(F.max("p_luc").alias("p_luc"), F.sqrt(F.avg(rest * rest)).alias("rmse"))
+    return own.withColumn("p_luc", height).groupBy("site").agg(F.max("p_luc").alias("p_luc"), F.sqrt(F.avg(rest * rest)).alias("rmse"))
 
 
 def cumulative(curves: DataFrame, heights: DataFrame, e_lm: float, at: tuple[int, ...] = (10, 20, 40, 50, 100)) -> DataFrame:
