@@ -26,8 +26,20 @@ def fit(curves: DataFrame, e_lm: float) -> DataFrame:
 
 
 def cumulative(curves: DataFrame, heights: DataFrame, e_lm: float, at: tuple[int, ...] = (10, 20, 40, 50, 100)) -> DataFrame:
-    """Cumulative reference and model emissions per site at years ``at`` and their ratio."""
-    model = F.when(F.col("t") <= YEARS, F.col("p_luc") * _share() + e_lm).otherwise(e_lm)
-    upto = Window.partitionBy("site").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = curves.join(heights.select("site", "p_luc"), "site").select("site", "t", F.sum("e_ref").over(upto).alias("ref"), F.sum(model).over(upto).alias("model"))
-    return own.filter(F.col("t").isin(list(at))).select("site", "t", "ref", "model", (F.col("model") / F.col("ref")).alias("ratio"))
+    """Cumulative reference and model emissions per site at years ``at`` and their ratio.
+
+    The model is linear in the height, so a curve is one row of sums before it meets its height: partial sums are shuffled, not years, and
+    rows of sites are merged, never broadcast.
+    """
+    t = F.col("t")
+    parts = {"ref": lambda a: F.sum(F.when(t <= a, F.col("e_ref"))), "share": lambda a: F.sum(F.when((t <= a) & (t <= YEARS), _share()))}
+    parts |= {"ramp": lambda a: F.count_if((t <= a) & (t <= YEARS)), "flat": lambda a: F.count_if((t <= a) & (t > YEARS)), "rows": lambda a: F.count_if(t == a)}
+    sums = curves.groupBy("site").agg(*[f(a).alias(f"{name}_{a}") for a in at for name, f in parts.items()])
+
+    def year(a: int) -> Column:
+        ramp, flat = F.col("p_luc") * F.col(f"share_{a}") + e_lm * F.col(f"ramp_{a}"), F.when(F.col(f"flat_{a}") > 0, e_lm * F.col(f"flat_{a}"))
+        row = F.struct(F.lit(a).alias("t"), F.col(f"ref_{a}").alias("ref"), F.coalesce(ramp + flat, ramp, flat).alias("model"))
+        return F.array_repeat(row, F.col(f"rows_{a}").cast("int"))
+
+    own = sums.join(heights.select("site", "p_luc").hint("merge"), "site").select("site", F.explode(F.flatten(F.array(*map(year, at)))).alias("y")).select("site", "y.*")
+    return own.select("site", "t", "ref", "model", (F.col("model") / F.col("ref")).alias("ratio"))
