@@ -33,21 +33,28 @@ def spans(edges: DataFrame, n: int) -> DataFrame:
     An edge crosses the pixel rows whose centre latitude lies in [low, high), half open, so that a corner
     counts once; crossings of a row are paired by longitude (even-odd, so holes fall out), per part.
     Work is edges times rows. Rows are counted from 90 N and columns from 180 W over the whole world,
-    then named by tile.
+    then named by tile. Centres are compared as ``tiles`` computes them from a tile's corner, so that an edge through a centre
+    has it on the same side as in a test of each pixel.
     """
     d = tiles.SPAN / n
     top, low, high = 90.0, F.least("y1", "y2"), F.greatest("y1", "y2")
-    # centre of global row g: top - (g + 0.5) d; low <= centre < high
-    first = F.floor((top - high) / d - 0.5) + 1
-    last = F.floor((top - low) / d - 0.5)
-    cross = edges.filter("y1 <> y2").withColumn("g0", first).withColumn("g1", last).filter("g0 <= g1").withColumn("g", F.explode(F.sequence("g0", "g1")))
-    y = top - (F.col("g") + 0.5) * d
+    # rows whose centre is near [low, high), then those of which it is in there as computed
+    first = F.floor((top - high) / d - 0.5)
+    last = F.floor((top - low) / d - 0.5) + 1
+    cross = edges.filter("y1 <> y2").withColumn("g", F.explode(F.sequence(first, last)))
+    y = tiles.row_lat(90 - F.floor(F.col("g") / n) * tiles.SPAN, F.pmod("g", F.lit(n)), n)
+    cross = cross.filter((low <= y) & (y < high))
     x = F.col("x1") + (y - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
     own = Window.partitionBy("zone_id", "part", "g").orderBy("x")
     cross = cross.select("zone_id", "part", "g", x.alias("x"))
     cross = cross.select("*", F.row_number().over(own).alias("k"), F.lead("x").over(own).alias("x_out")).filter("k % 2 = 1 AND x_out IS NOT NULL")
-    # centre of global column h: -180 + (h + 0.5) d in [x, x_out)
-    col_at = lambda c: F.ceil((F.col(c) + 180) / d - 0.5)
+
+    def col_at(c: str) -> Column:
+        """First global column whose centre is at ``c`` or east of it: one of three beside the quotient, which is rounded."""
+        near = F.ceil((F.col(c) + 180) / d - 0.5)
+        centre = lambda h: F.floor(h / n) * tiles.SPAN - 180 + (F.pmod(h, F.lit(n)) + 0.5) * d
+        return F.when(centre(near - 1) >= F.col(c), near - 1).when(centre(near) >= F.col(c), near).otherwise(near + 1)
+
     runs = cross.select("zone_id", "part", "g", col_at("x").alias("h0"), (col_at("x_out") - 1).alias("h1")).filter("h0 <= h1")
     # cut at tile borders
     runs = runs.withColumn("t", F.explode(F.sequence(F.floor(F.col("h0") / n), F.floor(F.col("h1") / n))))

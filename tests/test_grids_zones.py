@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terraflux.functions import tiles
 from terraflux.operators import grids, resample, zones
+from terraflux.plans import fixtures as fx
 
 
 def test_round_trip_of_all_corners(spark):
@@ -102,3 +103,11 @@ def test_tiles_touching(spark):
     for r in zones.tiles_touching(edges).collect():
         got.setdefault(r["zone_id"], set()).add(r["tile_id"])
     assert got["inner"] == {"20N_010E"} and len(got["around"]) == 25 and got["strip"] == {"10N_000E", "10N_010E", "10N_020E"}
+
+
+def test_edge_through_centres(spark):
+    """Centres that an edge of the derived polygons runs through, inside by the SQL's test of each pixel."""
+    places = [("50N_100W", 443, 41), ("50N_100W", 667, 55), ("50N_100W", 843, 66)]
+    own = zones.spans(fx.zone_edges(spark).filter("zone_id = 'two_parts' AND part = 1"), fx.N)
+    got = zones.pixels_in_zones(spark.createDataFrame(places, "tile_id string, row int, col int"), own)
+    assert sorted((r["tile_id"], r["row"], r["col"]) for r in got.collect()) == places
