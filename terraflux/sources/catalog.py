@@ -111,13 +111,17 @@ def loss_year(code: Column) -> Column:
 
 
 def stack_years(per_year: dict[int, DataFrame], band: str) -> DataFrame:
-    """One table with a column <band>_<year> from single-year tables (tile_id, row, col, band): one shuffle for all years."""
+    """One table with a column <band>_<year> from single-year tables (tile_id, row, col, band): one shuffle for all years.
+
+    Rows go to their pixels before they are added up: no two rows of a year meet in a map task, so sums there would hold every row of its
+    input. A pixel is one entry with a value a year, the first known one.
+    """
     rows = None
     for year, df in per_year.items():
         own = df.select("tile_id", "row", "col", F.lit(year).alias("year"), F.col(band).alias("v"))
         rows = own if rows is None else rows.unionByName(own)
-    wide = rows.groupBy("tile_id", "row", "col").pivot("year", list(per_year)).agg(F.first("v"))
-    return wide.select("tile_id", "row", "col", *[F.col(f"`{y}`").alias(f"{band}_{y}") for y in per_year])
+    value = lambda y: F.first(F.when(F.col("year") == y, F.col("v")), ignorenulls=True).alias(f"{band}_{y}")
+    return rows.repartition("tile_id", "row", "col").groupBy("tile_id", "row", "col").agg(*map(value, per_year))
 
 
 def paste(df: DataFrame, row_offset: int, col_offset: int) -> DataFrame:

@@ -174,3 +174,14 @@ def test_bucketed_layers_merge_without_a_shuffle(spark, tmp_path):
     finally:
         for band in ("agb", "soc"):
             spark.sql(f"DROP TABLE layer_{band}")
+
+
+def test_years_meet_before_they_are_added_up(spark):
+    """A row a pixel of any year, by one shuffle, before which nothing is aggregated."""
+    rows = {2000: [("a", 0, 0, 1), ("a", 0, 1, None)], 2005: [("a", 0, 0, 3), ("b", 2, 0, 4)]}
+    years = {y: spark.createDataFrame(own, "tile_id string, row int, col int, lc int") for y, own in rows.items()}
+    stacked = catalog.stack_years(years, "lc")
+    assert stacked.columns == ["tile_id", "row", "col", "lc_2000", "lc_2005"]
+    plan = stacked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange") :]
+    assert sorted(map(tuple, stacked.collect())) == [("a", 0, 0, 1, 3), ("a", 0, 1, None, None), ("b", 2, 0, None, 4)]
