@@ -10,8 +10,11 @@ within a batch of texts, before any shuffle, then among all; the others of a gro
 24 shingles that end in c and of the 24 that begin there, one of which any two equal passages share, and min-hashes of
 the halves, for similar passages. What is still hot under equal halves is split once more, by hashes of
 all its whole passages, and windows of one passage are linked to the text before in the order of doc_ids: equal
-passages are found in groups of any size. Hot groups of one min-hash are linked to two neighbours only. So but for links of one
-content, which need no look at the texts, no text is the partner of more than some windows for each of its own.
+passages are found in groups of any size. Of what is hot under a half's min-hash, all windows are compared with all, block by
+block, in the shingles themselves. Of the similar ones each window is linked to those that reach furthest to either side of its
+position, so that all words come out that repeat an earlier text, and to one of each class of windows that it joins, so
+that the links have the classes of all pairs. So but for links of one content, which need no look at the texts, no
+link grows with the square of a group.
 The interval join then keeps stretches of a pair of texts, at one alignment, where
 windows of at least ``HITS`` functions overlap. These candidates are verified: shingle by shingle,
 a passage stays where at least ``MATCH`` of its shingles occur at the partner's aligned place. Stretches of links of one
@@ -24,6 +27,7 @@ many texts share them.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -60,6 +64,8 @@ _SIGN = 10
 _RUN = PASSAGE // 2 + 1
 #: Windows of a group that are linked pair by pair; larger groups are split, not cut.
 SMALL = 16
+#: Windows of a hot group that are compared with as many others in one task.
+BLOCK = 4096
 #: Rows of an unfinished group that a task holds.
 HELD = 1 << 14
 #: Low bits of a key: the hash function, and whether a min-hash split it.
@@ -333,14 +339,170 @@ def _linked(key, doc, pack, content, whole: bool, parts: list[int]) -> pa.Record
         same = key[few[step:]] == key[few[:-step]]
         i.append(few[step:][same])
         j.append(few[:-step][same])
-    split = key[rest] & _MIN != 0
-    near = rest[hot & split]
-    for step in (1, 2):
-        same = key[near[step:]] == key[near[:-step]]
-        i.append(near[step:][same])
-        j.append(near[:-step][same])
     i, j = np.concatenate(i), np.concatenate(j)
-    return _met(key, doc, pack, content, i, j, np.arange(len(i)) < np.sum(~stands), rest[hot & ~split])
+    return _met(key, doc, pack, content, i, j, np.arange(len(i)) < np.sum(~stands), rest[hot])
+
+
+#: Shingles to either side of a window's position that it is compared in: its reach, and how far words put in or left out move a partner's.
+_AROUND = _REACH + SHIFT
+_NEAR = "key long, doc long, pack long, hashes binary"
+
+
+def _surroundings(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingle hashes around the windows that a text's ``wanted`` names, 0 beyond the text."""
+    for batch in found:
+        ids, texts, wanted = batch.column("doc_id").to_numpy(), texts_of(batch), batch.column("wanted")
+        first = np.concatenate([[0], np.cumsum(wanted.value_lengths().to_numpy())])
+        key, pack = (wanted.flatten().field(i).to_numpy() for i in range(2))
+        for part in batches(texts):
+            hashes, bounds = Tokens(folded(texts[part])).shingles(SHINGLE)
+            hashes = np.maximum(hashes >> U64(32), U64(1)).astype(np.uint32)
+            own = slice(first[part.start], first[part.stop])
+            d = np.repeat(np.arange(part.stop - part.start), np.diff(first[part.start : part.stop + 1]))
+            inside = _place(pack[own]) + (pack[own] & 63) < np.diff(bounds)[d]  # else of another row of this doc_id
+            k, p, d = key[own][inside], pack[own][inside], d[inside]
+            for begin in range(0, len(k), BLOCK):
+                some = slice(begin, begin + BLOCK)
+                at = (bounds[d[some]] + _place(p[some]))[:, None] + np.arange(-_AROUND, _AROUND + 1)
+                there = (at >= bounds[d[some]][:, None]) & (at < bounds[d[some] + 1][:, None])
+                around = np.where(there, hashes[np.where(there, at, 0)], np.uint32(0))
+                yield pa.RecordBatch.from_arrays([pa.array(k[some]), pa.array(ids[part][d[some]]), pa.array(p[some]), pa.array([x.tobytes() for x in around], pa.binary())], ["key", "doc", "pack", "hashes"])
+
+
+class Places:
+    """Where the shingles of some windows are: for a shingle and a window, the places (first, last) that are at most ``SHIFT`` from it, in up to four pieces."""
+
+    def __init__(self, around: np.ndarray, known: np.ndarray):
+        row, place = np.nonzero(np.isin(around, known) & (around > 0))
+        value = around[row, place]
+        order = np.lexsort((place, row, value))
+        row, value, place = row[order], value[order], place[order] - _AROUND
+        self.values, ids = np.unique(value, return_inverse=True)
+        other = np.ones(len(row), bool)
+        other[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+        new = other.copy()
+        new[1:] |= np.diff(place) > 2 * SHIFT + 1
+        begin = np.flatnonzero(new)
+        last = place[np.concatenate([begin[1:], [len(row)]]) - 1] if len(row) else place
+        piece = np.cumsum(new)[begin] - np.cumsum(new)[np.maximum.accumulate(np.where(other, np.arange(len(row)), 0))[begin]]
+        self.pieces = []
+        for n in range(int(piece.max(initial=-1)) + 1):
+            own = piece == n
+            low, high = (np.full((len(self.values) + 1, len(around)), x, np.int8) for x in (127, -128))
+            low[ids[begin[own]], row[begin[own]]] = place[begin[own]] - SHIFT
+            high[ids[begin[own]], row[begin[own]]] = last[own] + SHIFT
+            self.pieces.append((low, high))
+
+    def ids(self, around: np.ndarray) -> np.ndarray:
+        """Numbers of shingles; one that no window has gets the last."""
+        if not len(self.values):
+            return np.zeros(around.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.values, around), len(self.values) - 1)
+        return np.where(self.values[at] == around, at, len(self.values))
+
+    def hits(self, ids: np.ndarray, windows: int) -> np.ndarray:
+        """Which of a window's shingles (``ids``, around its position) are in each of the first ``windows`` at about the same place: a row for each shingle."""
+        out = np.zeros((len(ids), windows), bool)
+        there = np.flatnonzero(ids < len(self.values))
+        place = (there - _REACH).astype(np.int8)[:, None]
+        for low, high in self.pieces:
+            out[there] |= (low[ids[there], :windows] <= place) & (place <= high[ids[there], :windows])
+        return out
+
+
+_BIG = np.int16(10_000)
+
+
+def reaches(hits: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(is there one, first, last) of the stretches of ``PASSAGE`` places or more, of which at least ``MATCH`` are hits, in each column of ``hits``
+    between ``lo`` places before its middle and ``hi`` behind; first and last are the furthest of all such stretches."""
+    sums = np.zeros((hits.shape[0] + 1, hits.shape[1]), np.int16)
+    np.cumsum(hits * np.int16(9) - np.int16(8), axis=0, out=sums[1:])  # 0 or more between two places: MATCH, which is 8 / 9, or more
+    at = np.arange(len(sums))[:, None]
+    begin = np.where(at >= _REACH - lo, sums, _BIG)[:-PASSAGE]
+    end = np.where(at <= _REACH + hi + 1, sums, -_BIG)[PASSAGE:]
+    first = np.maximum.accumulate(end[::-1], axis=0)[::-1] >= begin
+    last = np.minimum.accumulate(begin, axis=0) <= end
+    return first.any(0), first.argmax(0), len(last) - 1 - last[::-1].argmax(0) + PASSAGE - 1
+
+
+def _shared(around: np.ndarray) -> np.ndarray:
+    """How many of the shingles in each window's reach another window has, too, wherever it is: at least as many as are hits in any one of them."""
+    row = np.repeat(np.arange(len(around)), around.shape[1])
+    value, at = np.unique(around, return_inverse=True)
+    at = at.ravel()
+    least, most = np.full(len(value), len(around)), np.full(len(value), -1)
+    np.minimum.at(least, at, row)
+    np.maximum.at(most, at, row)
+    found = ((least < most) & (value > 0))[at].reshape(around.shape)
+    return found[:, SHIFT : SHIFT + 2 * _REACH + 1].sum(1)
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """Links among the windows of one pair of blocks of a group.
+
+    All pairs of different texts are looked at, but for windows that share too few shingles with all others together. Of those that are similar, a window is linked to the earlier texts that
+    reach furthest to either side, and to one of each class of windows that its links join.
+    """
+    doc, pack, block, i, j = (table.column(k).to_numpy() for k in ("doc", "pack", "block", "i", "j"))
+    around = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint32).reshape(len(doc), -1)
+    order = np.lexsort((pack, doc))
+    doc, pack, block, around = doc[order], pack[order], block[order], around[order]
+    lo, hi = pack >> 6 & 63, pack & 63
+    met: list[np.ndarray] = []
+    joined = np.arange(len(doc))  # classes
+    first, last = np.full(len(doc), len(around[0])), np.full(len(doc), -1)
+    left, right = np.full(len(doc), -1), np.full(len(doc), -1)
+    sides = [np.flatnonzero(block == x) for x in {int(i[0]), int(j[0])}]
+    able = _shared(around) >= MATCH * PASSAGE
+    for mine, theirs in zip(sides, sides[::-1], strict=True):
+        mine = mine[able[mine]]
+        known = np.unique(around[mine])
+        for part in range(0, len(theirs), 256):
+            some = theirs[part : part + 256]
+            later = mine[mine > some[0]]
+            if not len(later):
+                continue
+            places = Places(around[some], known)
+            for a, ids in zip(later.tolist(), places.ids(around[later, SHIFT : SHIFT + 2 * _REACH + 1]), strict=True):
+                b = some[: np.searchsorted(some, a)]
+                hits = places.hits(ids, len(b))
+                low, high = np.minimum(lo[a], lo[b]), np.minimum(hi[a], hi[b])
+                near = np.flatnonzero((hits.sum(0, dtype=np.int16) >= MATCH * PASSAGE) & (low + high >= _REACH) & (doc[b] != doc[a]))
+                if not len(near):
+                    continue
+                there, x, y = reaches(hits[:, near], low[near], high[near])
+                b, x, y = b[near][there], x[there], y[there]
+                if not len(b):
+                    continue
+                if x.min() < first[a]:
+                    first[a], left[a] = x.min(), b[x.argmin()]
+                if y.max() > last[a]:
+                    last[a], right[a] = y.max(), b[y.argmax()]
+                classes, at = np.unique(joined[b], return_index=True)
+                other = classes != joined[a]
+                if other.any():
+                    met.append(np.stack([np.full(np.sum(other), a), b[at[other]]]))
+                    joined[np.isin(joined, classes)] = joined[a]
+    for partner in (left, right):
+        a = np.flatnonzero(partner >= 0)
+        met.append(np.stack([a, partner[a]]))
+    a, b = np.unique(np.concatenate(met, axis=1), axis=1)
+    low, high = np.minimum(lo[a], lo[b]), np.minimum(hi[a], hi[b])
+    bits = np.full(len(a), (1 << HASHES) - 1, np.int64) | _SIMILAR  # looked at as they stand: one function is enough
+    columns = [doc[a], doc[b], _place(pack[a]) - _place(pack[b]), _place(pack[a]) - low, _place(pack[a]) + high, bits]
+    return pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in columns], _MET[:6])
+
+
+def _all_pairs(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """Links of the windows ``near`` (key, doc_id, pack): those of one key are compared all with all, in pairs of blocks that are dealt to the tasks."""
+    wanted = near.groupBy("doc_id").agg(F.collect_set(F.struct("key", "pack")).alias("wanted"))
+    rows = _asked(docs, wanted, near).mapInArrow(_surroundings, _NEAR)
+    sizes = near.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc", "pack"), "n"))
+    pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j"))))
+    dealt = dealt.withColumn("pair", pairs).select("key", "doc", "pack", "hashes", "block", "pair.i", "pair.j")
+    return dealt.groupBy("key", "i", "j").applyInArrow(_compared, ", ".join(f"{name} long" for name in _MET[:6]))
 
 
 def _asked(docs: DataFrame, wanted: DataFrame, by: DataFrame) -> DataFrame:
@@ -367,11 +529,18 @@ def candidates(docs: DataFrame) -> DataFrame:
         links.append(met.filter("b is not null").select("a", "b", "shift", "lo", "hi", "f"))
         # bounded by the text's own length: a window has at most four keys that can be hot
         key = F.col("key") if level == 0 else F.col("key").bitwiseAND(int(_F))
-        named = met.filter("b is null").select(F.col("a").alias("doc_id"), F.struct(key.alias("key"), F.col("shift").alias("pack"), "content").alias("w"))
+        hot = met.filter("b is null")
+        if level == 1:
+            near = hot.filter(F.col("key").bitwiseAND(int(_MIN)) != 0).select("key", F.col("a").alias("doc_id"), F.col("shift").alias("pack"))
+            links.append(_all_pairs(docs, near))
+            hot = hot.filter(F.col("key").bitwiseAND(int(_MIN)) == 0)
+        elif whole:
+            break
+        named = hot.select(F.col("a").alias("doc_id"), F.struct(key.alias("key"), F.col("shift").alias("pack"), "content").alias("w"))
         wanted = named.groupBy("doc_id").agg(F.collect_set("w").alias("wanted"))
         rows = _asked(docs, wanted, named).mapInArrow(_split(level == 1), _ROW_TYPES)
     # one exchange by pair and alignment for all that follows
-    links = links[0].unionAll(links[1]).unionAll(links[2]).withColumn("s", F.floor(F.col("shift") / SHIFT)).repartition("a", "b", "s")
+    links = reduce(DataFrame.unionAll, links).withColumn("s", F.floor(F.col("shift") / SHIFT)).repartition("a", "b", "s")
     order = Window.partitionBy("a", "b", "s").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = links.withColumn("new", (F.col("lo") > F.coalesce(reach, F.lit(-1))).cast("int"))
