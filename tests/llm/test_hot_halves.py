@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from terraflux.llm import substring_dedup as sd
 
 
@@ -107,3 +108,18 @@ def test_similar_texts_of_a_template(spark):
     share = np.mean([len(e & got.get(a, set())) / len(e) for a, e in expected.items()])
     print(len(expected), "texts repeat an earlier one; share of their words found", round(float(share), 3), "of the whole", sum(e <= got.get(a, set()) for a, e in expected.items()))
     assert len(expected) > 300 and share >= 0.97
+
+
+def test_pipeline_cuts_similar_passages_of_a_template(spark):
+    """The pipeline's stage cuts such passages out of all texts but few."""
+    rng = np.random.default_rng(9)
+    made = lambda n: [f"x{i}" for i in rng.integers(0, 10**7, n)]
+    template, rows = made(60), []
+    for _ in range(120):
+        passage = list(template)
+        passage[int(rng.integers(25, 35))] = made(1)[0]
+        rows.append([*made(50), *passage, *made(50)])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").repartition(5)
+    left = [len(r["text"].split()) for r in corpus_pipeline.substring_dedup_stage(spark, docs, "").collect()]
+    print(sum(n < 120 for n in left), "of 120 are cut")
+    assert len(left) == 120 and sum(n < 120 for n in left) >= 100
