@@ -6,14 +6,11 @@ windows: every passage of that length within the window (l, r) around position c
 as its min-hash. Windows of different texts with one hash value meet. Windows of one content (all shingles
 that a passage around c can have) are linked to that of the smallest doc_id, which stands for them, first
 within a batch of texts, before any shuffle, then among all; the others of a group of at most
-``SMALL`` are linked pair by pair. A larger group is hot and is split by keys of its own: full-width hashes of the
-24 shingles that end in c and of the 24 that begin there, one of which any two equal passages share, and min-hashes of
-the halves, for similar passages. What is still hot under equal halves is split once more, by hashes of
-all its whole passages, and windows of one passage are linked to the text before in the order of doc_ids: equal
-passages are found in groups of any size. Of what is hot under a half's min-hash, all windows are compared with all, block by
-block, in the shingles themselves. Of the similar ones each window is linked to those that reach furthest to either side of its
+``SMALL`` are linked pair by pair. The windows of a larger group are compared all with all, block by block, in the shingles
+around them as they stand. Of the similar ones each is linked to those that reach furthest to either side of its
 position, so that all words come out that repeat an earlier text, and to one of each class of windows that it joins, so
-that the links have the classes of all pairs. So but for links of one content, which need no look at the texts, no
+that the links have the classes of all pairs. A pair is passed over only where that cannot change, so in a group of copies of
+one passage most windows are settled by one partner. So but for links of one content, which need no look at the texts, no
 link grows with the square of a group.
 The interval join then keeps stretches of a pair of texts, at one alignment, where
 windows of at least ``HITS`` functions overlap. These candidates are verified: shingle by shingle,
@@ -27,7 +24,6 @@ many texts share them.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -60,17 +56,14 @@ _HALF = PASSAGE // 2
 _SIDE = U64(0x8CB92BA72F3D8DD7)
 #: Bits of a half passage's min-hash that make its sign.
 _SIGN = 10
-#: Equal passages around c share so many shingles up to c or from c on.
-_RUN = PASSAGE // 2 + 1
-#: Windows of a group that are linked pair by pair; larger groups are split, not cut.
+#: Windows of a group that are linked pair by pair; those of larger groups are compared in their shingles.
 SMALL = 16
 #: Windows of a hot group that are compared with as many others in one task.
-BLOCK = 4096
+BLOCK = 8192
 #: Rows of an unfinished group that a task holds.
 HELD = 1 << 14
-#: Low bits of a key: the hash function, and whether a min-hash split it.
+#: Low bits of a key: the hash function.
 _F = np.int64(HASHES - 1)
-_MIN = np.int64(HASHES)
 _BASE = 0xD6E8FEB86659FD93
 #: Bit of a link whose windows are not of one content, beside the bits of the hash functions.
 _SIMILAR = np.int64(1 << HASHES)
@@ -205,7 +198,7 @@ def _folded(key, doc, pack, content) -> pa.RecordBatch:
     new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
     first = np.maximum.accumulate(np.where(new, at, 0))
     link = doc != doc[first]
-    spread = mix((pack ^ doc << 20).view(U64)).view(np.int64) & ~(_F | _MIN) | key & _F
+    spread = mix((pack ^ doc << 20).view(U64)).view(np.int64) & ~_F | key & _F
     columns = [np.where(link, spread, key), doc, pack, np.where(link, doc[first], content)]
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(_place(pack) - _place(pack[first]), mask=~link)], _ROWS)
 
@@ -215,48 +208,6 @@ def _emit(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _folded(*_windows(batch.column("doc_id").to_numpy(), texts_of(batch)))
 
 
-def _split(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The windows of hot groups that a text's ``wanted`` names, under keys of their halves or of all their passages (``whole``)."""
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            ids, texts, wanted = batch.column("doc_id").to_numpy(), texts_of(batch), batch.column("wanted")
-            first = np.concatenate([[0], np.cumsum(wanted.value_lengths().to_numpy())])
-            values = wanted.flatten()
-            every = [values.field(i).to_numpy() for i in range(3)]
-            for part in batches(texts):
-                hashes, bounds = Tokens(folded(texts[part])).shingles(SHINGLE)
-                key, pack, content = (x[first[part.start] : first[part.stop]] for x in every)
-                d = np.repeat(np.arange(part.stop - part.start), np.diff(first[part.start : part.stop + 1]))
-                inside = _place(pack) + (pack & 63) < np.diff(bounds)[d]  # else of another row of this doc_id
-                key, pack, content, d = (x[inside] for x in (key, pack, content, d))
-                at, lo, hi = bounds[d] + _place(pack), pack >> 6 & 63, pack & 63
-                runs = Runs(hashes)
-                if whole:
-                    n = lo + hi + 2 - PASSAGE
-                    row = np.repeat(np.arange(len(n)), n)
-                    begin = (at - lo)[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                    made = [(row, runs(begin, begin + PASSAGE - 1), 0)]
-                else:
-                    made = []
-                    spaced = np.zeros(len(hashes) + len(bounds), U64)
-                    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                    spaced[np.arange(len(hashes)) + text + 1] = hashes | U64(1 << 24)
-                    minima = half_minima(spaced)
-                    for side, (reach, begin) in enumerate(((lo, at - _RUN + 1), (hi, at))):
-                        row = np.flatnonzero(reach >= _RUN - 1)
-                        made.append((row, mix(runs(begin[row], begin[row] + _RUN - 1) ^ U64(side)), 0))
-                        row = np.flatnonzero(reach >= _HALF - 1)
-                        low = minima[at[row] + d[row] + 1 - (_HALF - 1 if side == 0 else 0)]
-                        made.append((row, mix(low ^ mix(key[row].view(U64)) ^ U64(side)), _MIN))
-                for row, hashed, kind in made:
-                    new = hashed.view(np.int64) & ~(_F | _MIN) | kind | key[row] & _F
-                    columns = [pa.array(x) for x in (new, ids[part][d[row]], pack[row], 0 * row if whole else content[row])]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(row), pa.int64())], _ROWS)
-
-    return run
-
-
 _MET = ["a", "b", "shift", "lo", "hi", "f", "key", "content"]
 _MET_TYPES = ", ".join(f"{name} long" for name in _MET)
 
@@ -369,47 +320,6 @@ def _surroundings(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(k[some]), pa.array(ids[part][d[some]]), pa.array(p[some]), pa.array([x.tobytes() for x in around], pa.binary())], ["key", "doc", "pack", "hashes"])
 
 
-class Places:
-    """Where the shingles of some windows are: for a shingle and a window, the places (first, last) that are at most ``SHIFT`` from it, in up to four pieces."""
-
-    def __init__(self, around: np.ndarray, known: np.ndarray):
-        row, place = np.nonzero(np.isin(around, known) & (around > 0))
-        value = around[row, place]
-        order = np.lexsort((place, row, value))
-        row, value, place = row[order], value[order], place[order] - _AROUND
-        self.values, ids = np.unique(value, return_inverse=True)
-        other = np.ones(len(row), bool)
-        other[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
-        new = other.copy()
-        new[1:] |= np.diff(place) > 2 * SHIFT + 1
-        begin = np.flatnonzero(new)
-        last = place[np.concatenate([begin[1:], [len(row)]]) - 1] if len(row) else place
-        piece = np.cumsum(new)[begin] - np.cumsum(new)[np.maximum.accumulate(np.where(other, np.arange(len(row)), 0))[begin]]
-        self.pieces = []
-        for n in range(int(piece.max(initial=-1)) + 1):
-            own = piece == n
-            low, high = (np.full((len(self.values) + 1, len(around)), x, np.int8) for x in (127, -128))
-            low[ids[begin[own]], row[begin[own]]] = place[begin[own]] - SHIFT
-            high[ids[begin[own]], row[begin[own]]] = last[own] + SHIFT
-            self.pieces.append((low, high))
-
-    def ids(self, around: np.ndarray) -> np.ndarray:
-        """Numbers of shingles; one that no window has gets the last."""
-        if not len(self.values):
-            return np.zeros(around.shape, np.int64)
-        at = np.minimum(np.searchsorted(self.values, around), len(self.values) - 1)
-        return np.where(self.values[at] == around, at, len(self.values))
-
-    def hits(self, ids: np.ndarray, windows: int) -> np.ndarray:
-        """Which of a window's shingles (``ids``, around its position) are in each of the first ``windows`` at about the same place: a row for each shingle."""
-        out = np.zeros((len(ids), windows), bool)
-        there = np.flatnonzero(ids < len(self.values))
-        place = (there - _REACH).astype(np.int8)[:, None]
-        for low, high in self.pieces:
-            out[there] |= (low[ids[there], :windows] <= place) & (place <= high[ids[there], :windows])
-        return out
-
-
 _BIG = np.int16(10_000)
 
 
@@ -426,69 +336,184 @@ def reaches(hits: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarra
     return first.any(0), first.argmax(0), len(last) - 1 - last[::-1].argmax(0) + PASSAGE - 1
 
 
-def _shared(around: np.ndarray) -> np.ndarray:
-    """How many of the shingles in each window's reach another window has, too, wherever it is: at least as many as are hits in any one of them."""
-    row = np.repeat(np.arange(len(around)), around.shape[1])
-    value, at = np.unique(around, return_inverse=True)
-    at = at.ravel()
-    least, most = np.full(len(value), len(around)), np.full(len(value), -1)
-    np.minimum.at(least, at, row)
-    np.maximum.at(most, at, row)
-    found = ((least < most) & (value > 0))[at].reshape(around.shape)
-    return found[:, SHIFT : SHIFT + 2 * _REACH + 1].sum(1)
+#: Shingles to either side of a window's position that are looked for in others.
+_WIDE = 2 * _REACH + 1
+#: Pairs of windows that are guessed in one go, and entries of a table of who has which shingle.
+_PAIRS, _TABLE = 128, 1 << 24
+#: Windows that one is compared with first.
+_FEW = 32
+#: Partners that are guessed for a window, all windows at once, before the others are looked for.
+_GUESSES = 4
+
+
+class _Cell:
+    """The windows of one pair of blocks of a group, sorted by doc and place: classes, and the partners that reach furthest to either side of each."""
+
+    def __init__(self, doc: np.ndarray, pack: np.ndarray, around: np.ndarray):
+        self.doc, self.lo, self.hi = doc, (pack >> 6 & 63).astype(np.int8), (pack & 63).astype(np.int8)
+        values, at = np.unique(around, return_inverse=True)
+        self.values, self.zero = len(values), 0 if values[0] == 0 else -1
+        self.at = at.reshape(around.shape).astype(np.int32)
+        self.own = np.ascontiguousarray(self.at[:, SHIFT : SHIFT + _WIDE])
+        self.joined = np.arange(len(doc))
+        self.first, self.last = np.full(len(doc), _WIDE), np.full(len(doc), -1)
+        self.left, self.right = self.last.copy(), self.last.copy()
+        self.met: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def looked_at(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(a, b, first, last) of the pairs that are similar: their shingles as they stand, each at a place at most ``SHIFT`` away."""
+        out = []
+        for part in range(0, len(a), _PAIRS):
+            i, j = a[part : part + _PAIRS], b[part : part + _PAIRS]
+            mine, theirs = self.own[i], self.at[j]
+            hits = mine == theirs[:, :_WIDE]
+            for d in range(1, 2 * SHIFT + 1):
+                hits |= mine == theirs[:, d : d + _WIDE]
+            hits &= mine != self.zero
+            there, x, y = reaches(hits.T, np.minimum(self.lo[i], self.lo[j]), np.minimum(self.hi[i], self.hi[j]))
+            out.append((i[there], j[there], x[there], y[there]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (a, b, a, b)
+
+    def guess(self, a: np.ndarray, known: np.ndarray, holder: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        """Look at windows that hold a shingle of a's at the ends of what it can reach (x to y), then anywhere in it, as long as it is not reached."""
+        place, random, root = np.arange(_WIDE), np.random.default_rng(1), self.joined.tolist()
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for turn in range(_GUESSES):
+            open_ = (self.first[a] > x) | (self.last[a] < y)
+            a, known, x, y = a[open_], known[open_], x[open_], y[open_]
+            if not len(a):
+                break
+            weight = (place, _WIDE - place)[turn % 2] if turn < 2 else random.random((len(a), _WIDE))
+            at = np.where(known, weight + 1.0, 0).argmax(1)
+            i, j, low, high = self.looked_at(a, holder[self.own[a, at]])
+            better = low < self.first[i]
+            self.first[i[better]], self.left[i[better]] = low[better], j[better]
+            better = high > self.last[i]
+            self.last[i[better]], self.right[i[better]] = high[better], j[better]
+            kept = []
+            for k, (p, q) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+                p, q = find(p), find(q)
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    kept.append(k)
+            self.met.append((i[kept], j[kept]))
+        self.joined = np.array([find(i) for i in range(len(root))])
+
+    def places(self, theirs: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(shingle, number of the window in ``theirs``, first, last, piece): where the wanted shingles are in windows and ``SHIFT`` places around."""
+        row, place = np.nonzero(wanted[self.at[theirs]])
+        value = self.at[theirs[row], place]
+        order = np.argsort(value, kind="stable")
+        value, row, place = value[order], row[order], place[order] - _AROUND
+        other, new = np.ones(len(row), bool), np.ones(len(row), bool)
+        other[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+        new[1:] = other[1:] | (np.diff(place) > 2 * SHIFT + 1)
+        begin, count = np.flatnonzero(new), np.cumsum(new)
+        last = place[np.append(begin[1:], len(row)) - 1]
+        piece = count[begin] - count[np.maximum.accumulate(np.where(other, np.arange(len(row)), 0))[begin]]
+        return value[begin], row[begin], place[begin] - SHIFT, last + SHIFT, piece
+
+    def scan(self, a: np.ndarray, known: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        """Look at all windows of ``theirs`` that are earlier than those of a and have enough of their shingles anywhere, but for those of
+        the same class where nothing further can be reached."""
+        if not len(a):
+            return
+        wanted = np.zeros(self.values, bool)
+        wanted[self.own[a][known]] = True
+        value, row, low, high, piece = self.places(theirs, wanted)
+        number, middle = np.full(self.values, -1, np.int32), np.arange(-_REACH, _REACH + 1, dtype=np.int8)[:, None]
+        step = len(a) if np.sum(wanted) * len(theirs) <= _TABLE else max(1, _TABLE // (_WIDE * len(theirs)))
+        for begin in range(0, len(a), step):
+            part = slice(begin, begin + step)
+            own = self.own[a[part]]
+            values = np.unique(own[known[part]])
+            number[values] = np.arange(len(values))
+            at = np.flatnonzero(number[value] >= 0)
+            shape = len(values) + 1, len(theirs)
+            has, tables = np.zeros(shape, np.uint8), []
+            has[number[value[at]], row[at]] = 1
+            for n in range(int(piece[at].max(initial=-1)) + 1):
+                these = at[piece[at] == n]
+                tables.append((np.full(shape, 127, np.int8), np.full(shape, -128, np.int8)))
+                for table, edge in zip(tables[-1], (low, high), strict=True):
+                    table[number[value[these]], row[these]] = edge[these]
+            ids = np.where(known[part], number[own], len(values))
+            number[values] = -1
+            for k, i in enumerate(a[part].tolist()):
+                shared = np.add.reduce(has[ids[k], : np.searchsorted(theirs, i)], axis=0, dtype=np.uint8)
+                near = np.flatnonzero(shared >= MATCH * PASSAGE)
+                j = theirs[near]
+                near = near[(self.doc[j] != self.doc[i]) & (np.minimum(self.lo[i], self.lo[j]) + np.minimum(self.hi[i], self.hi[j]) >= _REACH)]
+                near, some = near[np.argsort(shared[near], kind="stable")[::-1]], _FEW
+                while len(near):  # a few that share most, then more at once
+                    if self.first[i] <= x[begin + k] and self.last[i] >= y[begin + k]:
+                        near = near[self.joined[theirs[near]] != self.joined[i]]
+                    j, hits, pick = theirs[near[:some]], np.zeros((_WIDE, len(near[:some])), bool), np.ix_(ids[k], near[:some])
+                    for first, last in tables:
+                        hits |= (first[pick] <= middle) & (middle <= last[pick])
+                    hits &= (-self.lo[j] <= middle) & (middle <= self.hi[j])
+                    enough = np.add.reduce(hits, axis=0, dtype=np.uint8) >= MATCH * PASSAGE
+                    if enough.any():
+                        self.take(i, j[enough], hits[:, enough])
+                    near, some = near[some:], 4 * some
+
+    def take(self, i: int, j: np.ndarray, hits: np.ndarray) -> None:
+        """The links of window i to those of j that are similar."""
+        there, x, y = reaches(hits, np.minimum(self.lo[i], self.lo[j]), np.minimum(self.hi[i], self.hi[j]))
+        j, x, y = j[there], x[there], y[there]
+        if not len(j):
+            return
+        if x.min() < self.first[i]:
+            self.first[i], self.left[i] = x.min(), j[x.argmin()]
+        if y.max() > self.last[i]:
+            self.last[i], self.right[i] = y.max(), j[y.argmax()]
+        classes, at = np.unique(self.joined[j], return_index=True)
+        other = classes != self.joined[i]
+        if other.any():
+            self.met.append((np.full(np.sum(other), i), j[at[other]]))
+            self.joined[np.isin(self.joined, classes)] = self.joined[i]
+
+    def compare(self, mine: np.ndarray, theirs: np.ndarray) -> None:
+        """All of ``mine`` with all earlier ones of ``theirs``."""
+        holder = np.full(self.values, len(self.doc))  # the first of theirs that has a shingle
+        holder[self.at[theirs[::-1]].ravel()] = np.repeat(theirs[::-1], self.at.shape[1])
+        own = self.own[mine]
+        known = (np.append(self.doc, np.iinfo(np.int64).max)[holder[own]] < self.doc[mine][:, None]) & (own != self.zero)
+        there, x, y = reaches(known.T, self.lo[mine], self.hi[mine])  # as if one window had all that any has: none reaches further
+        mine, known, x, y = mine[there], known[there], x[there], y[there]
+        place = np.arange(_WIDE)
+        known &= (place >= x[:, None]) & (place <= y[:, None])
+        self.guess(mine, known, holder, x, y)
+        self.scan(mine, known, theirs, x, y)
 
 
 def _compared(table: pa.Table) -> pa.Table:
     """Links among the windows of one pair of blocks of a group.
 
-    All pairs of different texts are looked at, but for windows that share too few shingles with all others together. Of those that are similar, a window is linked to the earlier texts that
-    reach furthest to either side, and to one of each class of windows that its links join.
+    A window is linked to the earlier texts that reach furthest to either side of all that are similar, and to one of each class of windows that
+    its links join. A pair is not looked at only where that cannot change: where its windows share too few shingles, or are in one class already and the later reaches
+    as far as all shingles of earlier ones together would let it.
     """
     doc, pack, block, i, j = (table.column(k).to_numpy() for k in ("doc", "pack", "block", "i", "j"))
     around = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint32).reshape(len(doc), -1)
     order = np.lexsort((pack, doc))
-    doc, pack, block, around = doc[order], pack[order], block[order], around[order]
-    lo, hi = pack >> 6 & 63, pack & 63
-    met: list[np.ndarray] = []
-    joined = np.arange(len(doc))  # classes
-    first, last = np.full(len(doc), len(around[0])), np.full(len(doc), -1)
-    left, right = np.full(len(doc), -1), np.full(len(doc), -1)
+    doc, pack, block = doc[order], pack[order], block[order]
+    cell = _Cell(doc, pack, around[order])
     sides = [np.flatnonzero(block == x) for x in {int(i[0]), int(j[0])}]
-    able = _shared(around) >= MATCH * PASSAGE
     for mine, theirs in zip(sides, sides[::-1], strict=True):
-        mine = mine[able[mine]]
-        known = np.unique(around[mine])
-        for part in range(0, len(theirs), 256):
-            some = theirs[part : part + 256]
-            later = mine[mine > some[0]]
-            if not len(later):
-                continue
-            places = Places(around[some], known)
-            for a, ids in zip(later.tolist(), places.ids(around[later, SHIFT : SHIFT + 2 * _REACH + 1]), strict=True):
-                b = some[: np.searchsorted(some, a)]
-                hits = places.hits(ids, len(b))
-                low, high = np.minimum(lo[a], lo[b]), np.minimum(hi[a], hi[b])
-                near = np.flatnonzero((hits.sum(0, dtype=np.int16) >= MATCH * PASSAGE) & (low + high >= _REACH) & (doc[b] != doc[a]))
-                if not len(near):
-                    continue
-                there, x, y = reaches(hits[:, near], low[near], high[near])
-                b, x, y = b[near][there], x[there], y[there]
-                if not len(b):
-                    continue
-                if x.min() < first[a]:
-                    first[a], left[a] = x.min(), b[x.argmin()]
-                if y.max() > last[a]:
-                    last[a], right[a] = y.max(), b[y.argmax()]
-                classes, at = np.unique(joined[b], return_index=True)
-                other = classes != joined[a]
-                if other.any():
-                    met.append(np.stack([np.full(np.sum(other), a), b[at[other]]]))
-                    joined[np.isin(joined, classes)] = joined[a]
-    for partner in (left, right):
+        if len(mine) and len(theirs):
+            cell.compare(mine, theirs)
+    for partner in (cell.left, cell.right):
         a = np.flatnonzero(partner >= 0)
-        met.append(np.stack([a, partner[a]]))
-    a, b = np.unique(np.concatenate(met, axis=1), axis=1)
-    low, high = np.minimum(lo[a], lo[b]), np.minimum(hi[a], hi[b])
+        cell.met.append((a, partner[a]))
+    a, b = np.unique(np.concatenate([np.stack(x) for x in cell.met], axis=1), axis=1)
+    low, high = np.minimum(cell.lo[a], cell.lo[b]), np.minimum(cell.hi[a], cell.hi[b])
     bits = np.full(len(a), (1 << HASHES) - 1, np.int64) | _SIMILAR  # looked at as they stand: one function is enough
     columns = [doc[a], doc[b], _place(pack[a]) - _place(pack[b]), _place(pack[a]) - low, _place(pack[a]) + high, bits]
     return pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in columns], _MET[:6])
@@ -520,27 +545,12 @@ def _asked(docs: DataFrame, wanted: DataFrame, by: DataFrame) -> DataFrame:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(a, b, shift, lo, hi, exact): shingles lo..hi of text a that may repeat those of text b < a, ``shift`` places earlier; exact: do."""
-    rows, links, made = docs.mapInArrow(_emit, _ROW_TYPES), [], []
-    for level in range(3):
-        whole = level == 2
-        order = ["key", "doc", "pack"] if whole else ["key", "content", "doc", "pack"]
-        met = materialise(rows.repartition("key").sortWithinPartitions(*order).mapInArrow(_meet(whole), _MET_TYPES), "passage-links")
-        made.append(met)
-        links.append(met.filter("b is not null").select("a", "b", "shift", "lo", "hi", "f"))
-        # bounded by the text's own length: a window has at most four keys that can be hot
-        key = F.col("key") if level == 0 else F.col("key").bitwiseAND(int(_F))
-        hot = met.filter("b is null")
-        if level == 1:
-            near = hot.filter(F.col("key").bitwiseAND(int(_MIN)) != 0).select("key", F.col("a").alias("doc_id"), F.col("shift").alias("pack"))
-            links.append(_all_pairs(docs, near))
-            hot = hot.filter(F.col("key").bitwiseAND(int(_MIN)) == 0)
-        elif whole:
-            break
-        named = hot.select(F.col("a").alias("doc_id"), F.struct(key.alias("key"), F.col("shift").alias("pack"), "content").alias("w"))
-        wanted = named.groupBy("doc_id").agg(F.collect_set("w").alias("wanted"))
-        rows = _asked(docs, wanted, named).mapInArrow(_split(level == 1), _ROW_TYPES)
+    rows = docs.mapInArrow(_emit, _ROW_TYPES).repartition("key").sortWithinPartitions("key", "content", "doc", "pack")
+    met = materialise(rows.mapInArrow(_meet(False), _MET_TYPES), "passage-links")
+    near = met.filter("b is null").select("key", F.col("a").alias("doc_id"), F.col("shift").alias("pack"))
+    links = met.filter("b is not null").select("a", "b", "shift", "lo", "hi", "f").unionAll(_all_pairs(docs, near))
     # one exchange by pair and alignment for all that follows
-    links = reduce(DataFrame.unionAll, links).withColumn("s", F.floor(F.col("shift") / SHIFT)).repartition("a", "b", "s")
+    links = links.withColumn("s", F.floor(F.col("shift") / SHIFT)).repartition("a", "b", "s")
     order = Window.partitionBy("a", "b", "s").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = links.withColumn("new", (F.col("lo") > F.coalesce(reach, F.lit(-1))).cast("int"))
@@ -549,8 +559,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     exact = (F.col("f").bitwiseAND(int(_SIMILAR)) == 0) & (F.col("shift") == F.col("most"))
     enough = F.bit_count(F.col("f").bitwiseAND(int(_SIMILAR) - 1)) >= HITS
     pairs = materialise(grouped.withColumn("exact", exact).filter(F.col("exact") | enough).select("a", "b", "shift", "lo", "hi", "exact"), "passage-candidates")
-    for met in made:
-        discard(met)
+    discard(met)
     return pairs
 
 

@@ -123,3 +123,16 @@ def test_pipeline_cuts_similar_passages_of_a_template(spark):
     left = [len(r["text"].split()) for r in corpus_pipeline.substring_dedup_stage(spark, docs, "").collect()]
     print(sum(n < 120 for n in left), "of 120 are cut")
     assert len(left) == 120 and sum(n < 120 for n in left) >= 100
+
+
+def test_copies_are_settled_by_few_partners(monkeypatch):
+    """Windows of 1500 copies of one template with a changed shingle each: 1.1 million pairs are similar, but most need not be looked at."""
+    rng = np.random.default_rng(7)
+    around = np.tile(rng.integers(1, 2**32, 2 * sd._AROUND + 1, dtype=np.uint32), (1500, 1))
+    around[np.arange(1500), rng.integers(20, 100, 1500)] = rng.integers(1, 2**32, 1500)
+    looked, reaches = [0], sd.reaches
+    monkeypatch.setattr(sd, "reaches", lambda hits, lo, hi: (looked.__setitem__(0, looked[0] + hits.shape[1]), reaches(hits, lo, hi))[1])
+    links = compared(np.arange(1500), np.arange(1500) ** 2 << 12 | 45 << 6 | 45, around, 1)
+    print(looked[0], "pairs looked at")
+    assert {a for a, *_ in links} == set(range(1, 1500)) and looked[0] < 50 * 1500
+    assert len(classes(1500, {(a, b) for a, b, *_ in links})) == 1
