@@ -5,6 +5,7 @@ import pyarrow as pa
 
 import corpus_pipeline
 from terraflux.llm import substring_dedup as sd
+from terraflux.llm.tokens import Tokens
 
 
 def similar(mine, theirs):
@@ -136,3 +137,35 @@ def test_copies_are_settled_by_few_partners(monkeypatch):
     print(looked[0], "pairs looked at")
     assert {a for a, *_ in links} == set(range(1, 1500)) and looked[0] < 50 * 1500
     assert len(classes(1500, {(a, b) for a, b, *_ in links})) == 1
+
+
+def test_hot_windows_whose_halves_differ(spark):
+    """Passages that begin with one line and differ in a word behind it: of 3000 pairs those that meet in hot windows only, none of which has an equal half."""
+    rng = np.random.default_rng(21)
+    made = lambda n: [f"x{i}" for i in rng.integers(0, 10**7, n)]
+    line = made(24)
+    rows, pairs = [" ".join([*made(50), *line, *made(80)]) for _ in range(200)], set()
+    for _ in range(3000):
+        passage = [*line, *made(32)]
+        two = []
+        for word in (passage[27], "changed"):
+            passage[27] = word
+            two.append(" ".join([*made(50), *passage, *made(50)]))
+        texts = [t.encode() for t in two]
+        key, doc, pack, _ = sd._windows(np.arange(2), texts)
+        place = pack >> 12
+        around = (place - (pack >> 6 & 63) <= 51) & (place + (pack & 63) >= 98)  # of nearly the whole passage
+        own = [dict(zip(key[(doc == i) & (place >= 50) & (place < 102)].tolist(), place[(doc == i) & (place >= 50) & (place < 102)].tolist())) for i in range(2)]
+        met = own[0].keys() & own[1].keys()
+        hot = {k for k in met if own[0][k] < 70}
+        minima = [sd.half_minima(Tokens([t]).shingles(sd.SHINGLE)[0] | np.uint64(1 << 24)) for t in texts]
+        apart = all(minima[0][own[0][k]] != minima[1][own[1][k]] for k in hot)
+        whole = [set(key[(doc == i) & around].tolist()) for i in range(2)]
+        if apart and hot & whole[0] & whole[1] and len({k % sd.HASHES for k in met - hot}) < sd.HITS:
+            rows += two
+            pairs.add((len(rows) - 1, len(rows) - 2))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], r["kept_doc_id"]) for r in sd.repeated_passages(docs).collect()}
+    cut = {r["doc_id"]: len(r["text"].split()) for r in corpus_pipeline.substring_dedup_stage(spark, docs, "").collect()}
+    print("found", len(pairs & got), "cut", sum(cut[a] < 156 for a, _ in pairs), "of", len(pairs))
+    assert len(pairs) >= 4 and pairs <= got and all(cut[a] < 156 for a, _ in pairs)
