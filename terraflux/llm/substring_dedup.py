@@ -69,6 +69,8 @@ _BASE = 0xD6E8FEB86659FD93
 _SIMILAR = np.int64(1 << HASHES)
 #: Bits of the table that tells which texts are asked for, by a hash of their doc_id: what a task holds of it is bounded.
 _ASKED = 1 << 26
+#: Words of 64 bits of that table that are one row where it is sent to the tasks.
+_PAGE = 512
 
 
 def compact_windows(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -533,13 +535,16 @@ def _all_pairs(docs: DataFrame, near: DataFrame) -> DataFrame:
 def _asked(docs: DataFrame, wanted: DataFrame, by: DataFrame) -> DataFrame:
     """``docs`` with the requests ``wanted`` of their doc_id; ``by`` has these doc_ids, too.
 
-    Most texts that nobody asks for are left out before their text is shuffled, by a bit table of fixed size
-    (at most ``_ASKED`` / 64 rows are broadcast); the join decides.
+    Most texts that nobody asks for are left out before their text is shuffled, by a bit table of fixed size; the join decides. It is sent as
+    pages of the words that are not 0: at most ``_ASKED`` / 64 / ``_PAGE`` rows and 12 bytes a word, for the driver builds a hash table of it.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(_ASKED))
-    word, bit = F.shiftright(slot, 6).cast("int"), F.pmod(slot, F.lit(64)).cast("int")
-    table = by.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    near = docs.join(F.broadcast(table), word == F.col("word")).filter(F.getbit("bits", bit) == 1)
+    page, bit = F.floor(slot / (64 * _PAGE)).cast("int"), F.pmod(slot, F.lit(64)).cast("int")
+    word = F.pmod(F.shiftright(slot, 6), F.lit(_PAGE)).cast("int")
+    bits = by.select(page.alias("page"), word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).repartition("page")
+    words = bits.groupBy("page", "word").agg(F.bit_or("bit").alias("bits"))
+    table = words.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"))
+    near = docs.join(F.broadcast(table), page == F.col("page")).filter(F.getbit(F.try_element_at("words", word), bit) == 1)
     return near.select(*docs.columns).join(wanted, "doc_id")
 
 
